@@ -71,7 +71,7 @@ if __name__ == "__main__":
     only = sys.argv[1:]
     builder = SparkSession.builder.master("local[8]").config("spark.sql.shuffle.partitions", "8")
     spark = (
-        builder.config("spark.ui.enabled", "false").config("spark.driver.memory", "8g")
+        builder.config("spark.ui.enabled", "false").config("spark.ui.showConsoleProgress", "false").config("spark.driver.memory", "8g")
         .config("spark.sql.session.timeZone", os.environ.get("TEST_TZ", "UTC")).getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")
