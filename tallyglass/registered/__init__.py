@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from importlib import import_module
 
-AREAS = ["daily", "retrieval"]
+AREAS = ["daily", "retrieval", "quality"]
 
 
 def all_queries() -> dict:
