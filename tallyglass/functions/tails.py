@@ -11,6 +11,7 @@ import math
 import numpy as np
 import pandas as pd
 from pyspark.sql.functions import pandas_udf
+from pyspark.sql.types import DoubleType
 
 _STEPS = 300
 _TINY = 1e-300
@@ -90,23 +91,23 @@ def _clean(values) -> pd.Series:
     return pd.Series([None if v is None or math.isnan(v) else float(v) for v in values], dtype="object")
 
 
-@pandas_udf("double")
+@pandas_udf(DoubleType())
 def normal_two_sided(z: pd.Series) -> pd.Series:
     return _clean([math.nan if pd.isna(v) else math.erfc(abs(v) / math.sqrt(2)) for v in z])
 
 
-@pandas_udf("double")
+@pandas_udf(DoubleType())
 def student_t_two_sided(t: pd.Series, df: pd.Series) -> pd.Series:
     t, df = t.to_numpy(dtype=float), df.to_numpy(dtype=float)
     return _clean(beta_regularised(df / 2, 0.5, df / (df + t * t)))
 
 
-@pandas_udf("double")
+@pandas_udf(DoubleType())
 def f_upper(f: pd.Series, d1: pd.Series, d2: pd.Series) -> pd.Series:
     f, d1, d2 = (v.to_numpy(dtype=float) for v in (f, d1, d2))
     return _clean(beta_regularised(d2 / 2, d1 / 2, d2 / (d2 + d1 * f)))
 
 
-@pandas_udf("double")
+@pandas_udf(DoubleType())
 def chi2_upper(x: pd.Series, k: pd.Series) -> pd.Series:
     return _clean([gamma_upper_regularised(float(n) / 2, float(v) / 2) for v, n in zip(x.astype(float), k.astype(float))])

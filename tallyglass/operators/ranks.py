@@ -10,29 +10,26 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tallyglass.workspace import checked_broadcast, materialize
+from tallyglass.workspace import MAX_BROADCAST_ROWS, checked_broadcast, materialize
 
 BUCKETS = 64
 # Groups with fewer distinct values than this stay in one bucket.
 SPLIT_ABOVE = 200_000
 
 
-def bucketed(
+def split_points(
     cells: DataFrame, group: list[str], order: str, buckets: int = BUCKETS, split_above: int = SPLIT_ABOVE
-) -> DataFrame:
-    """Add ``bucket``: increasing in ``order`` inside each group, about equally many cells in each.
-
-    Equal ``order`` values always share a bucket. The split points are one short row per group.
-    """
+) -> DataFrame | None:
+    """One row of ascending ``edges`` for each group above the bound; None when every group is small."""
+    sizes = cells.groupBy(*group).agg(F.count(F.lit(1)).alias("_cells")).filter(F.col("_cells") > split_above)
+    large = materialize(sizes.select(*group), "large-groups")
+    count = large.count()
+    if count == 0:
+        return None
     fractions = [i / buckets for i in range(1, buckets)]
-    edges = cells.groupBy(*group).agg(
-        F.when(F.count(F.lit(1)) > split_above, F.percentile_approx(order, fractions, 1000))
-        .otherwise(F.array().cast("array<double>"))
-        .alias("edges")
-    )
-    joined = cells.join(checked_broadcast(edges, "edges", max_rows=20_000), group)
-    below = F.filter("edges", lambda e: e < F.col(order))
-    return joined.withColumn("bucket", F.size(below)).drop("edges")
+    of_large = cells.join(F.broadcast(large) if count <= MAX_BROADCAST_ROWS else large, group, "left_semi")
+    edges = of_large.groupBy(*group).agg(F.percentile_approx(order, fractions, 1000).alias("edges"))
+    return checked_broadcast(edges, "edges", max_rows=20_000)
 
 
 def running_sums(
@@ -42,26 +39,37 @@ def running_sums(
     sums: dict[str, str],
     buckets: int = BUCKETS,
     split_above: int = SPLIT_ABOVE,
-    label: str = "cells",
+    label: str | None = "cells",
 ) -> DataFrame:
     """Exclusive running sums ``{output: input}`` of pre-aggregated ``cells`` along ``order``.
 
     ``cells`` must hold one row per (group, order): aggregate first, so that repeated values are one
-    row. ``group`` names at least one column (a constant one for a whole-table axis). The cells are stored once, because they feed both the split points and the sums.
+    row. ``group`` names at least one column (a constant one for a whole-table axis). The cells are
+    stored once, because they feed both the split points and the sums; ``label=None`` says that the
+    caller has stored them. Groups above ``split_above``
+    cells are cut into ``buckets`` ranges of about equally many cells; equal values share a bucket.
     """
-    stored = bucketed(materialize(cells, label), group, order, buckets, split_above)
-    inside = Window.partitionBy(*group, "bucket").orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
+    stored = materialize(cells, label) if label else cells
+    edges = split_points(stored, group, order, buckets, split_above)
+    if edges is None:
+        return _sums_within(stored, group, order, sums)
+    below = F.filter("edges", lambda e: e < F.col(order))
+    bucket = F.when(F.col("edges").isNull(), 0).otherwise(F.size(below))
+    cut = stored.join(edges, group, "left").withColumn("_bucket", bucket).drop("edges")
     # At most `buckets` rows per group reach this window.
-    earlier = Window.partitionBy(*group).orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
-    totals = stored.groupBy(*group, "bucket").agg(*[F.sum(c).alias(f"t_{o}") for o, c in sums.items()])
+    earlier = Window.partitionBy(*group).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
+    totals = cut.groupBy(*group, "_bucket").agg(*[F.sum(c).alias(f"t_{o}") for o, c in sums.items()])
     offsets = totals.select(
-        *group, "bucket", *[F.coalesce(F.sum(f"t_{o}").over(earlier), F.lit(0)).alias(f"o_{o}") for o in sums]
-    )
-    local = stored.withColumns(
-        {f"l_{o}": F.coalesce(F.sum(c).over(inside), F.lit(0)) for o, c in sums.items()}
+        *group, "_bucket", *[F.coalesce(F.sum(f"t_{o}").over(earlier), F.lit(0)).alias(f"o_{o}") for o in sums]
     )
-    joined = local.join(offsets, [*group, "bucket"])
-    return joined.select(*cells.columns, "bucket", *[(F.col(f"l_{o}") + F.col(f"o_{o}")).alias(o) for o in sums])
+    local = _sums_within(cut, [*group, "_bucket"], order, sums)
+    joined = local.join(offsets, [*group, "_bucket"])
+    return joined.select(*cells.columns, *[(F.col(o) + F.col(f"o_{o}")).alias(o) for o in sums])
+
+
+def _sums_within(cells: DataFrame, keys: list[str], order: str, sums: dict[str, str]) -> DataFrame:
+    before = Window.partitionBy(*keys).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
+    return cells.withColumns({o: F.coalesce(F.sum(c).over(before), F.lit(0)) for o, c in sums.items()})
 
 
 def average_ranks(

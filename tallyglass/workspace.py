@@ -7,8 +7,10 @@ whole upstream plan.
 
 from __future__ import annotations
 
+import shutil
 import tempfile
 import uuid
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -53,3 +55,20 @@ def checked_broadcast(small: DataFrame, label: str, max_rows: int = MAX_BROADCAS
     """
     table = materialize(small, label)
     return F.broadcast(table) if table.count() <= max_rows else table
+
+
+_shipped: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make this package importable in Python workers (once per application).
+
+    Not needed when the job was submitted with ``--py-files`` or the package is installed on the nodes.
+    """
+    context = spark.sparkContext
+    if context.applicationId in _shipped:
+        return
+    package = Path(__file__).resolve().parent
+    archive = Path(tempfile.mkdtemp(prefix="tallyglass-ship-")) / "tallyglass-package"
+    context.addPyFile(shutil.make_archive(str(archive), "zip", package.parent, package.name))
+    _shipped.add(context.applicationId)
