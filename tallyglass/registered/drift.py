@@ -95,7 +95,7 @@ def normality_shapiro(spark, sf_dir):
 
 
 def changepoints(spark, sf_dir):
-    return present(changepoint.change_points(_rows(spark, sf_dir), ["tx_amount", "tx_fraud"]))
+    return present(changepoint.change_points(_rows(spark, sf_dir), ["tx_amount", "tx_fraud", "tx_time_seconds"]))
 
 
 QUERIES = {
