@@ -23,7 +23,8 @@ def transactions_from_events(events: DataFrame) -> DataFrame:
         "event_id % 97 as terminal_id",
         "case when event_id % 50 = 7 then null when event_id % 41 = 3 then -value else value end"
         " as tx_amount",
-        f"timestampdiff(SECOND, timestamp_ntz'{EPOCH} 00:00:00', ts) as tx_time_seconds",
+        f"datediff(cast(ts as date), date'{EPOCH}') * 86400L + hour(ts) * 3600 + minute(ts) * 60 + second(ts)"
+        " as tx_time_seconds",
         f"datediff(cast(ts as date), date'{EPOCH}') as tx_time_days",
         "case when value > 150 then 1 when event_type = 'error' and event_id % 13 = 0 then 1"
         " else 0 end as tx_fraud",

@@ -10,17 +10,7 @@ TWO_32 = 4294967296.0
 
 def hash32(text: Column) -> Column:
     """First 32 bits of the MD5 of ``text`` as a non-negative bigint."""
-    return hex_word(F.md5(text), 0)
-
-
-def hex_word(digest: Column, index: int) -> Column:
-    """The ``index``-th (0..3) 32-bit word of a hexadecimal MD5 digest."""
-    return F.conv(F.substring(digest, 8 * index + 1, 8), 16, 10).cast("bigint")
-
-
-def uniform(word: Column) -> Column:
-    """Map a 32-bit word into the open interval (0, 1)."""
-    return (word + F.lit(0.5)) / F.lit(TWO_32)
+    return F.conv(F.substring(F.md5(text), 1, 8), 16, 10).cast("bigint")
 
 
 def pseudonym(column: Column, salt: str) -> Column:

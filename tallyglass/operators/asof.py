@@ -1,15 +1,17 @@
 """Point-in-time joins: for each request row, the latest feature row that was known and not too old.
 
 All sides are stacked and one running ``last`` fills the request rows, so the work is one shuffle
-whatever the number of feature tables. Partitions are (key, time bucket), not key alone: a bucket is
-as wide as the longest time-to-live, hence only the newest row of the bucket before can still be
-needed, and that single row is carried forward. A key that holds most of the table is therefore
-spread over its buckets.
+whatever the number of feature tables. Partitions are (key, time bucket), not key alone. A bucket is
+as wide as the longest time-to-live: only the newest row of the bucket before can still be needed,
+and that single row is carried forward. If the fullest (key, bucket) is over a bound, the buckets
+are made narrower until it is not, and rows are carried over as many buckets as needed; a key that
+holds most of the table is therefore cut into slices of bounded size.
 """
 
 from __future__ import annotations
 
 import datetime as dt
+import math
 from dataclasses import dataclass
 from functools import reduce
 
@@ -18,6 +20,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 DEFAULT_BUCKET = dt.timedelta(days=30)
+SLICE_ROWS = 10_000_000
+SHORTEST_SLICE = 1_000_000  # microseconds
+MICROSECOND = dt.timedelta(microseconds=1)
 
 
 @dataclass(frozen=True)
@@ -35,15 +40,11 @@ class FeatureTable:
 
 
 def micros(column: Column, kind: T.DataType) -> Column:
-    """Microseconds since 1970 without a time-zone conversion for zone-less timestamps."""
-    if isinstance(kind, T.TimestampNTZType):
-        return F.timestamp_diff("MICROSECOND", F.lit("1970-01-01 00:00:00").cast(kind), column)
-    return F.unix_micros(column.cast("timestamp"))
-
-
-def _bucket(column: Column, kind: T.DataType, width: dt.timedelta) -> Column:
-    size = width // dt.timedelta(microseconds=1)
-    return F.floor(micros(column, kind) / F.lit(size)).cast("bigint")
+    """Microseconds since 1970. Zone-less times are read off their calendar fields, in no time zone."""
+    if not isinstance(kind, T.TimestampNTZType):
+        return F.unix_micros(column.cast("timestamp"))
+    minutes = F.unix_date(column.cast("date")).cast("bigint") * 1440 + F.hour(column) * 60 + F.minute(column)
+    return minutes * 60_000_000 + (F.extract(F.lit("SECOND"), column) * 1_000_000).cast("bigint")
 
 
 def latest_per_key(
@@ -71,49 +72,43 @@ def asof_join(
     keys: list[str],
     timestamp: str = "event_timestamp",
     bucket: dt.timedelta | None = None,
+    slice_rows: int | None = SLICE_ROWS,
 ) -> DataFrame:
     """Left as-of join of ``requests`` with every table at once.
 
     A feature matches when ``feature time <= request time`` and the age is at most the column's
     time-to-live (both ends inclusive); the newest match wins. Request rows are all kept.
-    ``bucket`` is used when a table has no time-to-live; its rows may then be carried any distance.
+    ``bucket`` overrides the slice width; without a time-to-live the default is 30 days.
+    ``slice_rows`` bounds the rows of one (key, bucket): a count over the two key columns checks it.
+    None skips the check, for inputs known to be even.
     """
     kind = requests.schema[timestamp].dataType
     lives = [t.longest_ttl() for t in tables]
     bounded = all(life is not None for life in lives)
-    width = max(lives) if bounded else (bucket or DEFAULT_BUCKET)
-    slots = []
-    for table in tables:
-        used = sorted({c for c, _ in table.columns.values()})
-        stamp = F.col(table.timestamp).cast(kind)
-        created = F.lit(0)
-        if table.created:
-            made = table.frame.schema[table.created].dataType
-            stamped = isinstance(made, (T.TimestampType, T.TimestampNTZType))
-            created = micros(F.col(table.created), made) if stamped else F.col(table.created).cast("bigint")
-        row = F.struct(stamp.alias("at"), created.alias("made"), *[F.col(c).alias(f"v_{c}") for c in used])
-        slots.append(
-            table.frame.filter(F.col(table.timestamp).isNotNull()).select(
-                *keys, _bucket(stamp, kind, width).alias("_bucket"), row.alias("f")
-            )
-        )
+    size = (bucket or (max(lives) if bounded else DEFAULT_BUCKET)) // MICROSECOND
+    reach = max(lives) // MICROSECOND if bounded else None
+    features = [_feature_rows(table, keys, kind) for table in tables]
     asked = requests.select(
         *keys,
-        _bucket(F.col(timestamp), kind, width).alias("_bucket"),
         F.col(timestamp).alias("_at"),
+        micros(F.col(timestamp), kind).alias("_us"),
         F.struct(*requests.columns).alias("_row"),
     )
+    if slice_rows:
+        size = _narrowed(size, [*features, asked], keys, slice_rows)
+    cut = F.floor(F.col("_us") / F.lit(size)).cast("bigint").alias("_bucket")
+    asked = asked.select("*", cut).drop("_us")
     parts = [asked.withColumn("_side", F.lit(1))]
-    for i, slot in enumerate(slots):
+    for i, rows in enumerate(features):
+        slot = rows.select(*keys, cut, "f")
         newest = slot.groupBy(*keys, "_bucket").agg(F.max("f").alias("f"))
-        if bounded:
+        if reach is not None and reach <= size:
             carried = newest.withColumn("_bucket", F.col("_bucket") + 1)
         else:
             carried = _carry_any_distance(newest, asked, keys)
         for part in (slot, carried):
-            parts.append(
-                part.select(*keys, "_bucket", F.col("f.at").alias("_at"), F.col("f").alias(f"_f{i}"), F.lit(0).alias("_side"))
-            )
+            columns = (*keys, "_bucket", F.col("f.at").alias("_at"), F.col("f").alias(f"_f{i}"), F.lit(0).alias("_side"))
+            parts.append(part.select(*columns))
     stacked = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
     window = (
         Window.partitionBy(*keys, "_bucket")
@@ -129,11 +124,37 @@ def asof_join(
         for name, (column, ttl) in table.columns.items():
             value = F.col(f"_f{i}.v_{column}")
             if ttl is not None:
-                value = F.when(age <= F.lit(ttl // dt.timedelta(microseconds=1)), value)
+                value = F.when(age <= F.lit(ttl // MICROSECOND), value)
             out.append(value.alias(name))
     return filled.select(*out)
 
 
+def _feature_rows(table: FeatureTable, keys: list[str], kind: T.DataType) -> DataFrame:
+    """(keys, _us, f): ``f`` orders by event time, then creation time, then values."""
+    stamp = F.col(table.timestamp).cast(kind)
+    created = F.lit(0)
+    if table.created:
+        made = table.frame.schema[table.created].dataType
+        stamped = isinstance(made, (T.TimestampType, T.TimestampNTZType))
+        created = micros(F.col(table.created), made) if stamped else F.col(table.created).cast("bigint")
+    used = sorted({c for c, _ in table.columns.values()})
+    row = F.struct(stamp.alias("at"), created.alias("made"), *[F.col(c).alias(f"v_{c}") for c in used])
+    known = table.frame.filter(F.col(table.timestamp).isNotNull())
+    return known.select(*keys, micros(stamp, kind).alias("_us"), row.alias("f"))
+
+
+def _narrowed(size: int, sides: list[DataFrame], keys: list[str], slice_rows: int) -> int:
+    """The bucket size, divided until the fullest (key, bucket) holds at most ``slice_rows`` (or a second)."""
+    while True:
+        cut = F.floor(F.col("_us") / F.lit(size)).alias("_bucket")
+        both = reduce(lambda a, b: a.unionAll(b), [side.select(*keys, cut) for side in sides])
+        counts = both.groupBy(*keys, "_bucket").agg(F.count(F.lit(1)).alias("n"))
+        fullest = counts.agg(F.max("n")).first()[0] or 0
+        if fullest <= slice_rows or size <= SHORTEST_SLICE:
+            return size
+        size = max(SHORTEST_SLICE, size // math.ceil(fullest / slice_rows))
+
+
 def _carry_any_distance(newest: DataFrame, asked: DataFrame, keys: list[str]) -> DataFrame:
     """For each bucket with requests, the newest feature row of any earlier bucket.
 
@@ -164,8 +185,8 @@ def validity_join(
     of a slot few.
     """
     kind = requests.schema[timestamp].dataType
-    life = ttl // dt.timedelta(microseconds=1)
-    size = (slot or ttl) // dt.timedelta(microseconds=1)
+    life = ttl // MICROSECOND
+    size = (slot or ttl) // MICROSECOND
     feats = features.select(*keys, timestamp, *([created] if created else []), *columns)
     if created:
         feats = deduplicate(feats, keys, timestamp, created)

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from tallyglass.functions.hashing import pseudonym
 from tallyglass.functions.numeric import ratio_or
+from tallyglass.operators.ranks import quantiles
 from tallyglass.schema import POSITIVE_COLUMNS, TIME_COLUMN
 from tallyglass.workspace import checked_broadcast
 
@@ -68,21 +69,11 @@ def fill_numeric_nulls(df: DataFrame, columns: list[str]) -> DataFrame:
     return df.fillna(0, subset=columns)
 
 
-def iqr_fences(df: DataFrame, columns: list[str], day: str = "date", k: float = 1.5, accuracy: int = 100000) -> DataFrame:
+def iqr_fences(df: DataFrame, columns: list[str], day: str = "date", k: float = 1.5) -> DataFrame:
     """Lower and upper fence per day and column: quartiles minus / plus ``k`` interquartile ranges."""
-    quartiles = df.groupBy(day).agg(
-        *[F.percentile_approx(c, [0.25, 0.75], accuracy).alias(c) for c in columns]
-    )
-    rows = F.explode(
-        F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).cast("array<double>").alias("q")) for c in columns])
-    )
-    spread = (F.col("r.q")[1] - F.col("r.q")[0]) * F.lit(float(k))
-    return quartiles.select(day, rows.alias("r")).select(
-        day,
-        F.col("r.column").alias("column"),
-        (F.col("r.q")[0] - spread).alias("low"),
-        (F.col("r.q")[1] + spread).alias("high"),
-    )
+    table = quantiles(df.filter(F.col(day).isNotNull()), [day], columns, [0.25, 0.75])
+    spread = (F.col("q")[1] - F.col("q")[0]) * F.lit(float(k))
+    return table.select(day, "column", (F.col("q")[0] - spread).alias("low"), (F.col("q")[1] + spread).alias("high"))
 
 
 def drop_outliers(df: DataFrame, columns: list[str], day: str = "date", k: float = 1.5) -> DataFrame:

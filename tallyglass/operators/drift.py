@@ -16,9 +16,9 @@ from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
 from pyspark.sql.types import DoubleType
 
-from tallyglass.functions.numeric import finite, ratio_or
+from tallyglass.functions.numeric import ratio_or
 from tallyglass.functions.tails import chi2_upper, f_upper, normal_two_sided, student_t_two_sided
-from tallyglass.operators.profile import calendar
+from tallyglass.operators.profile import calendar, moments
 from tallyglass.operators.ranks import SPLIT_ABOVE, running_sums
 from tallyglass.operators.sampling import hash_sample
 from tallyglass.workspace import checked_broadcast, materialize
@@ -36,34 +36,31 @@ def values_long(df: DataFrame, columns: list[str], keep: list[str]) -> DataFrame
 
 
 def day_moments(df: DataFrame, columns: list[str], day: str = "date") -> DataFrame:
-    """Count, mean, sample variance, skewness, excess kurtosis per day and column; one pass, no unpivot."""
-    states = [
-        F.struct(
-            F.lit(c).alias("feature"),
-            F.count(c).alias("n"),
-            F.avg(c).alias("mean"),
-            F.var_samp(c).alias("var"),
-            finite(F.skewness(c)).alias("skew"),
-            finite(F.kurtosis(c)).alias("kurt"),
-        ).alias(c)
-        for c in columns
-    ]
-    wide = df.filter(F.col(day).isNotNull()).groupBy(day).agg(*states)
-    return wide.select(day, F.explode(F.array(*columns)).alias("m")).select(day, "m.*")
+    """Count, mean, sample variance, skewness, excess kurtosis per day and column."""
+    table = moments(df.filter(F.col(day).isNotNull()), [day], columns)
+    return table.select(
+        day,
+        F.col("column").alias("feature"),
+        F.col("non_null").alias("n"),
+        "mean",
+        "var",
+        F.col("skewness").alias("skew"),
+        F.col("kurtosis").alias("kurt"),
+    )
 
 
-def jarque_bera(moments: DataFrame) -> DataFrame:
+def jarque_bera(table: DataFrame) -> DataFrame:
     """Normality from skewness and kurtosis: statistic, p = exp(-JB / 2), verdict (null when undefined)."""
     jb = F.col("n") / F.lit(6.0) * (F.col("skew") * F.col("skew") + F.col("kurt") * F.col("kurt") / F.lit(4.0))
-    return moments.withColumn("jb", jb).withColumn("p_value", F.exp(-F.col("jb") / F.lit(2.0))).withColumn(
+    return table.withColumn("jb", jb).withColumn("p_value", F.exp(-F.col("jb") / F.lit(2.0))).withColumn(
         "normal", F.col("p_value") >= ALPHA
     )
 
 
-def paired_moments(moments: DataFrame, days: DataFrame, day: str = "date") -> DataFrame:
+def paired_moments(table: DataFrame, days: DataFrame, day: str = "date") -> DataFrame:
     """Each day's moments beside those of its previous available day."""
     sides = [
-        moments.select(
+        table.select(
             F.col(day).alias(name), "feature", *[F.col(c).alias(f"{c}_{side}") for c in ("n", "mean", "var", "skew", "kurt")]
         )
         for side, name in (("cur", day), ("ref", "prev_date"))
@@ -183,11 +180,13 @@ def _exact_u(stat: float, m: int, n: int) -> float:
     return float(min(1.0, 2.0 * ways[int(math.ceil(high)) :].sum() / ways.sum()))
 
 
-def spread_and_stability(cells: DataFrame, summary: DataFrame, day: str = "date") -> DataFrame:
+def spread_and_stability(
+    cells: DataFrame, summary: DataFrame, day: str = "date", stored: bool = False
+) -> DataFrame:
     """Second pass over the cells with medians and deciles known: Levene F and the stability index."""
     group = [day, "feature"]
     known = summary.select(*group, "n1", "n2", "median_cur", "median_ref", "edges")
-    rows = cells.join(checked_broadcast(known, "pair-summary"), group)
+    rows = cells.join(checked_broadcast(known, "pair-summary", stored=stored), group)
     bin_of = F.size(F.filter("edges", lambda e: e < F.col("value")))
     dev = {s: F.abs(F.col("value") - F.col(f"median_{s}")) for s in ("cur", "ref")}
     sums = [
@@ -227,13 +226,13 @@ def compare_days(
     ``different`` by the t test (both normal; ``unequal_variance`` notes a failed Levene test) or by
     the rank test (neither normal); ``undecided`` without a defined normality (constant columns).
     """
-    days = checked_broadcast(calendar(df, day), "calendar")
-    moments = materialize(day_moments(df, columns, day), "moments")
-    paired = pooled_t(paired_moments(moments, days, day))
+    shapes = materialize(day_moments(df, columns, day), "moments")
+    days = checked_broadcast(calendar(shapes, day), "calendar")
+    paired = pooled_t(paired_moments(shapes, days, day))
     cells = materialize(pair_cells(df, columns, days, day), "pair-cells")
     ranks = materialize(rank_summary(cells, day, split_above), "rank-summary")
-    spread = spread_and_stability(cells, ranks, day)
-    normality = jarque_bera(moments).select(F.col(day).alias("d"), F.col("feature").alias("f"), "jb", "p_value", "normal")
+    spread = spread_and_stability(cells, ranks, day, stored=True)
+    normality = jarque_bera(shapes).select(F.col(day).alias("d"), F.col("feature").alias("f"), "jb", "p_value", "normal")
     sides = {
         s: normality.select(
             F.col("d").alias(d), F.col("f").alias("feature"),

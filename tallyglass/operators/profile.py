@@ -6,9 +6,10 @@ from itertools import combinations
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from tallyglass.functions.numeric import as_numeric, finite, numeric_columns, ratio_or
+from tallyglass.operators.ranks import SPLIT_ABOVE, cell_quantiles, value_cells
+from tallyglass.workspace import materialize
 
 # Names of the statistics in a profile row.
 PROFILE_STATS = [
@@ -25,86 +26,97 @@ PROFILE_STATS = [
     "non_null_ratio",
     "duplicates_ratio",
 ]
-QUANTILE_ACCURACY = 100000
+QUARTILES = [0.25, 0.5, 0.75]
+SKETCH_ACCURACY = 10000
 
 
-def _moments(df: DataFrame, by: list[str], columns: list[str]) -> DataFrame:
-    """One scan, one shuffle of partial states: all statistics that merge, for every column at once."""
+def column_rows(df: DataFrame, by: list[str], columns: list[str]) -> DataFrame:
+    """(by, code, value): one row per row and column, nulls kept; ``code`` indexes ``columns``.
+
+    Aggregates over this form have one short set of states instead of one per column, which keeps the
+    generated code small enough to be compiled well; the extra rows never leave the task.
+    """
+    cells = [F.struct(F.lit(i).alias("code"), F.col(c).cast("double").alias("value")) for i, c in enumerate(columns)]
+    return df.select(*by, F.explode(F.array(*cells)).alias("c")).select(*by, "c.*")
+
+
+def moments(df: DataFrame, by: list[str], columns: list[str]) -> DataFrame:
+    """Everything that merges, per group and column: one scan, one shuffle of small partial states."""
+    table = column_rows(df, by, columns).groupBy(*by, "code").agg(
+        F.count(F.lit(1)).alias("rows"),
+        F.count("value").alias("non_null"),
+        F.avg("value").alias("mean"),
+        F.stddev_pop("value").alias("std"),
+        F.var_samp("value").alias("var"),
+        F.min("value").alias("min"),
+        F.max("value").alias("max"),
+        finite(F.skewness("value")).alias("skewness"),
+        finite(F.kurtosis("value")).alias("kurtosis"),
+    )
+    return _named(table, by, columns)
+
+
+def _sketches(df: DataFrame, by: list[str], columns: list[str]) -> DataFrame:
+    """Approximate quartiles and distinct values of every column."""
     states = []
     for c in columns:
-        value = F.col(c).cast("double")
-        states.append(
-            F.struct(
-                F.lit(c).alias("column"),
-                F.count(F.lit(1)).alias("rows"),
-                F.count(c).alias("non_null"),
-                F.avg(c).alias("mean"),
-                F.stddev_pop(c).alias("std"),
-                F.min(value).alias("min"),
-                F.max(value).alias("max"),
-                F.percentile_approx(value, [0.5, 0.25, 0.75], QUANTILE_ACCURACY).alias("q"),
-                finite(F.skewness(c)).alias("skewness"),
-                finite(F.kurtosis(c)).alias("kurtosis"),
-            ).alias(c)
-        )
+        distinct = F.approx_count_distinct(c) + F.max(F.col(c).isNull().cast("bigint"))
+        q = F.percentile_approx(F.col(c).cast("double"), QUARTILES, SKETCH_ACCURACY)
+        states.append(F.struct(F.lit(c).alias("column"), q.alias("q"), distinct.alias("distinct_values")).alias(c))
     wide = df.groupBy(*by).agg(*states)
     return wide.select(*by, F.explode(F.array(*columns)).alias("p")).select(*by, "p.*")
 
 
+def _named(table: DataFrame, by: list[str], columns: list[str]) -> DataFrame:
+    names = F.array(*[F.lit(c) for c in columns])
+    rest = [c for c in table.columns if c not in {*by, "code"}]
+    return table.select(*by, names[F.col("code")].alias("column"), *rest)
+
+
 def distinct_counts(df: DataFrame, by: list[str], columns: list[str], approximate: bool = False) -> DataFrame:
     """Distinct values per column, null counted as one value.
 
-    Exact: rows are unpivoted to (column code, value) and de-duplicated map-side, so a hot day or a
-    hot value never gathers in one task; only distinct values travel. Approximate: one sketch per
-    column, no unpivot.
+    Exact: repeated values collapse map-side and only distinct ones travel. Approximate: one sketch
+    per column, no unpivot.
     """
     if approximate:
         sketches = [
             (F.approx_count_distinct(c) + F.max(F.col(c).isNull().cast("bigint"))).alias(c) for c in columns
         ]
-        wide = df.groupBy(*by).agg(*sketches)
-        return wide.unpivot(by, columns, "column", "distinct_values")
-    integral = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
-    slots = []
-    for code, c in enumerate(columns):
-        whole = isinstance(df.schema[c].dataType, integral)
-        slots.append(
-            F.struct(
-                F.lit(code).alias("code"),
-                (F.col(c) if whole else F.lit(None)).cast("bigint").alias("l"),
-                (F.lit(None) if whole else F.col(c)).cast("double").alias("d"),
-            )
-        )
-    values = df.select(*by, F.explode(F.array(*slots)).alias("v")).select(*by, "v.*").distinct()
-    names = F.array(*[F.lit(c) for c in columns])
-    return (
-        values.groupBy(*by, "code")
-        .agg(F.count(F.lit(1)).alias("distinct_values"))
-        .select(*by, names[F.col("code")].alias("column"), "distinct_values")
-    )
+        return df.groupBy(*by).agg(*sketches).unpivot(by, columns, "column", "distinct_values")
+    cells = value_cells(df, by, columns)
+    return _named(cells.groupBy(*by, "code").agg(F.count(F.lit(1)).alias("distinct_values")), by, columns)
 
 
 def profile(
     df: DataFrame,
     by: list[str] | None = None,
     columns: list[str] | None = None,
-    approximate_distinct: bool = False,
+    approximate: bool = False,
+    split_above: int = SPLIT_ABOVE,
 ) -> DataFrame:
     """One row per group and numeric column.
 
-    ``non_null_ratio`` is the filled share; ``missing_ratio`` is its complement. Two branches: the
-    mergeable statistics and the distinct values, both pre-aggregated before their shuffle, joined on
-    the (few) result rows.
+    ``non_null_ratio`` is the filled share; ``missing_ratio`` is its complement. Exact distinct values
+    and quartiles come from one set of value cells, so a day that holds most of the table is spread
+    over tasks; ``approximate`` takes sketches instead and shuffles only small states.
     """
     by = by or []
     columns = columns or [c for c in numeric_columns(df) if c not in by]
     source = as_numeric(df, columns)
     for key in by:
         source = source.filter(F.col(key).isNotNull())
-    stats = _moments(source, by, columns)
-    unique = distinct_counts(source, by, columns, approximate_distinct)
+    stats = moments(source, by, columns)
+    if approximate:
+        stats = stats.join(_sketches(source, by, columns), [*by, "column"])
+    else:
+        group = [*by, "code"]
+        cells = materialize(value_cells(source, by, columns), "profile-cells")
+        unique = cells.groupBy(*group).agg(F.count(F.lit(1)).alias("distinct_values"))
+        quartiles = cell_quantiles(cells, group, QUARTILES, split_above)
+        stats = stats.join(_named(unique.join(quartiles, group, "left"), by, columns), [*by, "column"])
     share = ratio_or(F.col("non_null"), F.col("rows"))
-    return stats.join(unique, [*by, "column"]).select(
+    return stats.select(
         *by,
         "column",
         "rows",
@@ -112,8 +124,8 @@ def profile(
         "std",
         "min",
         "max",
-        F.col("q")[0].alias("median"),
-        F.col("q")[1].alias("25percentile"),
+        F.col("q")[1].alias("median"),
+        F.col("q")[0].alias("25percentile"),
         F.col("q")[2].alias("75percentile"),
         "skewness",
         "kurtosis",
@@ -133,24 +145,35 @@ def correlation(
 ) -> DataFrame:
     """Pearson matrix in long form (group, col_a, col_b, corr) after null -> 0; undefined is null.
 
-    All column pairs share one aggregate: the shuffle carries one state row per task and group.
+    Each row becomes one row per left column, with the later columns beside it; the aggregate runs
+    map-side and the shuffle carries one state row per task, group and column.
     Covariance over the two deviations, because ``corr`` raises on a constant column in ANSI mode.
     """
     by = by or []
     columns = columns or [c for c in numeric_columns(df) if c not in by]
     source = as_numeric(df, columns).fillna(0, subset=columns)
-    pairs = list(combinations(columns, 2))
-    states = [F.covar_pop(a, b).alias(f"p{i}") for i, (a, b) in enumerate(pairs)]
-    states += [F.stddev_pop(c).alias(f"s_{c}") for c in columns]
-    wide = source.groupBy(*by).agg(F.count(F.lit(1)).alias("rows"), *states).filter("rows > 0")
-    one = F.lit(1.0)
-    cells = [F.struct(F.lit(c).alias("col_a"), F.lit(c).alias("col_b"), one.alias("corr")) for c in columns]
-    for i, (a, b) in enumerate(pairs):
-        scale = F.col(f"s_{a}") * F.col(f"s_{b}")
-        value = F.when(scale > 0, F.col(f"p{i}") / scale).alias("corr")
+    right = range(1, len(columns))
+    rows = [
+        F.struct(
+            F.lit(i).alias("code"),
+            F.col(a).cast("double").alias("a"),
+            *[(F.col(columns[j]) if j > i else F.lit(None)).cast("double").alias(f"b{j}") for j in right],
+        )
+        for i, a in enumerate(columns)
+    ]
+    states = source.select(*by, F.explode(F.array(*rows)).alias("r")).select(*by, "r.*").groupBy(*by, "code").agg(
+        F.stddev_pop("a").alias("std"), *[F.covar_pop("a", f"b{j}").alias(f"c{j}") for j in right]
+    )
+    # One row per group: deviations and covariances of all columns, in the order of their codes.
+    fields = F.struct("code", "std", F.array(*[F.col(f"c{j}") for j in right]).alias("cov"))
+    matrix = states.groupBy(*by).agg(F.sort_array(F.collect_list(fields)).alias("m"))
+    cells = [F.struct(F.lit(c).alias("col_a"), F.lit(c).alias("col_b"), F.lit(1.0).alias("corr")) for c in columns]
+    for (i, a), (j, b) in combinations(enumerate(columns), 2):
+        scale = F.col("m")[i]["std"] * F.col("m")[j]["std"]
+        value = F.when(scale > 0, F.col("m")[i]["cov"][j - 1] / scale).alias("corr")
         cells.append(F.struct(F.lit(a).alias("col_a"), F.lit(b).alias("col_b"), value))
         cells.append(F.struct(F.lit(b).alias("col_a"), F.lit(a).alias("col_b"), value))
-    out = wide.select(*by, F.explode(F.array(*cells)).alias("c")).select(*by, "c.*")
+    out = matrix.filter(F.size("m") > 0).select(*by, F.explode(F.array(*cells)).alias("c")).select(*by, "c.*")
     return out if digits is None else out.withColumn("corr", F.bround("corr", digits))
 
 

@@ -12,6 +12,10 @@ from tallyglass.schema import LABEL
 from tallyglass.workspace import checked_broadcast
 
 
+# Ranks up to this limit are pre-filtered per task by the optimizer (its default threshold).
+PRE_LIMIT = 1000
+
+
 def hash_split(df: DataFrame, key: str, train: float = 0.8, salt: str = "") -> tuple[DataFrame, DataFrame]:
     """Train and test rows by key hash: stable under repartitioning, retries and re-runs."""
     slot = hash32(F.concat(F.lit(salt), F.col(key).cast("string"))) % 10
@@ -31,13 +35,18 @@ def hash_fold(key: str, folds: int = 3, salt: str = "fold-") -> Column:
 def hash_sample(df: DataFrame, key: str, n: int, salt: str = "", by: list[str] | None = None) -> DataFrame:
     """``min(n, rows)`` rows without replacement, per group when ``by`` is given, in key-hash order.
 
-    Every task keeps only its own ``n`` smallest before anything is exchanged.
+    Every task keeps only its own ``n`` smallest before anything is exchanged; for samples above the
+    optimizer's own limit for that, each of 256 slices of a group is cut to ``n`` first.
     """
     draw = hash32(F.concat(F.lit(salt), F.col(key).cast("string")))
     if not by:
         return df.orderBy(draw, key).limit(n)
-    order = Window.partitionBy(*by).orderBy(draw, key)
-    return df.withColumn("_n", F.row_number().over(order)).filter(F.col("_n") <= n).drop("_n")
+    rows = df.withColumn("_draw", draw)
+    if n > PRE_LIMIT:
+        slices = Window.partitionBy(*by, F.col("_draw") % 256).orderBy("_draw", key)
+        rows = rows.withColumn("_n", F.row_number().over(slices)).filter(F.col("_n") <= n)
+    order = Window.partitionBy(*by).orderBy("_draw", key)
+    return rows.withColumn("_n", F.row_number().over(order)).filter(F.col("_n") <= n).drop("_n", "_draw")
 
 
 def sample_with_replacement(df: DataFrame, fraction: float, seed: int) -> DataFrame:

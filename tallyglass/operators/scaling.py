@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallyglass.operators.profile import calendar
+from tallyglass.operators.ranks import quantiles
 from tallyglass.workspace import checked_broadcast
 
 SCALERS = ("minmax", "standard", "robust")
@@ -19,15 +20,19 @@ def scaler_stats(df: DataFrame, columns: list[str], by: list[str], method: str =
     """Per group and column the shift and the width of the scaler, as ``{column}_shift/_width``."""
     if method not in SCALERS:
         raise ValueError(f"method must be one of {SCALERS}")
+    if method == "robust":
+        key = by or ["_all"]
+        source = df if by else df.withColumn("_all", F.lit(1))
+        q = F.first("q")
+        fields = (q[1].alias("shift"), (q[2] - q[0]).alias("width"))
+        table = quantiles(source, key, columns, [0.25, 0.5, 0.75]).groupBy(*key).pivot("column", columns).agg(*fields)
+        return table if by else table.drop("_all")
     out = []
     for c in columns:
         if method == "minmax":
             shift, width = F.min(c), F.max(c) - F.min(c)
-        elif method == "standard":
-            shift, width = F.avg(c), F.stddev_samp(c)
         else:
-            q = F.percentile_approx(c, [0.25, 0.5, 0.75], 100000)
-            shift, width = q[1], q[2] - q[0]
+            shift, width = F.avg(c), F.stddev_samp(c)
         out += [shift.cast("double").alias(f"{c}_shift"), width.cast("double").alias(f"{c}_width")]
     return df.groupBy(*by).agg(*out)
 

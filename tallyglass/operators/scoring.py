@@ -84,10 +84,16 @@ def class_f1(
     )
 
 
-def score_cells(df: DataFrame, by: list[str], weight: str | Column | None = None, score: str = "score") -> DataFrame:
-    """One row per distinct score with the four confusion weights (pre-aggregated map-side)."""
+def score_cells(
+    df: DataFrame, by: list[str], weight: str | Column | None = None, score: str = "score", bins: int | None = None
+) -> DataFrame:
+    """One row per distinct score with the four confusion weights (pre-aggregated map-side).
+
+    ``bins`` rounds scores in [0, 1] down to that many steps: an approximate area from small cells.
+    """
     cells = confusion_columns(weight=_weight(weight))
-    return df.groupBy(*by, score).agg(*[c.alias(n) for n, c in cells.items()])
+    value = F.col(score) if bins is None else F.floor(F.col(score) * bins) / F.lit(float(bins))
+    return df.groupBy(*by, value.alias(score)).agg(*[c.alias(n) for n, c in cells.items()])
 
 
 def area_and_counts(cells: DataFrame, by: list[str], score: str = "score") -> DataFrame:
@@ -105,9 +111,9 @@ def area_under_roc(df: DataFrame, by: list[str], weight: str | None = None, scor
     return area_and_counts(score_cells(df, by, weight, score), by, score).select(*by, "auc")
 
 
-def evaluate(df: DataFrame, by: list[str], weight: str | None = None) -> DataFrame:
+def evaluate(df: DataFrame, by: list[str], weight: str | None = None, bins: int | None = None) -> DataFrame:
     """All metrics of each group in one row, from one pass over the predictions."""
-    table = area_and_counts(score_cells(df, by, weight), by)
+    table = area_and_counts(score_cells(df, by, weight, bins=bins), by)
     return table.select(
         *by,
         "auc",

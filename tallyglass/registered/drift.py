@@ -51,7 +51,7 @@ def levene_stat(spark, sf_dir):
 def ttest_stat(spark, sf_dir):
     rows = _rows(spark, sf_dir)
     moments = materialize(drift.day_moments(rows, FEATURES), "moments")
-    table = drift.pooled_t(drift.paired_moments(moments, _calendar(rows)))
+    table = drift.pooled_t(drift.paired_moments(moments, _calendar(moments)))
     return present(table.select("date", "feature", "t", "t_df", student_t_two_sided("t", "t_df").alias("t_p")))
 
 

@@ -103,8 +103,13 @@ def business_limits(spark, sf_dir):
     return present(scoring.business_limits(_preds(spark, sf_dir), ["model"]))
 
 
+def _intervals(spark, sf_dir):
+    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return bootstrap.bootstrap_ci(_preds(spark, sf_dir), REPLICATES, 95.0, FRACTION, spread=tasks)
+
+
 def bootstrap_ci(spark, sf_dir):
-    return present(bootstrap.bootstrap_ci(_preds(spark, sf_dir), REPLICATES, 95.0, FRACTION))
+    return present(_intervals(spark, sf_dir))
 
 
 def bootstrap_ci_paired(spark, sf_dir):
@@ -112,12 +117,12 @@ def bootstrap_ci_paired(spark, sf_dir):
 
 
 def ab_compare(spark, sf_dir):
-    table = bootstrap.compare(bootstrap.bootstrap_ci(_preds(spark, sf_dir), REPLICATES, 95.0, FRACTION))
+    table = bootstrap.compare(_intervals(spark, sf_dir))
     return present(table.withColumn("improved", F.coalesce(F.col("improved").cast("string"), F.lit("unknown"))))
 
 
 def ab_verdict(spark, sf_dir):
-    table = bootstrap.compare(bootstrap.bootstrap_ci(_preds(spark, sf_dir), REPLICATES, 95.0, FRACTION))
+    table = bootstrap.compare(_intervals(spark, sf_dir))
     return present(bootstrap.verdict(table))
 
 
@@ -273,11 +278,11 @@ _F1W = f"((tp + fn) * ({_F1}) + (tn + fp) * ({_F1N})) / (tp + fn + tn + fp)"
 
 def _draws_sql(source: str, columns: str, prefix: str, key: str, n: int, rate: float) -> str:
     steps = " + ".join(f"(u > '{c!r}'::double)::bigint" for c in sampling.poisson_cdf(rate))
-    return f"""digests as (select {columns}, b.block, md5({prefix}{key} || '-' || b.block) as digest
-  from {source}, (select unnest(range(0, {(n + 3) // 4})) as block) b),
-words as (select *, block * 4 + w.i as replicate,
+    return f"""digests as (select {columns}, b.block, sha256({prefix}{key} || '-' || b.block) as digest
+  from {source}, (select unnest(range(0, {(n + 7) // 8})) as block) b),
+words as (select *, block * 8 + w.i as replicate,
   (('0x' || substr(digest, 8 * w.i + 1, 8))::bigint + 0.5::double) / 4294967296.0::double as u
-  from digests, (select unnest(range(0, 4)) as i) w),
+  from digests, (select unnest(range(0, 8)) as i) w),
 drawn as (select * exclude (u), {steps} as copies from words where replicate < {n}),
 taken as (select * from drawn where copies > 0)"""
 

@@ -10,13 +10,19 @@ from tallyglass import adapters
 from tallyglass.operators import featureviews
 from tallyglass.operators.asof import FeatureTable, asof_join, deduplicate, latest_per_key, validity_join
 from tallyglass.registered.common import STATS, present, r, stamp
+from tallyglass.workspace import materialize
 
 DAY = dt.timedelta(days=1)
 RATES = ["conv_rate", "acc_rate", "avg_daily_trips"]
 
 
+def _stats(spark, sf_dir):
+    """The feature table, stored once: a join reads its sources several times."""
+    return materialize(adapters.driver_stats(spark, sf_dir), "driver-stats")
+
+
 def _catalog(spark, sf_dir):
-    stats = adapters.driver_stats(spark, sf_dir)
+    stats = _stats(spark, sf_dir)
     return featureviews.driver_catalog(stats, featureviews.with_productivity(stats))
 
 
@@ -35,30 +41,30 @@ def _versions(stats):
 
 def asof_features(spark, sf_dir):
     requests = adapters.feature_requests(spark, sf_dir)
-    table = FeatureTable(adapters.driver_stats(spark, sf_dir), {c: (c, 2 * DAY) for c in RATES})
+    table = FeatureTable(_stats(spark, sf_dir), {c: (c, 2 * DAY) for c in RATES})
     return present(asof_join(requests, [table], ["driver_id"]))
 
 
 def asof_unbounded(spark, sf_dir):
     requests = adapters.feature_requests(spark, sf_dir)
-    table = FeatureTable(adapters.driver_stats(spark, sf_dir), {c: (c, None) for c in RATES})
+    table = FeatureTable(_stats(spark, sf_dir), {c: (c, None) for c in RATES})
     return present(asof_join(requests, [table], ["driver_id"], bucket=3 * DAY))
 
 
 def asof_created_ties(spark, sf_dir):
     requests = adapters.feature_requests(spark, sf_dir)
-    table = FeatureTable(_versions(adapters.driver_stats(spark, sf_dir)), {c: (c, DAY) for c in RATES})
+    table = FeatureTable(_versions(_stats(spark, sf_dir)), {c: (c, DAY) for c in RATES})
     return present(asof_join(requests, [table], ["driver_id"]))
 
 
 def asof_range_join(spark, sf_dir):
     requests = adapters.feature_requests(spark, sf_dir)
-    joined = validity_join(requests, adapters.driver_stats(spark, sf_dir), ["driver_id"], RATES, 2 * DAY, slot=DAY)
+    joined = validity_join(requests, _stats(spark, sf_dir), ["driver_id"], RATES, 2 * DAY, slot=DAY)
     return present(joined)
 
 
 def feature_dedup(spark, sf_dir):
-    rows = _versions(adapters.driver_stats(spark, sf_dir))
+    rows = _versions(_stats(spark, sf_dir))
     return present(deduplicate(rows, ["driver_id"], "event_timestamp", "created"))
 
 

@@ -47,13 +47,15 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def checked_broadcast(small: DataFrame, label: str, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
+def checked_broadcast(
+    small: DataFrame, label: str, max_rows: int = MAX_BROADCAST_ROWS, stored: bool = False
+) -> DataFrame:
     """Store a summary table, count it (Parquet footers only) and hint a broadcast if it is small.
 
     Over the bound the table comes back without a hint: Spark then joins by its measured size,
-    and adaptive skew handling splits hot keys.
+    and adaptive skew handling splits hot keys. ``stored`` says that the table was materialised before.
     """
-    table = materialize(small, label)
+    table = small if stored else materialize(small, label)
     return F.broadcast(table) if table.count() <= max_rows else table
 
 

@@ -39,6 +39,8 @@ def test_matches_brute_force(spark, ttl, seed):
     left, right = spark.createDataFrame(requests, REQUESTS), spark.createDataFrame(features, FEATURES)
     joined = asof_join(left, [FeatureTable(right, {"v": ("v", ttl)})], ["k"], bucket=dt.timedelta(hours=13))
     assert {r.id: r.v for r in joined.collect()} == _expected(requests, features, ttl)
+    sliced = asof_join(left, [FeatureTable(right, {"v": ("v", ttl)})], ["k"], slice_rows=7)
+    assert {r.id: r.v for r in sliced.collect()} == _expected(requests, features, ttl)
     if ttl:
         for slot in (ttl, ttl / 3):
             ranged = validity_join(left, right, ["k"], ["v"], ttl, slot=slot)

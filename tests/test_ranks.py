@@ -28,16 +28,17 @@ def test_running_sums_with_and_without_splits(spark, split_above):
     rng = np.random.default_rng(1)
     hot = [(v, rng.integers(1, 9)) for v in rng.permutation(400) / 7.0]
     groups = {"hot": hot, "small": [(3.0, 2), (1.0, 5)], "one": [(0.0, 1)]}
-    out = ranks.running_sums(_cells(spark, groups), ["g"], "v", {"before": "n"}, buckets=8, split_above=split_above)
+    out = ranks.running_sums(_cells(spark, groups), ["g"], "v", {"before": "n"}, split_above=split_above)
     assert {(r.g, r.v): r.before for r in out.collect()} == _expected(groups)
 
 
 def test_a_hot_group_is_spread_over_buckets(spark):
     groups = {"hot": [(v, 1) for v in range(400)], "small": [(1.0, 1)]}
     cells = _cells(spark, groups)
-    edges = ranks.split_points(cells, ["g"], "v", 8, 50)
-    assert [r.g for r in edges.collect()] == ["hot"] and len(edges.first().edges) == 7
-    plan = ranks.running_sums(cells, ["g"], "v", {"b": "n"}, 8, 50)._jdf.queryExecution().executedPlan().toString()
+    edges, stride = ranks.split_points(cells, ["g"], "v", 50)
+    assert [r.g for r in edges.collect()] == ["hot"] and len(edges.first().edges) == 7 and stride == 2
+    assert ranks.split_points(cells, ["g"], "v", 500) is None
+    plan = ranks.running_sums(cells, ["g"], "v", {"b": "n"}, 50)._jdf.queryExecution().executedPlan().toString()
     assert "hashpartitioning(g" in plan and "_bucket" in plan and "SinglePartition" not in plan
 
 
@@ -45,7 +46,7 @@ def test_a_hot_group_is_spread_over_buckets(spark):
 @given(st.lists(st.integers(-5, 5), min_size=1, max_size=40))
 def test_average_ranks_match_pandas(spark, values):
     frame = spark.createDataFrame([(1, float(v)) for v in values], "g int, v double")
-    got = {r.v: (r.n, r.avg_rank, r.ecdf) for r in ranks.average_ranks(frame, ["g"], "v", 4, 3).collect()}
+    got = {r.v: (r.n, r.avg_rank, r.ecdf) for r in ranks.average_ranks(frame, ["g"], "v", 3).collect()}
     series = pd.Series(values, dtype=float)
     expected = series.rank(method="average")
     for v, rank in zip(series, expected):
@@ -57,3 +58,23 @@ def test_average_ranks_match_pandas(spark, values):
 def test_nulls_are_not_ranked(spark):
     frame = spark.createDataFrame([(1, None), (1, 2.0)], "g int, v double")
     assert ranks.average_ranks(frame, ["g"], "v").agg(F.sum("n")).first()[0] == 1
+
+
+@pytest.mark.parametrize("split_above", [3, 10**6])
+def test_quantiles_are_exact(spark, split_above):
+    rng = np.random.default_rng(5)
+    values = rng.integers(0, 60, 301)
+    frame = spark.createDataFrame([(1, int(v), float(v) / 3) for v in values], "g int, a int, b double")
+    got = {r.column: r.q for r in ranks.quantiles(frame, ["g"], ["a", "b"], [0.25, 0.5, 0.75, 1.0], split_above).collect()}
+    ordered = np.sort(values)
+    want = [float(ordered[int(np.ceil(p * 301)) - 1]) for p in (0.25, 0.5, 0.75, 1.0)]
+    assert got["a"] == want and got["b"] == [v / 3 for v in want]
+
+
+@pytest.mark.parametrize("stride, edges", [(1, 1), (2, 7), (3, 10), (8, 63)])
+def test_bucket_lookup(spark, stride, edges):
+    frame = spark.range(-1, edges + 2).select(
+        (F.col("id") + 0.5).alias("v"), F.array(*[F.lit(float(i)) for i in range(edges)]).alias("edges")
+    )
+    for r in frame.withColumn("b", ranks._bucket_of(F.col("v"), stride)).collect():
+        assert r.b == sum(e < r.v for e in r.edges)
