@@ -26,7 +26,8 @@ def _compare(spark, sf_dir):
 
 def normality_jb(spark, sf_dir):
     table = drift.jarque_bera(drift.day_moments(_rows(spark, sf_dir), FEATURES))
-    return present(table.select("date", "feature", "n", "jb", "p_value", F.col("normal").cast("int").alias("normal")))
+    out = table.select("date", "feature", "n", "jb", "p_value", F.col("normal").cast("int").alias("normal"))
+    return present(out, 4)
 
 
 def _calendar(rows):
@@ -79,7 +80,7 @@ def drift_verdict(spark, sf_dir):
 
 def drift_test_log(spark, sf_dir):
     log = drift.test_log(_compare(spark, sf_dir)).filter("test <> 'chi_square'")
-    return present(log.withColumn("passed", F.col("passed").cast("string")))
+    return present(log.withColumn("passed", F.col("passed").cast("string")), 4)
 
 
 def drifted_columns(spark, sf_dir):
@@ -223,10 +224,12 @@ _LOG = [
     ("kolmogorov_smirnov", "ks", "ks_p"),
     ("stability_index", "psi", "null"),
 ]
+_NOTE = """case when jb_p_cur >= 0.05::double and jb_p_ref >= 0.05::double and levene_p < 0.05::double
+  then 'unequal_variance' else '' end"""
 _KEY = "cast(date as varchar) as date, feature"
 
 ORACLE = {
-    "normality_jb": f"""with {CLEAN}, {_MOMENTS} select {_KEY}, n, {r('jb')} as jb, {r('p')} as p_value,
+    "normality_jb": f"""with {CLEAN}, {_MOMENTS} select {_KEY}, n, {r('jb', 4)} as jb, {r('p', 4)} as p_value,
       (p >= 0.05::double)::bigint as normal from jbp""",
     "levene_stat": f"""with {_BASE}, {_LEVENE} select {_KEY}, {r('levene')} as levene, levene_df,
       {r(_LEV_P)} as levene_p from lev""",
@@ -242,14 +245,13 @@ ORACLE = {
         when (jb_p_cur >= 0.05::double) <> (jb_p_ref >= 0.05::double) then 'different_nature'
         when jb_p_cur >= 0.05::double then case when t_p >= 0.05::double then 'similar' else 'different' end
         when u_p >= 0.05::double then 'similar' else 'different' end as verdict,
-      case when jb_p_cur >= 0.05::double and jb_p_ref >= 0.05::double and levene_p < 0.05::double
-        then 'unequal_variance' else '' end as note from tests""",
+      {_NOTE} as note from tests""",
     "drift_test_log": f"with {_ALL}, log as ("
     + " union all ".join(
-        f"select date, feature, '{t}' as test, {s}::double as statistic, {p}::double as p_value from tests" for t, s, p in _LOG
+        f"select date, feature, '{t}' as test, {s}::double as statistic, {p}::double as p_value, {_NOTE} as note from tests" for t, s, p in _LOG
     )
-    + f") select {_KEY}, test, {r('statistic')} as statistic, {r('p_value')} as p_value, "
-    + "cast(p_value >= 0.05::double as varchar) as passed, '' as note from log",
+    + f") select {_KEY}, test, {r('statistic', 4)} as statistic, {r('p_value', 4)} as p_value, "
+    + "cast(p_value >= 0.05::double as varchar) as passed, note from log",
     "drifted_columns": f"""with {_ALL}, p as (select date,
         case when feature in ('tx_fraud', 'tx_fraud_scenario') then {_CHI_P} else ks_p end as p from tests)
       select cast(date as varchar) as date, count(*) filter (where p < 0.05::double) as drifted, count(p) as compared,
