@@ -18,6 +18,14 @@ def finite(column: Column) -> Column:
     return F.when(F.isnan(column), F.lit(None).cast("double")).otherwise(column)
 
 
+def unless_constant(spread: Column, column: str) -> Column:
+    """An aggregate deviation, exactly 0 for a constant column.
+
+    Merged partial states carry rounding noise, so only equal extremes prove that nothing varies.
+    """
+    return F.when((F.min(column) == F.max(column)) & spread.isNotNull(), F.lit(0.0)).otherwise(spread)
+
+
 def percent_change(new: Column, old: Column) -> Column:
     return F.when(old != 0, (new - old) / old * 100.0)
 

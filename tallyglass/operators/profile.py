@@ -7,7 +7,7 @@ from itertools import combinations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tallyglass.functions.numeric import as_numeric, finite, numeric_columns, ratio_or
+from tallyglass.functions.numeric import as_numeric, finite, numeric_columns, ratio_or, unless_constant
 from tallyglass.operators.ranks import SPLIT_ABOVE, cell_quantiles, value_cells
 from tallyglass.workspace import materialize
 
@@ -42,16 +42,17 @@ def column_rows(df: DataFrame, by: list[str], columns: list[str]) -> DataFrame:
 
 def moments(df: DataFrame, by: list[str], columns: list[str]) -> DataFrame:
     """Everything that merges, per group and column: one scan, one shuffle of small partial states."""
+    varied = F.min("value") < F.max("value")
     table = column_rows(df, by, columns).groupBy(*by, "code").agg(
         F.count(F.lit(1)).alias("rows"),
         F.count("value").alias("non_null"),
         F.avg("value").alias("mean"),
-        F.stddev_pop("value").alias("std"),
-        F.var_samp("value").alias("var"),
+        unless_constant(F.stddev_pop("value"), "value").alias("std"),
+        unless_constant(F.var_samp("value"), "value").alias("var"),
         F.min("value").alias("min"),
         F.max("value").alias("max"),
-        finite(F.skewness("value")).alias("skewness"),
-        finite(F.kurtosis("value")).alias("kurtosis"),
+        F.when(varied, finite(F.skewness("value"))).alias("skewness"),
+        F.when(varied, finite(F.kurtosis("value"))).alias("kurtosis"),
     )
     return _named(table, by, columns)
 
@@ -162,7 +163,7 @@ def correlation(
         for i, a in enumerate(columns)
     ]
     states = source.select(*by, F.explode(F.array(*rows)).alias("r")).select(*by, "r.*").groupBy(*by, "code").agg(
-        F.stddev_pop("a").alias("std"), *[F.covar_pop("a", f"b{j}").alias(f"c{j}") for j in right]
+        unless_constant(F.stddev_pop("a"), "a").alias("std"), *[F.covar_pop("a", f"b{j}").alias(f"c{j}") for j in right]
     )
     # One row per group: deviations and covariances of all columns, in the order of their codes.
     fields = F.struct("code", "std", F.array(*[F.col(f"c{j}") for j in right]).alias("cov"))

@@ -9,6 +9,7 @@ from pyspark.ml.feature import MinMaxScaler, RobustScaler, StandardScaler, Vecto
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tallyglass.functions.numeric import unless_constant
 from tallyglass.operators.profile import calendar
 from tallyglass.operators.ranks import quantiles
 from tallyglass.workspace import checked_broadcast
@@ -32,7 +33,7 @@ def scaler_stats(df: DataFrame, columns: list[str], by: list[str], method: str =
         if method == "minmax":
             shift, width = F.min(c), F.max(c) - F.min(c)
         else:
-            shift, width = F.avg(c), F.stddev_samp(c)
+            shift, width = F.avg(c), unless_constant(F.stddev_samp(c), c)
         out += [shift.cast("double").alias(f"{c}_shift"), width.cast("double").alias(f"{c}_width")]
     return df.groupBy(*by).agg(*out)
 

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
+from tallyglass.functions.numeric import unless_constant
 from tallyglass.operators.asof import micros
 from tallyglass.operators.cleaning import clean
 from tallyglass.operators.drift import values_long
@@ -77,7 +78,7 @@ def daily_profile(rows: DataFrame, columns: list[str], time: str = TIME_COLUMN,
         .agg(
             F.count("value").alias("rows"),
             F.avg("value").alias("mean"),
-            F.stddev_pop("value").alias("std"),
+            unless_constant(F.stddev_pop("value"), "value").alias("std"),
             F.min("value").alias("min"),
             F.max("value").alias("max"),
             F.approx_count_distinct("value").alias("approx_distinct"),

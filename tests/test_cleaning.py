@@ -83,6 +83,13 @@ def test_profile_of_edge_columns(spark):
     assert one.std == 0.0 and one.kurtosis is None
 
 
+def test_constant_column_over_many_partitions(spark):
+    rows = spark.range(20000).select(F.lit(7).alias("c"), F.col("id").cast("double").alias("x")).repartition(13)
+    row = profile.profile(rows, [], ["c"]).first()
+    assert row.std == 0.0 and row.skewness is None and row.kurtosis is None
+    assert {r["corr"] for r in profile.correlation(rows, [], ["c", "x"]).collect() if r.col_a != r.col_b} == {None}
+
+
 def test_profile_of_tagged_text(spark):
     rows = spark.createDataFrame([("1",), ("x",), ("3",)], "t string")
     tagged = rows.withColumn("t", F.col("t").alias("t", metadata={"numeric": True}))
