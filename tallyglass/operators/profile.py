@@ -219,3 +219,25 @@ def top_values(df: DataFrame, columns: list[str], k: int = 5, by: list[str] | No
     )
     order = Window.partitionBy(*by, "column").orderBy(F.desc("count"), "value")
     return counted.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
+
+
+def data_summary(
+    df: DataFrame, by: list[str] | None = None, columns: list[str] | None = None, k: int = 5, approximate: bool = False
+) -> DataFrame:
+    """Profile of each column with its null count and its ``k`` most frequent values (array, best first)."""
+    by = by or []
+    columns = columns or [c for c in numeric_columns(df) if c not in by]
+    table = profile(df, by, columns, approximate)
+    common = top_values(df, columns, k, by).groupBy(*by, "column").agg(
+        F.sort_array(F.collect_list(F.struct("rank", "value", "count"))).alias("top")
+    )
+    nulls = F.round(F.col("missing_ratio") * F.col("rows")).cast("bigint")
+    return table.withColumn("null_count", nulls).join(common, [*by, "column"], "left")
+
+
+def summary_against_reference(summary: DataFrame, days: DataFrame, day: str = "date") -> DataFrame:
+    """Each day's summary beside that of the previous available day (``ref_`` columns)."""
+    linked = summary.join(days.select(day, "prev_date"), day)
+    kept = ["rows", "null_count", *PROFILE_STATS, "top"]
+    before = summary.select(F.col(day).alias("prev_date"), "column", *[F.col(f"`{c}`").alias(f"ref_{c}") for c in kept])
+    return linked.join(before, ["prev_date", "column"], "left")

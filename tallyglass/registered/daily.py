@@ -9,6 +9,7 @@ from tallyglass.operators import cleaning, profile
 from tallyglass.registered.common import CALENDAR, CLEAN, TX, present, r, stamp, unpivot_sql
 from tallyglass.schema import NUMERIC_COLUMNS
 from tallyglass.sources import backlog
+from tallyglass.workspace import materialize
 
 FEATURES = NUMERIC_COLUMNS
 
@@ -107,6 +108,15 @@ def data_summary(spark, sf_dir):
     return present(table)
 
 
+def column_summary(spark, sf_dir):
+    rows = _clean_by_day(spark, sf_dir)
+    summary = materialize(profile.data_summary(rows, ["date"], ["tx_amount", "terminal_id", "tx_fraud"], 2), "summary")
+    table = profile.summary_against_reference(summary, profile.calendar(rows))
+    first = [F.col(f"{side}top")[0]["value"].alias(f"{side}top_value") for side in ("", "ref_")]
+    second = F.col("top")[1]["count"].alias("second_count")
+    return present(table.select("date", "column", "rows", "null_count", "mean", "ref_rows", "ref_mean", *first, second))
+
+
 def outlier_fences(spark, sf_dir):
     return present(cleaning.iqr_fences(_clean_by_day(spark, sf_dir), ["tx_amount", "tx_time_seconds"]))
 
@@ -140,6 +150,7 @@ QUERIES = {
         correlation_total,
         reference_day_pairs,
         data_summary,
+        column_summary,
         outlier_fences,
         without_outliers,
         pseudonymised_ids,
@@ -246,6 +257,21 @@ ORACLE = {
       ranked as (select *, row_number() over (partition by date, "column" order by "count" desc, value) as "rank"
                  from counted)
       select cast(date as varchar) as date, "column", value, "count", "rank" from ranked where "rank" <= 3""",
+    "column_summary": f"""with {CLEAN}, {CALENDAR}, long as (
+        {unpivot_sql('cleaned', 'date', ['tx_amount', 'terminal_id', 'tx_fraud'])}),
+      txt as (select date, 'tx_amount' as "column", cast(tx_amount as varchar) as value from cleaned
+        union all select date, 'terminal_id', cast(terminal_id as varchar) from cleaned
+        union all select date, 'tx_fraud', cast(tx_fraud as varchar) from cleaned),
+      counted as (select date, "column", value, count(*) as n from txt group by all),
+      ranked as (select *, row_number() over (partition by date, "column" order by n desc, value) as k from counted),
+      s as (select l.date, l."column", count(*) as "rows", count(*) - count(v) as null_count, avg(v) as mean,
+          (select value from ranked r where r.date = l.date and r."column" = l."column" and k = 1) as top_value,
+          (select n from ranked r where r.date = l.date and r."column" = l."column" and k = 2) as second_count
+        from long l group by l.date, l."column")
+      select cast(a.date as varchar) as date, a."column", a."rows", a.null_count, {r('a.mean')} as mean,
+        b."rows" as ref_rows, {r('b.mean')} as ref_mean, a.top_value, b.top_value as ref_top_value, a.second_count
+      from s a join cal on cal.date = a.date left join s b on b.date = cal.prev_date and a."column" = b."column"
+      """,
     "outlier_fences": f"""with {CLEAN}, long as ({unpivot_sql('cleaned', 'date', ['tx_amount', 'tx_time_seconds'])}),
       q as (select date, "column", quantile_disc(v, 0.25) as a, quantile_disc(v, 0.75) as b from long group by all)
       select cast(date as varchar) as date, "column", {r('a - 1.5::double * (b - a)')} as low,

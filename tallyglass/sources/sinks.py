@@ -11,13 +11,15 @@ from pyspark.sql import functions as F
 RUN_SCHEMA = "run_id string, run_name string, kind string, key string, value string, ts timestamp"
 
 
-def overwrite_days(df: DataFrame, path: str, day: str = "date") -> None:
-    """One folder per day; only the days present in ``df`` are replaced.
+def overwrite_days(df: DataFrame, path: str, day: str = "date", rebalance: bool = False) -> None:
+    """One folder per day (or per input file key); only the folders present in ``df`` are replaced.
 
-    Rows are spread over tasks by day and a second key would be needed only inside one writer, so no
-    shuffle is forced: the frame keeps its own partitioning and a big day is written by many tasks.
+    ``rebalance`` shuffles rows by day into evenly sized files first: a hot day is split over tasks and
+    small days share none, so there are few files per folder. Leave it off when the input is already
+    laid out by day.
     """
-    df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(day).parquet(path)
+    rows = df.hint("rebalance", day) if rebalance else df
+    rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(day).parquet(path)
 
 
 def write_new(df: DataFrame, path: str) -> None:

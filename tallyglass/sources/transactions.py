@@ -5,6 +5,7 @@ from __future__ import annotations
 from enum import Enum
 
 import pandas as pd
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -14,6 +15,7 @@ from tallyglass.schema import TIME_COLUMN, TRANSACTION_SCHEMA
 from tallyglass.sources.backlog import file_stem
 
 CORRUPT = "_corrupt_record"
+FILE_KEY = "file_key"
 
 
 class LoadingMethod(Enum):
@@ -48,7 +50,7 @@ def load(spark: SparkSession, path: str, method: LoadingMethod = LoadingMethod.O
 def read_with_file_key(spark: SparkSession, path: str, schema: T.StructType = TRANSACTION_SCHEMA) -> DataFrame:
     """Rows with ``file_key``, the stem of their input file."""
     rows = spark.read.schema(schema).csv(path)
-    return rows.withColumn("file_key", file_stem(F.col("_metadata.file_path"))).dropna(
+    return rows.withColumn(FILE_KEY, file_stem(F.col("_metadata.file_path"))).dropna(
         how="all", subset=schema.fieldNames()
     )
 
@@ -59,6 +61,18 @@ def list_files(spark: SparkSession, path: str) -> DataFrame:
     return files.select("path", file_stem(F.col("path")).alias("key"), "length", "modificationTime")
 
 
+def processed_keys(spark: SparkSession, output: str) -> DataFrame:
+    """Keys that have an output folder (names only, no file is opened); none when there is no output yet."""
+    try:
+        files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(output)
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], "key string")
+    key = F.url_decode(F.regexp_extract("path", rf"/{FILE_KEY}=([^/]+)/", 1))
+    return files.select(key.alias("key")).filter("key <> ''").distinct()
+
+
 def read_parquet(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
 

@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tallyglass.operators import cleaning, profile
+from tallyglass.plans import daily
 from tallyglass.schema import TRANSACTION_SCHEMA, wide_transaction_schema
 from tallyglass.sources import backlog, transactions
 
@@ -124,3 +125,16 @@ def test_approximate_distinct_is_close(spark):
 
 def test_wide_schema_keeps_names():
     assert wide_transaction_schema().fieldNames() == TRANSACTION_SCHEMA.fieldNames()
+
+
+def test_next_file_job(spark, tmp_path):
+    raw, out = tmp_path / "raw", str(tmp_path / "out")
+    raw.mkdir()
+    for day in (1, 2, 3):
+        (raw / f"2024-01-0{day}.txt").write_text(f"{day},2024-01-0{day} 10:00:00,5,7,1.5,0,0,0,0\n9,,,,,,,,\n")
+    done = [daily.clean_next(spark, str(raw), out) for _ in range(4)]
+    assert done == ["2024-01-01", "2024-01-02", "2024-01-03", None]
+    assert spark.read.parquet(out).count() == 3
+    (raw / "2023-12-31.txt").write_text("8,2023-12-31 10:00:00,5,7,1.5,0,0,0,0\n")
+    assert daily.clean_next(spark, str(raw), out) is None  # behind the mark
+    assert daily.clean_next(spark, str(raw), out, backfill=True) == "2023-12-31"
