@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyglass.operators.asof import FeatureTable, asof_join, latest_per_key, micros
+from tallyglass.sources.featurestore import materialize_latest
 from tallyglass.workspace import checked_broadcast
 
 
@@ -182,6 +183,9 @@ class FeatureCatalog:
         """
         wanted, stored, computed = self._resolve(features)
         self._check_request(entity_rows, computed)
+        offline = sorted({view.name for view in stored.values() if not view.online})
+        if offline:
+            raise ValueError(f"views without online serving: {offline}")
         keys = self._keys(stored)
         asked = checked_broadcast(entity_rows.select(*keys).distinct(), "asked-keys")
         out = entity_rows
@@ -206,6 +210,33 @@ class FeatureCatalog:
             out = out.join(newest.select(*keys, *fresh), keys, "left")
         return self._finish(out, entity_rows, wanted, computed, full_names)
 
+    def materialize(
+        self,
+        spark: SparkSession,
+        root: str,
+        batch: int,
+        start: dt.datetime | None = None,
+        end: dt.datetime | None = None,
+    ) -> dict[str, DataFrame]:
+        """Load the newest rows of every online source whose event time is in [start, end).
+
+        Each source has a latest-row table under ``root``; a batch may be repeated. The result is the
+        ``latest`` argument of ``online``.
+        """
+        tables = {}
+        for view in self._views.values():
+            source = view.source
+            if not view.online or source.name in tables:
+                continue
+            rows, kind = source.frame(spark), source.frame(spark).schema[source.timestamp].dataType
+            for bound, inside in ((start, F.col(source.timestamp).__ge__), (end, F.col(source.timestamp).__lt__)):
+                if bound is not None:
+                    rows = rows.filter(inside(F.lit(bound.strftime("%Y-%m-%d %H:%M:%S.%f")).cast(kind)))
+            keys = list(view.entity.join_keys)
+            path = f"{root}/{source.name}"
+            tables[source.name] = materialize_latest(spark, rows, path, batch, keys, source.timestamp, source.created)
+        return tables
+
     @staticmethod
     def to_columns(rows: DataFrame, limit: int = 10_000) -> dict[str, list]:
         """Column dictionary of a bounded online answer."""

@@ -11,6 +11,7 @@ from tallyglass.functions.numeric import unless_constant
 from tallyglass.operators.asof import micros
 from tallyglass.operators.cleaning import clean
 from tallyglass.operators.drift import values_long
+from tallyglass.operators.featureviews import Entity, PushSource
 from tallyglass.schema import TIME_COLUMN, TRANSACTION_SCHEMA
 from tallyglass.sources import featurestore
 
@@ -132,3 +133,11 @@ def push_features(
         .trigger(availableNow=True)
         .start()
     )
+
+
+def push_to_source(
+    stream: DataFrame, source: PushSource, entity: Entity, checkpoint: str, history: str | None = None, latest: str | None = None
+) -> StreamingQuery:
+    """Push rows of a declared source: its batch source names the time columns, the entity the keys."""
+    batch = source.batch_source
+    return push_features(stream, checkpoint, list(entity.join_keys), history, latest, batch.timestamp, batch.created)

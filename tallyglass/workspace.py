@@ -24,10 +24,10 @@ MAX_BROADCAST_ROWS = 50_000
 
 def scratch_root(spark: SparkSession) -> str:
     """The shared folder of the session; a temporary one only for local masters without a setting."""
-    configured = spark.conf.get("spark.checkpoint.dir", "")
+    context = spark.sparkContext
+    configured = spark.conf.get("spark.checkpoint.dir", "") or context.getCheckpointDir()
     if configured:
         return configured.rstrip("/")
-    context = spark.sparkContext
     if not context.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
     if context.applicationId not in _local_roots:

@@ -184,3 +184,23 @@ def test_on_demand_may_use_a_pandas_function(spark, catalog):
     own = featureviews.FeatureCatalog([quality], [view])
     got = own.historical(_requests(spark), ["twice:conv_twice"]).orderBy("driver_id").first()
     assert got.conv_twice == pytest.approx(2 * 0.731652)
+
+
+def test_materialised_sources_serve_the_same_values(spark, catalog, tmp_path):
+    asked = spark.createDataFrame([(1001, 1.0, 1.0), (1002, 1.0, 1.0)], "driver_id int, conv_rate_coef double, acc_rate_coef double")
+    cut = dt.datetime(2021, 4, 12, 10)
+    catalog.materialize(spark, str(tmp_path), 1, start=cut)
+    tables = catalog.materialize(spark, str(tmp_path), 2, end=cut)
+    assert set(tables) == {"driver_hourly_stats_source", "driver_hourly_stats_source_with_productivity"}
+    now = dt.datetime(2021, 4, 13)
+    direct = catalog.online(asked, NAMES, now).orderBy("driver_id").collect()
+    assert catalog.online(asked, NAMES, now, tables).orderBy("driver_id").collect() == direct
+
+
+def test_offline_views_are_not_served(spark, catalog):
+    import dataclasses
+
+    hidden = dataclasses.replace(catalog.view("driver_quality_metrics"), online=False)
+    asked = spark.createDataFrame([(1001,)], "driver_id int")
+    with pytest.raises(ValueError):
+        featureviews.FeatureCatalog([hidden]).online(asked, ["driver_quality_metrics:conv_rate"], T0)

@@ -3,6 +3,7 @@ import os
 
 from pyspark.sql import functions as F
 
+from tallyglass.operators.featureviews import Entity, FeatureSource, PushSource
 from tallyglass.schema import TRANSACTION_SCHEMA
 from tallyglass.sources import featurestore
 from tallyglass.streaming import jobs
@@ -50,7 +51,8 @@ def test_push_writes_history_and_latest(spark, tmp_path):
         spark.createDataFrame(part, STATS).coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
     stream = jobs.stream_files(spark, str(tmp_path / "in"), spark.createDataFrame([], STATS).schema, "parquet")
     history, latest = str(tmp_path / "history"), str(tmp_path / "latest")
-    jobs.push_features(stream, str(tmp_path / "state"), ["driver_id"], history, latest).awaitTermination()
+    source = PushSource("push", FeatureSource("batch", history))
+    jobs.push_to_source(stream, source, Entity("driver", ("driver_id",)), str(tmp_path / "state"), history, latest).awaitTermination()
     assert featurestore.read_history(spark, history).count() == 4
     newest = {r.driver_id: r.v for r in featurestore.read_latest(spark, latest, ["driver_id"]).collect()}
     assert newest == {1: 3.0, 2: 4.0}
