@@ -24,7 +24,7 @@ EDGE_BYTES = 64 * 1024 * 1024
 def split_points(
     cells: DataFrame, group: list[str], order: str, split_above: int = SPLIT_ABOVE
 ) -> tuple[DataFrame, int] | None:
-    """Ascending ``edges`` for each group above the bound, and their stride; None when every group is small."""
+    """Stored ascending ``edges`` of each group above the bound, and a stride; None when every group is small."""
     sizes = cells.groupBy(*group).agg(F.count(F.lit(1)).alias("_cells")).filter(F.col("_cells") > split_above)
     large = materialize(sizes, "large-groups")
     count, biggest = large.agg(F.count(F.lit(1)), F.max("_cells")).first()
@@ -34,17 +34,29 @@ def split_points(
     fractions = [i / buckets for i in range(1, buckets)]
     chosen = large.select(*group)
     of_large = cells.join(F.broadcast(chosen) if count <= MAX_BROADCAST_ROWS else chosen, group, "left_semi")
-    stride = math.isqrt(buckets) or 1
     edges = of_large.groupBy(*group).agg(F.percentile_approx(order, fractions, 2 * buckets).alias("edges"))
-    return checked_broadcast(edges, "edges", max_rows=EDGE_BYTES // (8 * buckets)), stride
+    return materialize(edges, "edges"), math.isqrt(buckets) or 1
 
 
-def _bucket_of(value: Column, stride: int) -> Column:
-    """Number of edges below ``value``: every ``stride``-th edge first, then one stretch of edges."""
-    marks = F.filter("edges", lambda e, i: (i % stride == stride - 1) & (e < value))
-    start = F.size(marks) * stride
-    stretch = F.slice("edges", start + 1, F.lit(stride))
-    return start + F.size(F.filter(stretch, lambda e: e < value))
+def with_bucket(cells: DataFrame, group: list[str], order: str, edges: DataFrame, stride: int) -> DataFrame:
+    """Add ``_bucket``, the number of edges below ``order`` (0 for groups without edges).
+
+    Two steps of about the square root of the edges each: every ``stride``-th edge gives the stretch,
+    the edges of that stretch give the rest. So a row never carries the whole list.
+    """
+    marks = F.filter("edges", lambda e, i: i % stride == stride - 1)
+    coarse = edges.select(*group, marks.alias("_marks"))
+    stretches = F.posexplode(F.sequence(F.lit(0), F.size(marks))).alias("_stretch", "_i")
+    fine = edges.select(*group, "edges", stretches).select(
+        *group, "_stretch", F.slice("edges", F.col("_stretch") * stride + 1, F.lit(stride)).alias("_fine")
+    )
+    rows_bound = EDGE_BYTES // (8 * stride + 64)
+    below = [F.size(F.filter(name, lambda e: e < F.col(order))) for name in ("_marks", "_fine")]
+    step = cells.join(checked_broadcast(coarse, "marks", rows_bound), group, "left")
+    step = step.select(*cells.columns, below[0].alias("_stretch"))
+    step = step.join(checked_broadcast(fine, "stretches", rows_bound), [*group, "_stretch"], "left")
+    bucket = F.when(F.col("_fine").isNull(), 0).otherwise(F.col("_stretch") * stride + below[1])
+    return step.select(*cells.columns, bucket.alias("_bucket"))
 
 
 def running_sums(
@@ -66,9 +78,7 @@ def running_sums(
     split = split_points(stored, group, order, split_above)
     if split is None:
         return _sums_within(stored, group, order, sums)
-    edges, stride = split
-    bucket = F.when(F.col("edges").isNull(), 0).otherwise(_bucket_of(F.col(order), stride))
-    cut = stored.join(edges, group, "left").withColumn("_bucket", bucket).drop("edges")
+    cut = with_bucket(stored, group, order, *split)
     # At most MAX_BUCKETS rows per group reach this window.
     earlier = Window.partitionBy(*group).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
     totals = cut.groupBy(*group, "_bucket").agg(*[F.sum(c).alias(f"t_{o}") for o, c in sums.items()])

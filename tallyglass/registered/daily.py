@@ -8,7 +8,7 @@ from tallyglass import adapters
 from tallyglass.operators import cleaning, profile
 from tallyglass.registered.common import CALENDAR, CLEAN, TX, present, r, stamp, unpivot_sql
 from tallyglass.schema import NUMERIC_COLUMNS
-from tallyglass.sources import backlog
+from tallyglass.sources import backlog, transactions
 from tallyglass.workspace import materialize
 
 FEATURES = NUMERIC_COLUMNS
@@ -49,6 +49,13 @@ def available_days(spark, sf_dir):
     return present(cleaning.days(_tx(spark, sf_dir)))
 
 
+def parsed_times(spark, sf_dir):
+    """Times through text; those of error events are broken on purpose and come back null."""
+    text = F.when(F.col("event_type") == "error", F.lit("24:61")).otherwise(F.col("ts").cast("string"))
+    rows = adapters.read_table(spark, sf_dir, "events").select("event_id", text.alias("tx_datetime"))
+    return present(transactions.parse_time(rows))
+
+
 def _keys(spark, sf_dir):
     """Input keys: one per day. Processed keys: days with at least 65 error events (leaves gaps)."""
     events = adapters.read_table(spark, sf_dir, "events")
@@ -139,6 +146,7 @@ QUERIES = {
         daily_slices,
         one_day_slice,
         available_days,
+        parsed_times,
         next_unprocessed,
         unprocessed_backfill,
         profile_daily,
@@ -221,6 +229,8 @@ ORACLE = {
       {r('sum(tx_amount)')} as amount from raw group by date""",
     "one_day_slice": f"with {_RAW_DAY} select {_TX_OUT} from raw where date = date '2024-01-15'",
     "available_days": "select distinct cast(cast(ts as date) as varchar) as date from events",
+    "parsed_times": f"""select event_id, case when event_type <> 'error' then {stamp('ts')} end as tx_datetime
+      from events""",
     "next_unprocessed": f"""with {_DONE} select key from per_day
       where key > coalesce((select max(key) from done), '') order by key limit 1""",
     "unprocessed_backfill": f"with {_DONE} select key from per_day where key not in (select key from done)",

@@ -95,6 +95,11 @@ def normality_shapiro(spark, sf_dir):
     return present(drift.shapiro_wilk(_rows(spark, sf_dir), ["tx_amount", "tx_time_seconds"], "transaction_id"))
 
 
+def changepoint_series(spark, sf_dir):
+    """The slot means that the change-point search reads."""
+    return present(changepoint.slot_means(_rows(spark, sf_dir), ["tx_amount", "tx_fraud"], "tx_datetime", "date"))
+
+
 def changepoints(spark, sf_dir):
     return present(changepoint.change_points(_rows(spark, sf_dir), ["tx_amount", "tx_fraud", "tx_time_seconds"]))
 
@@ -114,6 +119,7 @@ QUERIES = {
         drifted_columns,
         average_ranks,
         normality_shapiro,
+        changepoint_series,
         changepoints,
     ]
 }
@@ -256,6 +262,12 @@ ORACLE = {
         case when feature in ('tx_fraud', 'tx_fraud_scenario') then {_CHI_P} else ks_p end as p from tests)
       select cast(date as varchar) as date, count(*) filter (where p < 0.05::double) as drifted, count(p) as compared,
         {r('count(*) filter (where p < 0.05::double) / count(p)')} as share from p group by date""",
+    "changepoint_series": f"""with {CLEAN}, s as (select date,
+        (hour(tx_datetime) * 3600 + minute(tx_datetime) * 60 + second(tx_datetime)) * 1000 // 86400 as slot,
+        tx_amount, tx_fraud from cleaned),
+      l as (select date, slot, 'tx_amount' as feature, tx_amount as v from s
+        union all select date, slot, 'tx_fraud', tx_fraud from s)
+      select cast(date as varchar) as date, feature, slot, {r('avg(v)')} as value from l group by date, feature, slot""",
     "average_ranks": f"""with {CLEAN}, d as (select date, tx_amount, count(*) as n from cleaned group by all),
       s as (select *, coalesce(sum(n) over (partition by date order by tx_amount rows between unbounded preceding
           and 1 preceding), 0) as b, sum(n) over (partition by date) as total from d)

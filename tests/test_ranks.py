@@ -73,8 +73,10 @@ def test_quantiles_are_exact(spark, split_above):
 
 @pytest.mark.parametrize("stride, edges", [(1, 1), (2, 7), (3, 10), (8, 63)])
 def test_bucket_lookup(spark, stride, edges):
-    frame = spark.range(-1, edges + 2).select(
-        (F.col("id") + 0.5).alias("v"), F.array(*[F.lit(float(i)) for i in range(edges)]).alias("edges")
-    )
-    for r in frame.withColumn("b", ranks._bucket_of(F.col("v"), stride)).collect():
-        assert r.b == sum(e < r.v for e in r.edges)
+    frame = spark.range(-1, edges + 2).select(F.lit("g").alias("g"), (F.col("id") + 0.5).alias("v"))
+    frame = frame.union(spark.createDataFrame([("other", 3.5)], "g string, v double"))
+    table = spark.createDataFrame([("g", [float(i) for i in range(edges)])], "g string, edges array<double>")
+    rows = ranks.with_bucket(frame, ["g"], "v", table, stride).collect()
+    assert len(rows) == edges + 4
+    for r in rows:
+        assert r._bucket == (0 if r.g == "other" else sum(e < r.v for e in range(edges)))
