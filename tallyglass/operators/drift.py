@@ -17,7 +17,7 @@ from pyspark.sql.functions import pandas_udf
 from pyspark.sql.types import DoubleType
 
 from tallyglass.functions.numeric import ratio_or
-from tallyglass.functions.tails import chi2_upper, f_upper, normal_two_sided, student_t_two_sided
+from tallyglass.functions.tails import chi2_upper, f_upper, student_t_two_sided
 from tallyglass.operators.profile import calendar, moments
 from tallyglass.operators.ranks import SPLIT_ABOVE, running_sums
 from tallyglass.operators.sampling import hash_sample

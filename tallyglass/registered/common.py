@@ -11,12 +11,17 @@ from tallyglass.schema import NUMERIC_COLUMNS
 DIGITS = 6
 
 
-def present(df: DataFrame, digits: int = DIGITS) -> DataFrame:
-    """Engine-neutral output: rounded doubles without negative zero, dates and times as text."""
+def present(df: DataFrame, digits: int = DIGITS, doubles: tuple[str, ...] = ()) -> DataFrame:
+    """Engine-neutral output: rounded doubles without negative zero, dates and times as text.
+
+    ``doubles`` names whole-number columns that may be null; they leave as doubles.
+    """
     out = []
     for f in df.schema.fields:
         c = F.col(f"`{f.name}`")
-        if isinstance(f.dataType, (T.DoubleType, T.FloatType)):
+        if f.name in doubles:
+            c = c.cast("double")
+        elif isinstance(f.dataType, (T.DoubleType, T.FloatType)):
             c = F.round(c.cast("double"), digits) + F.lit(0.0)
         elif isinstance(f.dataType, T.DateType):
             c = c.cast("string")

@@ -27,7 +27,7 @@ def _compare(spark, sf_dir):
 def normality_jb(spark, sf_dir):
     table = drift.jarque_bera(drift.day_moments(_rows(spark, sf_dir), FEATURES))
     out = table.select("date", "feature", "n", "jb", "p_value", F.col("normal").cast("int").alias("normal"))
-    return present(out, 4)
+    return present(out, 4, doubles=("normal",))
 
 
 def _calendar(rows):
@@ -236,7 +236,7 @@ _KEY = "cast(date as varchar) as date, feature"
 
 ORACLE = {
     "normality_jb": f"""with {CLEAN}, {_MOMENTS} select {_KEY}, n, {r('jb', 4)} as jb, {r('p', 4)} as p_value,
-      (p >= 0.05::double)::bigint as normal from jbp""",
+      (p >= 0.05::double)::int::double as normal from jbp""",
     "levene_stat": f"""with {_BASE}, {_LEVENE} select {_KEY}, {r('levene')} as levene, levene_df,
       {r(_LEV_P)} as levene_p from lev""",
     "ttest_stat": f"with {_BASE}, {_T} select {_KEY}, {r('t')} as t, t_df, {r(_T_P)} as t_p from tstat",

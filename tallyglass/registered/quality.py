@@ -143,7 +143,8 @@ def champion_history(spark, sf_dir):
 
 
 def quality_alert(spark, sf_dir):
-    return present(registry.quality_alerts(_daily_versions(spark, sf_dir)).drop("ts", "run_id"))
+    table = registry.quality_alerts(_daily_versions(spark, sf_dir)).drop("ts", "run_id")
+    return present(table, doubles=("roll_back_to",))
 
 
 def _alias_changes(spark, sf_dir):
@@ -397,7 +398,7 @@ ORACLE = {
       a as (select *, coalesce(auc < previous - 0.02::double, false) as fell from p)
       select model, version, {r('auc')} as auc, {r('previous')} as previous, fell::bigint as alert,
         case when fell then (select max(v.version) from a v where v.model = a.model and v.version < a.version
-          and not v.fell) end as roll_back_to from a""",
+          and not v.fell)::double end as roll_back_to from a""",
     "alias_current": f"""with {_CHANGES} select model, alias, version,
         strftime(ts, '%Y-%m-%d %H:%M:%S.%f') as ts from changes
       qualify row_number() over (partition by model, alias order by ts desc, version desc) = 1""",

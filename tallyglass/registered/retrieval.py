@@ -13,6 +13,7 @@ from tallyglass.registered.common import STATS, present, r, stamp
 from tallyglass.workspace import materialize
 
 DAY = dt.timedelta(days=1)
+TRIPS = ("avg_daily_trips",)
 RATES = ["conv_rate", "acc_rate", "avg_daily_trips"]
 
 
@@ -42,25 +43,25 @@ def _versions(stats):
 def asof_features(spark, sf_dir):
     requests = adapters.feature_requests(spark, sf_dir)
     table = FeatureTable(_stats(spark, sf_dir), {c: (c, 2 * DAY) for c in RATES})
-    return present(asof_join(requests, [table], ["driver_id"]))
+    return present(asof_join(requests, [table], ["driver_id"]), doubles=TRIPS)
 
 
 def asof_unbounded(spark, sf_dir):
     requests = adapters.feature_requests(spark, sf_dir)
     table = FeatureTable(_stats(spark, sf_dir), {c: (c, None) for c in RATES})
-    return present(asof_join(requests, [table], ["driver_id"], bucket=3 * DAY))
+    return present(asof_join(requests, [table], ["driver_id"], bucket=3 * DAY), doubles=TRIPS)
 
 
 def asof_created_ties(spark, sf_dir):
     requests = adapters.feature_requests(spark, sf_dir)
     table = FeatureTable(_versions(_stats(spark, sf_dir)), {c: (c, DAY) for c in RATES})
-    return present(asof_join(requests, [table], ["driver_id"]))
+    return present(asof_join(requests, [table], ["driver_id"]), doubles=TRIPS)
 
 
 def asof_range_join(spark, sf_dir):
     requests = adapters.feature_requests(spark, sf_dir)
     joined = validity_join(requests, _stats(spark, sf_dir), ["driver_id"], RATES, 2 * DAY, slot=DAY)
-    return present(joined)
+    return present(joined, doubles=TRIPS)
 
 
 def feature_dedup(spark, sf_dir):
@@ -76,7 +77,8 @@ def multi_view_features(spark, sf_dir):
         "driver_activity_rates_linear_combination_fv:linear_combination",
         "driver_productivity_metrics:productivity",
     ]
-    return present(_catalog(spark, sf_dir).historical(adapters.feature_requests(spark, sf_dir), names))
+    table = _catalog(spark, sf_dir).historical(adapters.feature_requests(spark, sf_dir), names)
+    return present(table, doubles=TRIPS)
 
 
 def on_demand_linear(spark, sf_dir):
@@ -152,7 +154,7 @@ def _asof_sql(days: int | None) -> str:
     return f"""with {STATS}, {_ASOF}
       select {_REQ}, case when {keep} then {r('conv_rate')} end as conv_rate,
         case when {keep} then {r('acc_rate')} end as acc_rate,
-        case when {keep} then avg_daily_trips end as avg_daily_trips from asof_rows"""
+        case when {keep} then avg_daily_trips::double end as avg_daily_trips from asof_rows"""
 
 
 def _fresh(days: int, expression: str) -> str:
@@ -170,7 +172,7 @@ ORACLE = {
     "asof_range_join": _asof_sql(2),
     "feature_dedup": f"with {STATS} select {_STATS_OUT} from driver_stats",
     "multi_view_features": f"""with {STATS}, {_ASOF} select {_REQ},
-      {_fresh(1, 'avg_daily_trips')} as avg_daily_trips, {_fresh(2, r('conv_rate'))} as conv_rate,
+      {_fresh(1, 'avg_daily_trips::double')} as avg_daily_trips, {_fresh(2, r('conv_rate'))} as conv_rate,
       {_fresh(2, r('acc_rate'))} as acc_rate, {_fresh(2, r(_LINEAR))} as linear_combination,
       {_fresh(7, r('conv_rate * acc_rate * avg_daily_trips'))} as productivity from asof_rows""",
     "on_demand_linear": f"""with {STATS}, {_ASOF} select {_REQ}, {_fresh(2, r('conv_rate'))} as conv_rate,
