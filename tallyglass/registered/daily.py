@@ -119,10 +119,10 @@ def column_summary(spark, sf_dir):
     rows = _clean_by_day(spark, sf_dir)
     summary = materialize(profile.data_summary(rows, ["date"], ["tx_amount", "terminal_id", "tx_fraud"], 2), "summary")
     table = profile.summary_against_reference(summary, profile.calendar(rows))
-    first = [F.col(f"{side}top")[0]["value"].alias(f"{side}top_value") for side in ("", "ref_")]
-    second = F.col("top")[1]["count"].alias("second_count")
+    first = [F.get(f"{side}top", F.lit(0))["value"].alias(f"{side}top_value") for side in ("", "ref_")]
+    second = F.get("top", F.lit(1))["count"].alias("second_count")
     out = table.select("date", "column", "rows", "null_count", "mean", "ref_rows", "ref_mean", *first, second)
-    return present(out, doubles=("ref_rows",))
+    return present(out, doubles=("ref_rows", "second_count"))
 
 
 def outlier_fences(spark, sf_dir):
@@ -280,7 +280,7 @@ ORACLE = {
           (select n from ranked r where r.date = l.date and r."column" = l."column" and k = 2) as second_count
         from long l group by l.date, l."column")
       select cast(a.date as varchar) as date, a."column", a."rows", a.null_count, {r('a.mean')} as mean,
-        b."rows"::double as ref_rows, {r('b.mean')} as ref_mean, a.top_value, b.top_value as ref_top_value, a.second_count
+        b."rows"::double as ref_rows, {r('b.mean')} as ref_mean, a.top_value, b.top_value as ref_top_value, a.second_count::double as second_count
       from s a join cal on cal.date = a.date left join s b on b.date = cal.prev_date and a."column" = b."column"
       """,
     "outlier_fences": f"""with {CLEAN}, long as ({unpivot_sql('cleaned', 'date', ['tx_amount', 'tx_time_seconds'])}),
