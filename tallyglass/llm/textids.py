@@ -7,9 +7,12 @@ joined, are the ids of the text. Units repeat, and the memo spares the library a
 from __future__ import annotations
 
 import re
+import sys
+from array import array
 
-MEMO_UNITS = 400_000
+MEMO_UNITS = 800_000
 MEMO_CHARS = 64
+PUNCTUATION = ".,;:!?"
 
 
 def load_tokenizer(path: str):
@@ -20,18 +23,52 @@ def load_tokenizer(path: str):
     return tokenizer
 
 
+def byte_letters() -> dict[int, str]:
+    """The character that stands for each byte in a byte-level vocabulary: printable bytes for themselves,
+    the others, in order, for the characters from 256 on."""
+    printable = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    rest = [b for b in range(256) if b not in printable]
+    return {b: chr(b) for b in printable} | {b: chr(256 + i) for i, b in enumerate(rest)}
+
+
+def packed(ids: list[int]) -> bytes:
+    out = array("I", ids)
+    if sys.byteorder == "big":
+        out.byteswap()
+    return out.tobytes()
+
+
 class Memo(dict):
-    """Unit -> ids as little-endian unsigned 32-bit numbers. Emptied when full; long units are not kept."""
+    """Unit -> ids as little-endian unsigned 32-bit numbers. Emptied when full; long units are not kept.
 
-    def __init__(self, tokenizer, prefix: str):
+    A word of letters with some points behind it is two pre-tokens in both kinds of vocabulary. The library's
+    model takes such a word at once; all else goes through the whole tokenizer.
+    """
+
+    def __init__(self, tokenizer, prefix: str, lower: bool = False):
         super().__init__()
-        self.tokenizer, self.prefix = tokenizer, prefix
+        self.tokenizer, self.model, self.prefix, self.lower = tokenizer, tokenizer.model, prefix, lower
+        self.letters = byte_letters()
 
-    def __missing__(self, unit: str) -> bytes:
-        import numpy as np
+    def encode(self, text: str) -> bytes:
+        return packed(self.tokenizer.encode(text, add_special_tokens=False).ids)
 
-        ids = self.tokenizer.encode(self.prefix + unit, add_special_tokens=False).ids
-        out = np.array(ids, "<u4").tobytes()
+    def word(self, word: str) -> bytes:
+        if self.lower:
+            if max(word) > "\xff":  # may change under normalisation
+                return self.encode(word)
+            word = word.lower()
+        piece = (self.prefix + word).encode().decode("latin-1").translate(self.letters)
+        return packed([t.id for t in self.model.tokenize(piece)])
+
+    def __missing__(self, unit: str) -> bytes:
+        word = unit.rstrip(PUNCTUATION)
+        if len(word) < len(unit) and word.isalpha():
+            out = self[word] + self.encode(unit[len(word) :])
+        elif word.isalpha():
+            out = self.word(word)
+        else:
+            out = self.encode(self.prefix + unit)
         if len(unit) <= MEMO_CHARS:
             if len(self) >= MEMO_UNITS:
                 self.clear()
@@ -70,7 +107,7 @@ class BareUnits:
     """For tokenizers that drop white space: blanks and line ends only separate."""
 
     def __init__(self, path: str):
-        self.memo = Memo(load_tokenizer(path), "")
+        self.memo = Memo(load_tokenizer(path), "", lower=True)
 
     def ids(self, text: str) -> bytes:
         return b"".join(map(self.memo.__getitem__, text.replace("\n", " ").split(" ")))
