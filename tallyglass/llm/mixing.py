@@ -19,6 +19,7 @@ SEED = 17
 # Target share of characters by source. Sources that are not listed keep their documents once each.
 TARGET_WEIGHTS = {"src0": 0.24} | {f"src{i}": 0.04 for i in range(1, 20)}
 PART_RATE = 64.0
+DRAW, COUNT = "__mix_draw", "__mix_count"
 
 
 def uniform(*parts: Column) -> Column:
@@ -52,7 +53,7 @@ def repetition_rates(docs: DataFrame, weights: dict[str, float], column: str) ->
     return rates | {row[column]: (0.0 if weights[row[column]] <= 0 else 1.0) for row in sizes if row[column] not in size}
 
 
-def copies(docs: DataFrame, rates: dict[str, float], column: str, seed: int) -> Column:
+def copies(rates: dict[str, float], column: str, seed: int) -> Column:
     """Poisson count of a document. A rate above 64 is drawn as a sum of equal smaller parts."""
     out = F.lit(1)
     for source, rate in rates.items():
@@ -64,7 +65,7 @@ def copies(docs: DataFrame, rates: dict[str, float], column: str, seed: int) ->
             drawn = [
                 F.size(F.filter(steps, lambda t, i=i: t <= uniform(F.lit(str(seed)), F.col("doc_id"), F.lit(str(i)))))
                 if parts > 1
-                else F.size(F.filter(steps, lambda t: t <= F.col("_u")))
+                else F.size(F.filter(steps, lambda t: t <= F.col(DRAW)))
                 for i in range(parts)
             ]
             count = sum(drawn[1:], drawn[0])
@@ -78,12 +79,13 @@ def mix(
     """Documents repeated to the target weights, in globally shuffled order, with ``copy`` and ``shuffle_key``.
 
     Null or unlisted sources keep each document once. Sources without characters keep theirs once as well.
-    Rows that repeat a document id are drawn alike. An empty table gives an empty one. Further columns stay.
+    Rows that repeat a document id are drawn alike. An empty table gives an empty one. Further columns
+    stay, but for those named ``copy`` and ``shuffle_key``, which are replaced.
     """
     rates = repetition_rates(docs, weights, column)
-    drawn = docs.withColumn("_u", uniform(F.lit(str(seed)), F.col("doc_id")))
-    counted = drawn.withColumn("_n", copies(docs, rates, column, seed)).filter("_n > 0").drop("_u")
-    copied = counted.withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("_n")))).drop("_n")
+    drawn = docs.withColumn(DRAW, uniform(F.lit(str(seed)), F.col("doc_id")))
+    counted = drawn.withColumn(COUNT, copies(rates, column, seed)).filter(F.col(COUNT) > 0).drop(DRAW, "copy", "shuffle_key")
+    copied = counted.withColumn("copy", F.explode(F.sequence(F.lit(1), F.col(COUNT)))).drop(COUNT)
     keyed = copied.withColumn(
         "shuffle_key", F.substring(F.md5(F.concat_ws(":", F.lit(f"{seed}s"), F.col("doc_id"), F.col("copy"))), 1, 16)
     )
