@@ -3,7 +3,9 @@
 Documents are sets of 5-word shingles; two link when 100 * intersection >= 75 * union. Documents with equal
 sets are one class, named by its least id. Classes that can link share a shingle among the rarest quarter of
 each set; a fixed array of counters, added up over all documents, orders shingles by rarity. Classes joined
-by such a shingle, directly or through others, form a pool, and every link lies within one pool.
+by such a shingle, directly or through others, form a pool, and every link lies within one pool. Members of
+pools that are too large for one task are pooled again with the exact frequency of every shingle among them;
+a class of which less than 75 % of the shingles occur in another class links with nothing and drops out.
 
 Within a pool a signature tree does the join. A leaf is a class: its size and a bitmap of its shingles' hashes.
 An inner node holds the OR of its children's bitmaps and the range of their sizes. Two nodes are walked
@@ -11,9 +13,9 @@ together, from the roots down; a pair of nodes is dropped when its size ranges a
 bitmaps show that no leaf below can share enough with any leaf on the other side. Leaves that survive are
 compared exactly, unless they are linked through others already.
 
-A pool of up to ``POOL_ROWS`` classes is one task. In a larger one every class is first compared with the
-pool's first class, which links a group of near copies in one pass; the others are then held, in blocks,
-against the whole pool, cut by a digest.
+A pool of up to ``POOL_ROWS`` classes is one task. In one that is still larger every class is first compared
+with the pool's first class, which links a group of near copies in one pass; the others are then held, in
+blocks, against the whole pool, cut by a digest.
 
 A null or empty text has an empty set and is linked with nothing. Rows that repeat an id share its component;
 null ids get null. An empty table gives no rows. Further columns stay in ``first_of_components``.
@@ -21,12 +23,13 @@ null ids get null. An empty table gives no rows. Further columns stay in ``first
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tallyglass.llm.common import slices, table
@@ -34,13 +37,15 @@ from tallyglass.llm.components import star_components
 from tallyglass.workspace import checked_broadcast, materialize
 
 SHINGLE = 5
-COUNTER_BITS = 20
-COUNTER_CHUNK = 1 << 14
+COUNTER_BITS = 24
+COUNTER_CHUNK = 1 << 18
 POOL_ROWS = 512
 FANOUT = 8
 SIGNATURE_BITS = 4096
 MAX_BROADCAST_KEYS = 400_000
 SLICE = 2_000_000
+SEEN_CLASSES = 1_000_000
+SLOTS = np.uint64((1 << COUNTER_BITS) - 1)
 
 _rng = np.random.default_rng(20240501)
 BYTE_CODES = _rng.integers(0, 1 << 63, 256, dtype=np.int64).astype(np.uint64) * np.uint64(2) + np.uint64(1)
@@ -111,13 +116,13 @@ def shingle_sets(texts: list[str | None]) -> list:
     return out
 
 
-def digest(shingles) -> tuple[int, int]:
-    """Two 64-bit digests of a set."""
+def digest(shingles) -> int:
+    """A 64-bit digest of a set."""
     if not len(shingles):
-        return 0, 0
+        return 0
     a = np.bitwise_xor.reduce(mixed(shingles + np.uint64(1)))
-    b = np.sum(mixed(shingles ^ WORD_BASE), dtype=np.uint64) + np.uint64(len(shingles))
-    return int(np.int64(a)), int(np.int64(b))
+    b = np.sum(mixed(shingles ^ WORD_BASE), dtype=np.uint64)
+    return int(mixed(np.array([a, b + np.uint64(len(shingles))])).sum(dtype=np.uint64).astype(np.int64))
 
 
 def prefix_size(n: int) -> int:
@@ -133,90 +138,134 @@ def scan(docs: DataFrame) -> DataFrame:
     """A row per document (size and digest of its set), and per task the counters of all shingles in chunks."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counters = np.zeros(1 << COUNTER_BITS, np.int64)
-        names = ["doc_id", "text_key", "n_shingles", "c", "d", "chunk", "counts"]
+        counters = np.zeros(1 << COUNTER_BITS, np.uint32)
+        names = ["doc_id", "text_key", "n_shingles", "c", "chunk", "counts"]
         for batch in batches:
             texts = batch.column("text").to_pylist()
             for a, b in slices(batch, [len(t or "") for t in texts], SLICE):
                 sets = shingle_sets(texts[a:b])
-                if any(map(len, sets)):
-                    slot = (np.concatenate(sets) & np.uint64((1 << COUNTER_BITS) - 1)).astype(np.int64)
-                    counters += np.bincount(slot, minlength=1 << COUNTER_BITS)
-                digests = [digest(s) for s in sets]
+                slot, n = np.unique(np.concatenate(sets) & SLOTS, return_counts=True)
+                counters[slot.astype(np.int64)] += n.astype(np.uint32)
                 none = pa.nulls(b - a)
                 yield pa.RecordBatch.from_arrays(
                     [
                         *[batch.column(x).slice(a, b - a) for x in names[:2]],
                         pa.array([len(s) for s in sets], pa.int64()),
-                        pa.array([x for x, _ in digests], pa.int64()),
-                        pa.array([y for _, y in digests], pa.int64()),
+                        pa.array([digest(s) for s in sets], pa.int64()),
                         none.cast(pa.int32()),
                         none.cast(pa.binary()),
                     ],
                     names,
                 )
-        chunks = counters.reshape(-1, COUNTER_CHUNK)
-        full = np.flatnonzero(chunks.any(axis=1))
-        none = pa.nulls(len(full)).cast(pa.int64())
-        data = [np.minimum(chunks[i], 0xFFFFFFFF).astype("<u4").tobytes() for i in full]
-        yield pa.RecordBatch.from_arrays([none] * 5 + [pa.array(full, pa.int32()), pa.array(data, pa.binary())], names)
+        for i, chunk in enumerate(counters.reshape(-1, COUNTER_CHUNK)):
+            if chunk.any():
+                data = zlib.compress(chunk.astype("<u4").tobytes(), 1)
+                none = pa.nulls(1).cast(pa.int64())
+                yield pa.RecordBatch.from_arrays([none] * 4 + [pa.array([i], pa.int32()), pa.array([data], pa.binary())], names)
 
-    schema = "doc_id bigint, text_key bigint, n_shingles bigint, c bigint, d bigint, chunk int, counts binary"
-    return keyed(docs).mapInArrow(run, schema)
+    return keyed(docs).mapInArrow(run, "doc_id bigint, text_key bigint, n_shingles bigint, c bigint, chunk int, counts binary")
 
 
 def rarity_levels(scanned: DataFrame) -> bytes:
-    """One byte for each of 2^20 counters: the doublings of its count over the mean."""
+    """One byte for each of 2^24 counters, compressed: the doublings of its count over twice the mean."""
+    mean = (scanned.agg(F.sum("n_shingles")).first()[0] or 0) / (1 << COUNTER_BITS)
 
     def add(batch: pd.DataFrame) -> pd.DataFrame:
         total = np.zeros(COUNTER_CHUNK, np.int64)
         for data in batch["counts"]:
-            total += np.frombuffer(data, "<u4")
-        return pd.DataFrame({"chunk": [batch["chunk"].iloc[0]], "counts": [total.astype("<i8").tobytes()]})
+            total += np.frombuffer(zlib.decompress(data), "<u4")
+        over = np.ceil(np.log2(np.maximum(1.0, total / max(1.0, 2 * mean)))).astype(np.uint8)
+        return pd.DataFrame({"chunk": [batch["chunk"].iloc[0]], "levels": [zlib.compress(over.tobytes(), 1)]})
 
     rows = scanned.filter("chunk is not null").select("chunk", "counts")
-    sums = rows.groupBy("chunk").applyInPandas(add, "chunk int, counts binary").collect()
-    counts = np.zeros((1 << COUNTER_BITS) // COUNTER_CHUNK * COUNTER_CHUNK, np.int64).reshape(-1, COUNTER_CHUNK)
-    for row in sums:
-        counts[row["chunk"]] = np.frombuffer(row["counts"], "<i8")
-    counts = counts.reshape(-1)
-    over = counts / max(1.0, 2 * counts.mean())
-    return np.ceil(np.log2(np.maximum(1.0, over))).astype(np.uint8).tobytes()
+    levels = np.zeros(1 << COUNTER_BITS, np.uint8).reshape(-1, COUNTER_CHUNK)
+    for row in rows.groupBy("chunk").applyInPandas(add, "chunk int, levels binary").collect():
+        levels[row["chunk"]] = np.frombuffer(zlib.decompress(row["levels"]), np.uint8)
+    return zlib.compress(levels.tobytes(), 1)
 
 
 def postings(docs: DataFrame, levels: bytes) -> DataFrame:
-    """(token, class) for the rarest quarter of every document's shingles."""
-    shared = docs.sparkSession.sparkContext.broadcast(levels)  # 1 MB
+    """(key, token, class) for the rarest quarter of every document's shingles.
+
+    ``key`` deals the rows out: it is the token, salted by the class for tokens of a high level, so that a
+    frequent one lies in as many groups as its level says. Only those rows carry ``token`` itself.
+    """
+    shared = docs.sparkSession.sparkContext.broadcast(levels)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        level = np.frombuffer(shared.value, np.uint8)
-        mask = np.uint64((1 << COUNTER_BITS) - 1)
+        level = np.frombuffer(zlib.decompress(shared.value), np.uint8)
+        seen: set[int] = set()
         for batch in batches:
             texts = batch.column("text").to_pylist()
             for a, b in slices(batch, [len(t or "") for t in texts], SLICE):
                 tokens, classes = [], []
                 for s in shingle_sets(texts[a:b]):
-                    if not len(s):
+                    c = digest(s)
+                    if not len(s) or c in seen:
                         continue
+                    if len(seen) < SEEN_CLASSES:
+                        seen.add(c)
                     # s ascends, so a stable sort by level orders equal levels by hash
-                    order = np.argsort(level[(s & mask).astype(np.int64)], kind="stable")
+                    order = np.argsort(level[(s & SLOTS).astype(np.int64)], kind="stable")
                     some = s[order[: prefix_size(len(s))]]
                     tokens.append(some)
-                    classes.append(np.full(len(some), digest(s)[0], np.int64))
-                if tokens:
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(np.concatenate(tokens).view(np.int64)), pa.array(np.concatenate(classes))], ["token", "c"]
-                    )
+                    classes.append(np.full(len(some), c, np.int64))
+                if not tokens:
+                    continue
+                token, c = np.concatenate(tokens), np.concatenate(classes)
+                high = level[(token & SLOTS).astype(np.int64)].astype(np.uint64)
+                salt = mixed(c.view(np.uint64)) & ((np.uint64(1) << high) - np.uint64(1))
+                key = np.where(high > 0, mixed(token + salt * WORD_BASE), token)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(key.view(np.int64)), pa.array(token.view(np.int64), mask=high == 0), pa.array(c)], ["key", "token", "c"]
+                )
 
-    return keyed(docs).select("text").mapInArrow(run, "token bigint, c bigint")
+    return keyed(docs).select("text").mapInArrow(run, "key bigint, token bigint, c bigint")
 
 
 def pools(posted: DataFrame) -> DataFrame:
-    """Pool of every class that shares a prefix token with another: ``vertex`` and ``root``."""
-    dealt = posted.repartition("token")
-    hubs = dealt.groupBy("token").agg(F.min("c").alias("hub"), F.max("c").alias("top")).filter("hub <> top").select("token", "hub")
-    edges = dealt.join(hubs.hint("shuffle_hash"), "token").select(F.col("c").alias("a"), F.col("hub").alias("b")).filter("a <> b").distinct()
-    return star_components(edges, "ngram-pools")
+    """Pool of every class that shares a prefix token with another: ``c`` and ``root``."""
+    held = Window.partitionBy("key")
+    rows = posted.withColumns({"hub": F.min("c").over(held), "top": F.max("c").over(held)})
+    rows = rows.filter((F.col("hub") != F.col("top")) | F.col("token").isNotNull())
+    rows = materialize(rows.select("token", "c", "hub").distinct(), "ngram-edges")
+    salted = rows.filter("token is not null").select("token", "hub").distinct()
+    across = salted.withColumn("least", F.min("hub").over(Window.partitionBy("token")))
+    edges = rows.select(F.col("c").alias("a"), F.col("hub").alias("b")).unionByName(
+        across.select(F.col("hub").alias("a"), F.col("least").alias("b"))
+    )
+    return star_components(edges.filter("a <> b"), "ngram-pools").withColumnRenamed("vertex", "c")
+
+
+def pools_again(texts: DataFrame) -> DataFrame:
+    """Pools of the given classes by exact frequencies among them; classes that cannot link are left out."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows, classes = batch.column("text").to_pylist(), batch.column("c").to_numpy(zero_copy_only=False)
+            for a, b in slices(batch, [len(t) for t in rows], SLICE):
+                sets = shingle_sets(rows[a:b])
+                sizes = np.array([len(s) for s in sets])
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        pa.array(np.concatenate(sets).view(np.int64)),
+                        pa.array(np.repeat(classes[a:b], sizes)),
+                        pa.array(np.repeat(sizes, sizes).astype(np.int32)),
+                    ],
+                    ["token", "c", "n"],
+                )
+
+    rows = texts.select("c", "text").mapInArrow(run, "token bigint, c bigint, n int")
+    counted = rows.withColumn("classes", F.count(F.lit(1)).over(Window.partitionBy("token"))).filter("classes > 1")
+    counted = materialize(counted, "ngram-shared")
+    able = counted.groupBy("c").agg(F.count(F.lit(1)).alias("common"), F.first("n").alias("size")).filter("100 * common >= 75 * size")
+    order = Window.partitionBy("c").orderBy("classes", "token")
+    ranked = counted.join(able, "c").withColumn("place", F.row_number().over(order) + F.col("size") - F.col("common"))
+    prefix = ranked.filter(F.col("place") <= F.col("size") - F.floor((3 * F.col("size") + 3) / 4) + 1)
+    prefix = materialize(prefix.select("token", "c"), "ngram-prefix")
+    hubs = prefix.groupBy("token").agg(F.min("c").alias("hub"))
+    edges = prefix.join(hubs, "token").select(F.col("c").alias("a"), F.col("hub").alias("b")).filter("a <> b")
+    return star_components(edges, "ngram-pools").withColumnRenamed("vertex", "c")
 
 
 class Node:
@@ -346,17 +395,23 @@ def links(docs: DataFrame, scanned: DataFrame, levels: bytes) -> DataFrame:
     found = pools(postings(docs, levels))
     classes = scanned.filter("n_shingles > 0").groupBy("c").agg(F.min("text_key").alias("text_key"))
     # A class is read from one of its texts; equal sets need not be equal texts.
-    found = found.withColumnRenamed("vertex", "c")
-    members = found.join(classes, "c").select("c", "root", "text_key")
-    sizes = found.groupBy("root").agg(F.count(F.lit(1)).alias("size"))
-    members = materialize(members.join(sizes, "root"), "ngram-members")
+    members = materialize(found.join(classes, "c").select("c", "root", "text_key"), "ngram-members")
     wanted = checked_broadcast(members, "ngram-wanted", MAX_BROADCAST_KEYS, stored=True)
     texts = keyed(docs).select("text_key", "text").join(wanted, "text_key").dropDuplicates(["c"])
-    texts = materialize(texts.select("c", "root", "size", "text"), "ngram-texts")
-    small = texts.filter(F.col("size") <= POOL_ROWS)
-    out = small.select("root", "c", "text").groupBy("root").applyInPandas(pool_links, LINK)
+    texts = materialize(texts.select("c", "root", "text"), "ngram-texts")
+    sizes = checked_broadcast(texts.groupBy("root").agg(F.count(F.lit(1)).alias("size")), "ngram-sizes", MAX_BROADCAST_KEYS)
+    sized = texts.join(sizes, "root")
+    out = sized.filter(F.col("size") <= POOL_ROWS).select("root", "c", "text").groupBy("root").applyInPandas(pool_links, LINK)
+    large = sized.filter(F.col("size") > POOL_ROWS)
+    if large.isEmpty():
+        return out
 
-    large = texts.filter(F.col("size") > POOL_ROWS)
+    again = materialize(pools_again(large), "ngram-again")
+    sizes = checked_broadcast(again.groupBy("root").agg(F.count(F.lit(1)).alias("size")), "ngram-sizes", MAX_BROADCAST_KEYS)
+    large = materialize(large.select("c", "text").join(again, "c").join(sizes, "root"), "ngram-large")
+    small = large.filter(F.col("size") <= POOL_ROWS).select("root", "c", "text")
+    out = out.unionByName(small.groupBy("root").applyInPandas(pool_links, LINK))
+    large = large.filter(F.col("size") > POOL_ROWS)
     if large.isEmpty():
         return out
     heads = large.filter("c = root").select("root", F.col("text").alias("head"))
@@ -386,7 +441,8 @@ def links(docs: DataFrame, scanned: DataFrame, levels: bytes) -> DataFrame:
     asked = asked.withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
     held = rows.withColumn("part", spread(F.col("parts"))).withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     keys = ["root", "block", "part"]
-    met = asked.select(*keys, "c", "text").groupBy(*keys).cogroup(held.select(*keys, "c", "text").groupBy(*keys)).applyInPandas(block_links, LINK)
+    asked = materialize(asked.select(*keys, "c", "text"), "ngram-asked")
+    met = asked.groupBy(*keys).cogroup(held.select(*keys, "c", "text").groupBy(*keys)).applyInPandas(block_links, LINK)
     return out.unionByName(star).unionByName(met)
 
 
@@ -394,8 +450,7 @@ def components(docs: DataFrame) -> DataFrame:
     """Per document row: ``doc_id``, ``text_key``, ``n_shingles`` and ``component_id``."""
     scanned = materialize(scan(docs), "ngram-scan")
     rows = scanned.filter("chunk is null").drop("chunk", "counts")
-    found = star_components(links(docs, rows, rarity_levels(scanned)), "ngram-components")
-    found = found.withColumnRenamed("vertex", "c")
+    found = star_components(links(docs, rows, rarity_levels(scanned)), "ngram-components").withColumnRenamed("vertex", "c")
     named = rows.join(checked_broadcast(found, "ngram-labels", MAX_BROADCAST_KEYS), "c", "left")
     group = F.when(F.col("n_shingles") > 0, F.coalesce("root", "c"))
     labelled = named.select("doc_id", "text_key", "n_shingles", group.alias("label"))
