@@ -12,7 +12,8 @@ classes that share a prefix token all others are first held against the earliest
 match there is done, so a group of copies costs a row per member. Only the rest meet each other.
 
 Lines without words are never removed. Null texts stay null. Rows that repeat both id and text are treated
-alike. Null ids come last. An empty table gives no rows. Further columns stay.
+alike. Null ids come last. An empty table gives no rows. Further columns stay, but for those named ``n_lines``
+and ``n_removed``, which are replaced.
 """
 
 from __future__ import annotations
@@ -23,26 +24,31 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tallyglass.llm.common import DOCUMENT_COLUMNS, table
-from tallyglass.llm.fingerprint import SHINGLE, with_shingles, with_words
+from tallyglass.llm.fingerprint import SHINGLE, with_shingles
 from tallyglass.workspace import checked_broadcast, materialize
 
 COUNTERS = 1 << 16
 LEVELS = 16
 LEVEL_SHIFT = 59
-# Keys of at most 48 bytes: 20 MB.
-MAX_BROADCAST_KEYS = 400_000
+ODD_BLANKS = "\t\x0b\f\r"
+# One number or one place list each: 64 MB at most.
+MAX_BROADCAST_KEYS = 2_000_000
 NO_ID = (1 << 63) - 1
+DOC, KEY = "__line_doc", "__line_key"
 
 
 def keyed(docs: DataFrame) -> DataFrame:
     """Document rows with the order they have here: id (null last) and digest of the text."""
-    return docs.withColumns({"_doc": F.coalesce(F.col("doc_id").cast("bigint"), F.lit(NO_ID)), "_key": F.xxhash64("text")})
+    return docs.withColumns({DOC: F.coalesce(F.col("doc_id").cast("bigint"), F.lit(NO_ID)), KEY: F.xxhash64("text")})
 
 
 def lines_of(docs: DataFrame) -> DataFrame:
     """All lines with words: row keys, place in the text, and word hashes."""
-    rows = keyed(docs).select("_doc", "_key", F.posexplode(F.split("text", "\n")).alias("pos", "line"))
-    return with_words(rows, "line", "w").drop("line").filter(F.size("w") > 0)
+    rows = keyed(docs).select(DOC, KEY, F.posexplode(F.split("text", "\n")).alias("pos", "line"))
+    odd = [F.col("line").contains(c) for c in ODD_BLANKS]
+    plain = F.when(odd[0] | odd[1] | odd[2] | odd[3], F.translate("line", ODD_BLANKS, " " * len(ODD_BLANKS))).otherwise(F.col("line"))
+    words = rows.select(DOC, KEY, "pos", F.array_remove(F.split(F.lower(plain), " "), "").alias("words")).filter(F.size("words") > 0)
+    return words.select(DOC, KEY, "pos", F.transform("words", lambda x: F.xxhash64(x)).alias("w"))
 
 
 def rarity_levels(lines: DataFrame) -> list[int]:
@@ -101,8 +107,8 @@ def repeated_lines(docs: DataFrame) -> DataFrame:
     lines = lines_of(docs)
     levels = rarity_levels(lines)
     named = lines.withColumns({"c": F.xxhash64("w"), "d": F.hash("w")})
-    stored = materialize(named.select("_doc", "_key", "pos", "c", "d"), "line-classes")
-    place = F.struct("_doc", "_key", "pos")
+    stored = materialize(named.select(DOC, KEY, "pos", "c", "d"), "line-classes")
+    place = F.struct(DOC, KEY, "pos")
     firsts = materialize(stored.groupBy("c", "d").agg(F.min(place).alias("first")), "line-firsts")
 
     shared = materialize(shared_tokens(named.select("w", "c"), levels), "line-postings")
@@ -128,19 +134,19 @@ def repeated_lines(docs: DataFrame) -> DataFrame:
     gone = gone.unionByName(more).withColumn("_gone", F.lit(True))
 
     judged = stored.join(firsts, ["c", "d"]).join(gone, ["c", "d"], "left")
-    return judged.filter(F.col("_gone") | (place > F.col("first"))).select("_doc", "_key", "pos")
+    return judged.filter(F.col("_gone") | (place > F.col("first"))).select(DOC, KEY, "pos")
 
 
 def dedup_lines(docs: DataFrame) -> DataFrame:
     """Documents without their repeated lines, with ``n_lines`` and ``n_removed``."""
-    removed = repeated_lines(docs).groupBy("_doc", "_key").agg(F.collect_set("pos").alias("_removed"))
+    removed = repeated_lines(docs).groupBy(DOC, KEY).agg(F.collect_set("pos").alias("__line_removed"))
     removed = checked_broadcast(removed, "line-removed", MAX_BROADCAST_KEYS)
-    rows = keyed(docs).join(removed, ["_doc", "_key"], "left")
-    kept = F.filter(F.split("text", "\n"), lambda _, i: ~F.array_contains("_removed", i))
-    text = F.when(F.col("_removed").isNull(), F.col("text")).otherwise(F.array_join(kept, "\n"))
+    rows = keyed(docs).join(removed, [DOC, KEY], "left")
+    kept = F.filter(F.split("text", "\n"), lambda _, i: ~F.array_contains("__line_removed", i))
+    text = F.when(F.col("__line_removed").isNull(), F.col("text")).otherwise(F.array_join(kept, "\n"))
     n_lines = F.when(F.col("text").isNull(), 0).otherwise(F.size(F.split("text", "\n"))).cast("bigint")
-    out = rows.withColumns({"n_lines": n_lines, "n_removed": F.coalesce(F.size("_removed"), F.lit(0)).cast("bigint"), "_text": text})
-    others = [F.col("_text").alias("text") if c == "text" else F.col(c) for c in docs.columns]
+    out = rows.withColumns({"n_lines": n_lines, "n_removed": F.coalesce(F.size("__line_removed"), F.lit(0)).cast("bigint"), "__line_text": text})
+    others = [F.col("__line_text").alias("text") if c == "text" else F.col(c) for c in docs.columns if c not in ("n_lines", "n_removed")]
     return out.select(*others, "n_lines", "n_removed")
 
 
