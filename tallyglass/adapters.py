@@ -15,22 +15,28 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def transactions_from_events(events: DataFrame) -> DataFrame:
-    """Raw transactions with null, negative and zero-key dirt; keys stay 64-bit."""
-    return events.selectExpr(
+    """Raw transactions with dirt; keys stay 64-bit.
+
+    Amounts are null or negative, terminals zero, times, customers and labels null, and some rows are null as a whole.
+    """
+    rows = events.selectExpr(
+        "event_id",
         "event_id + 1 as transaction_id",
-        "ts as tx_datetime",
-        "user_id as customer_id",
+        "case when event_id % 83 = 11 then null else ts end as tx_datetime",
+        "case when event_id % 89 = 13 then null else user_id end as customer_id",
         "event_id % 97 as terminal_id",
         "case when event_id % 50 = 7 then null when event_id % 41 = 3 then -value else value end"
         " as tx_amount",
         f"datediff(cast(ts as date), date'{EPOCH}') * 86400L + hour(ts) * 3600 + minute(ts) * 60 + second(ts)"
         " as tx_time_seconds",
         f"datediff(cast(ts as date), date'{EPOCH}') as tx_time_days",
-        "case when value > 150 then 1 when event_type = 'error' and event_id % 13 = 0 then 1"
-        " else 0 end as tx_fraud",
+        "case when event_id % 79 = 17 then null when value > 150 then 1"
+        " when event_type = 'error' and event_id % 13 = 0 then 1 else 0 end as tx_fraud",
         "case when value > 150 then 1 when event_type = 'error' and event_id % 13 = 0 then 2"
         " else 0 end as tx_fraud_scenario",
     )
+    columns = [c for c in rows.columns if c != "event_id"]
+    return rows.select(*[F.when(F.col("event_id") % 101 != 19, F.col(c)).alias(c) for c in columns])
 
 
 def transactions(spark: SparkSession, sf_dir: str) -> DataFrame:

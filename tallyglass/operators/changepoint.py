@@ -43,7 +43,11 @@ def change_points(
     max_points: int = MAX_POINTS,
     jump: int = JUMP,
 ) -> DataFrame:
-    """(date, feature, position, second_of_day) of each inner segment start; days run in parallel."""
+    """(day, feature, position, second_of_day) of each inner segment start; days run in parallel.
+
+    A slot is ``86400 / max_points`` seconds wide (86.4 by default) and every ``jump``-th slot may start a
+    segment; ``jump=1`` tries all of them.
+    """
     if cost not in COSTS:
         raise ValueError(f"cost must be one of {COSTS}")
     means = slot_means(df, columns, time, day, max_points)
@@ -54,7 +58,7 @@ def change_points(
         slots = rows["slot"].to_numpy()[breaks] if breaks else np.array([], dtype=int)
         return pd.DataFrame(
             {
-                "date": pd.Series([key[0]] * len(breaks), dtype="object"),
+                day: pd.Series([key[0]] * len(breaks), dtype="object"),
                 "feature": pd.Series([key[1]] * len(breaks), dtype="object"),
                 "position": pd.Series(breaks, dtype="int64"),
                 "second_of_day": pd.Series([math.ceil(s * DAY_SECONDS / max_points) for s in slots], dtype="int64"),
@@ -83,7 +87,7 @@ def _segment_cost(x: np.ndarray, cost: str):
 
 
 def segment_starts(values: np.ndarray, cost: str = "rbf", penalty: float = PENALTY, jump: int = JUMP) -> list[int]:
-    """Starts of all segments but the first, by pruned exact search (Killick, Fearnhead, Eckley 2012)."""
+    """Starts of all segments but the first, by pruned search, exact among every ``jump``-th start (Killick, Fearnhead, Eckley 2012)."""
     x = np.asarray(values, dtype=float)
     n = len(x)
     if n < 2 * MIN_SIZE:

@@ -17,14 +17,14 @@ from pyspark.sql.functions import pandas_udf
 from pyspark.sql.types import DoubleType
 
 from tallyglass.functions.numeric import ratio_or
-from tallyglass.functions.tails import chi2_upper, f_upper, student_t_two_sided
+from tallyglass.functions.tails import chi2_upper, f_upper, normal_two_sided, student_t_two_sided
 from tallyglass.operators.profile import calendar, moments
 from tallyglass.operators.ranks import SPLIT_ABOVE, running_sums
-from tallyglass.operators.sampling import hash_sample
 from tallyglass.workspace import checked_broadcast, materialize
 
 # Significance level, number of stability bins, and the floor of a bin share.
 ALPHA = 0.05
+OMNIBUS_ROWS = 8
 PSI_BINS = 10
 PSI_FLOOR = 1e-4
 
@@ -57,6 +57,29 @@ def jarque_bera(table: DataFrame) -> DataFrame:
     )
 
 
+def omnibus(table: DataFrame) -> DataFrame:
+    """Normality by the D'Agostino-Pearson K-squared of all values: statistic, p-value, verdict.
+
+    Null for fewer than 8 values or a constant column.
+    """
+    n = F.col("n").cast("double")
+    y = F.col("skew") * F.sqrt((n + 1) * (n + 3) / (6 * (n - 2)))
+    beta = 3 * (n * n + 27 * n - 70) * (n + 1) * (n + 3) / ((n - 2) * (n + 5) * (n + 7) * (n + 9))
+    w2 = F.sqrt(2 * (beta - 1)) - 1
+    z1 = F.asinh(y / F.sqrt(2 / (w2 - 1))) / F.sqrt(0.5 * F.log(w2))
+    mean = 3 * (n - 1) / (n + 1)
+    var = 24 * n * (n - 2) * (n - 3) / ((n + 1) * (n + 1) * (n + 3) * (n + 5))
+    x = (F.col("kurt") + 3 - mean) / F.sqrt(var)
+    root = 6 * (n * n - 5 * n + 2) / ((n + 7) * (n + 9)) * F.sqrt(6 * (n + 3) * (n + 5) / (n * (n - 2) * (n - 3)))
+    a = 6 + 8 / root * (2 / root + F.sqrt(1 + 4 / (root * root)))
+    under = 1 + x * F.sqrt(2 / (a - 4))
+    z2 = (1 - 2 / (9 * a) - F.signum(under) * F.cbrt((1 - 2 / a) / F.abs(under))) / F.sqrt(2 / (9 * a))
+    k2 = F.when((n >= OMNIBUS_ROWS) & F.col("skew").isNotNull() & (under != 0), z1 * z1 + z2 * z2)
+    return table.withColumn("k2", k2).withColumn("p_value", F.exp(-F.col("k2") / F.lit(2.0))).withColumn(
+        "normal", F.col("p_value") >= ALPHA
+    )
+
+
 def paired_moments(table: DataFrame, days: DataFrame, day: str = "date") -> DataFrame:
     """Each day's moments beside those of its previous available day."""
     sides = [
@@ -154,15 +177,16 @@ def kolmogorov_p(distance: Column, n1: Column, n2: Column) -> Column:
 
 
 @pandas_udf(DoubleType())
-def mann_whitney_p(u: pd.Series, n1: pd.Series, n2: pd.Series, ties: pd.Series, z: pd.Series) -> pd.Series:
-    """Exact null distribution when a side has at most 8 rows and nothing ties; else the normal tail."""
-    out = []
-    for stat, a, b, tie, score in zip(u, n1, n2, ties, z):
-        if min(a, b) <= 8 and tie == 0 and a * b <= 10_000_000:
-            out.append(_exact_u(float(stat), int(min(a, b)), int(max(a, b))))
-        else:
-            out.append(None if pd.isna(score) else min(1.0, math.erfc(score / math.sqrt(2))))
-    return pd.Series(out, dtype="object")
+def _exact_rank_p(u: pd.Series, n1: pd.Series, n2: pd.Series) -> pd.Series:
+    return pd.Series([None if pd.isna(x) else _exact_u(float(x), int(min(a, b)), int(max(a, b))) for x, a, b in zip(u, n1, n2)], dtype="object")
+
+
+def mann_whitney_p(method: str = "asymptotic") -> Column:
+    """p-value of ``u``: the normal tail of ``z``, or by request the exact null distribution, which takes no ties."""
+    if method not in ("asymptotic", "exact"):
+        raise ValueError("method must be asymptotic or exact")
+    tail = F.when(F.col("z") >= 0, normal_two_sided("z")).otherwise(F.when(F.col("z") < 0, F.lit(1.0)))
+    return tail if method == "asymptotic" else F.when(F.col("ties") == 0, _exact_rank_p("u", "n1", "n2"))
 
 
 def _exact_u(stat: float, m: int, n: int) -> float:
@@ -219,16 +243,18 @@ def compare_days(
     day: str = "date",
     categorical: list[str] | None = None,
     split_above: int = SPLIT_ABOVE,
+    rank_method: str = "asymptotic",
 ) -> DataFrame:
     """All tests, p-values and the decision for each (day, column) against the previous available day.
 
     ``verdict``: ``different_nature`` when only one side looks normal; otherwise ``similar`` or
     ``different`` by the t test (both normal; ``unequal_variance`` notes a failed Levene test) or by
-    the rank test (neither normal); ``undecided`` without a defined normality (constant columns).
+    the rank test (neither normal); ``undecided`` without a defined normality (constant columns). A column
+    with values on one of the two days only is ``undecided`` too, without statistics, and noted ``one_sided``.
     """
     shapes = materialize(day_moments(df, columns, day), "moments")
     days = checked_broadcast(calendar(shapes, day), "calendar")
-    paired = pooled_t(paired_moments(shapes, days, day))
+    paired = pooled_t(paired_moments(shapes, days, day)).drop("prev_date")
     cells = materialize(pair_cells(df, columns, days, day), "pair-cells")
     ranks = materialize(rank_summary(cells, day, split_above), "rank-summary")
     spread = spread_and_stability(cells, ranks, day, stored=True)
@@ -240,18 +266,21 @@ def compare_days(
         )
         for s, d in (("cur", day), ("ref", "prev_date"))
     }
+    pairs = cells.groupBy(day, "feature").agg(F.sum("n_cur").alias("n1"), F.sum("n_ref").alias("n2"))
     wide = (
-        paired.join(ranks.drop("edges"), [day, "feature"])
-        .join(spread, [day, "feature"])
-        .join(sides["cur"], [day, "feature"])
-        .join(sides["ref"], ["prev_date", "feature"])
+        pairs.join(days.select(day, "prev_date"), day)
+        .join(paired, [day, "feature"], "left")
+        .join(ranks.drop("edges", "n1", "n2"), [day, "feature"], "left")
+        .join(spread, [day, "feature"], "left")
+        .join(sides["cur"], [day, "feature"], "left")
+        .join(sides["ref"], ["prev_date", "feature"], "left")
     )
     # Small result: one row per day and column, so the Python tails run on few rows.
     wide = (
         wide.withColumn("t_p", student_t_two_sided("t", "t_df"))
         .withColumn("levene_p", f_upper("levene", F.lit(1.0), "levene_df"))
-        .withColumn("u_p", mann_whitney_p("u", "n1", "n2", "ties", "z"))
-        .withColumn("chi2_p", F.when(F.col("chi2_df") > 0, chi2_upper("chi2", "chi2_df")).otherwise(F.lit(1.0)))
+        .withColumn("u_p", mann_whitney_p(rank_method))
+        .withColumn("chi2_p", F.when(F.col("chi2_df") > 0, chi2_upper("chi2", "chi2_df")).when(F.col("chi2_df") == 0, F.lit(1.0)))
     )
     kinds = F.col("feature").isin(categorical or [])
     same = lambda p: F.when(F.col(p) >= ALPHA, "similar").otherwise("different")
@@ -261,7 +290,9 @@ def compare_days(
         .when(F.col("normal_cur"), same("t_p"))
         .otherwise(same("u_p"))
     )
-    note = F.when(F.col("normal_cur") & F.col("normal_ref") & (F.col("levene_p") < ALPHA), "unequal_variance")
+    note = F.when((F.col("n1") == 0) | (F.col("n2") == 0), "one_sided").when(
+        F.col("normal_cur") & F.col("normal_ref") & (F.col("levene_p") < ALPHA), "unequal_variance"
+    )
     return wide.withColumns(
         {
             "verdict": verdict,
@@ -298,67 +329,11 @@ def test_log(comparison: DataFrame, day: str = "date") -> DataFrame:
 
 
 def drifted_columns(comparison: DataFrame, day: str = "date") -> DataFrame:
-    """Per day: how many columns drifted, their share, and the number compared."""
-    drifted = F.count_if(F.col("drift_p") < ALPHA)
+    """Per day: how many columns drifted, their share, and the number compared.
+
+    A column that is filled on one of the two days only has drifted.
+    """
+    drifted = F.count_if((F.col("drift_p") < ALPHA) | (F.col("note") == "one_sided"))
     return comparison.groupBy(day).agg(
-        drifted.alias("drifted"), F.count("drift_p").alias("compared"), ratio_or(drifted, F.count("drift_p")).alias("share")
+        drifted.alias("drifted"), F.count(F.lit(1)).alias("compared"), ratio_or(drifted, F.count(F.lit(1))).alias("share")
     )
-
-
-def shapiro_wilk(df: DataFrame, columns: list[str], key: str, day: str = "date", n: int = 1000) -> DataFrame:
-    """Royston's W per day and column on at most ``n`` hash-chosen rows (the approximation needs n <= 5000)."""
-    if not 3 <= n <= 5000:
-        raise ValueError("Royston's approximation holds for 3 to 5000 rows")
-    long = values_long(df.filter(F.col(day).isNotNull()), columns, [day, key])
-    chosen = hash_sample(long, key, n, "w-", [day, "feature"])
-    schema = f"{day} date, feature string, n bigint, w double, p_value double"
-    return chosen.select(day, "feature", "value").groupBy(day, "feature").applyInPandas(_shapiro_group, schema)
-
-
-def _shapiro_group(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
-    w, p = royston(rows["value"].to_numpy())
-    return pd.DataFrame({"date": [key[0]], "feature": [key[1]], "n": [len(rows)], "w": pd.Series([w], dtype="float64"), "p_value": pd.Series([p], dtype="float64")})
-
-
-def royston(values: np.ndarray) -> tuple[float | None, float | None]:
-    """W and p-value by Royston's 1995 approximation (Applied Statistics algorithm R94)."""
-    from statistics import NormalDist
-
-    x = np.sort(np.asarray(values, dtype=float))
-    n = len(x)
-    if n < 3 or x[0] == x[-1]:
-        return None, None
-    normal = NormalDist()
-    m = np.array([normal.inv_cdf((i - 0.375) / (n + 0.25)) for i in range(1, n + 1)])
-    mm = float(m @ m)
-    a = m / math.sqrt(mm)
-    if n == 3:
-        a = np.array([-math.sqrt(0.5), 0.0, math.sqrt(0.5)])
-    else:
-        # The published polynomial coefficients.
-        u = 1 / math.sqrt(n)
-        last = a[-1] + np.polyval([-2.706056, 4.434685, -2.071190, -0.147981, 0.221157, 0.0], u)
-        if n > 5:
-            second = a[-2] + np.polyval([-3.582633, 5.682633, -1.752461, -0.293762, 0.042981, 0.0], u)
-            phi = (mm - 2 * m[-1] ** 2 - 2 * m[-2] ** 2) / (1 - 2 * last**2 - 2 * second**2)
-        else:
-            phi = (mm - 2 * m[-1] ** 2) / (1 - 2 * last**2)
-        a = m / math.sqrt(phi)
-        a[-1], a[0] = last, -last
-        if n > 5:
-            a[-2], a[1] = second, -second
-    w = min(1.0, float(a @ x) ** 2 / float(((x - x.mean()) ** 2).sum()))
-    if n == 3:
-        return w, max(0.0, 6 / math.pi * (math.asin(math.sqrt(w)) - math.asin(math.sqrt(0.75))))
-    if n <= 11:
-        gamma = 0.459 * n - 2.273
-        if math.log1p(-w) >= gamma:
-            return w, 0.0
-        y = -math.log(gamma - math.log1p(-w))
-        mean = np.polyval([-0.0006714, 0.025054, -0.39978, 0.5440], n)
-        sd = math.exp(np.polyval([-0.0020322, 0.062767, -0.77857, 1.3822], n))
-    else:
-        y = math.log1p(-w) if w < 1 else -math.inf
-        mean = np.polyval([0.0038915, -0.083751, -0.31082, -1.5861], math.log(n))
-        sd = math.exp(np.polyval([0.0030302, -0.082676, -0.4803], math.log(n)))
-    return w, 0.5 * math.erfc((y - mean) / sd / math.sqrt(2))

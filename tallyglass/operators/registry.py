@@ -41,15 +41,18 @@ def promotion_history(versions: DataFrame, metric: str = "auc") -> DataFrame:
     """Alias of each version when it was registered.
 
     The first version of a model, or one strictly better than every earlier one, becomes champion;
-    any other version challenger. ``improvement`` is the percent gain over the champion before it.
+    any other version challenger. A metric that is NaN counts as missing and beats nothing. ``improvement`` is the percent gain over the champion before it.
     """
     earlier = (
         Window.partitionBy("model").orderBy("version").rowsBetween(Window.unboundedPreceding, -1)
     )
-    best = F.max(metric).over(earlier)
-    promoted = F.col(metric).isNotNull() & (F.col("best_before").isNull() | (F.col(metric) > F.col("best_before")))
+    known = F.nanvl(F.col(metric).cast("double"), F.lit(None).cast("double"))
+    versions = versions.withColumn(metric, known)
+    order = Window.partitionBy("model").orderBy("version")
+    better = F.col(metric) > F.coalesce(F.col("best_before"), F.lit(float("-inf")))
+    promoted = (F.row_number().over(order) == 1) | F.coalesce(better, F.lit(False))
     return (
-        versions.withColumn("best_before", best)
+        versions.withColumn("best_before", F.max(metric).over(earlier))
         .withColumn("alias", F.when(promoted, "champion").otherwise("challenger"))
         .withColumn("improvement", F.when(promoted, percent_change(F.col(metric), F.col("best_before"))))
     )
@@ -87,10 +90,12 @@ def objective(table: DataFrame) -> DataFrame:
     return table.withColumn("loss", F.coalesce(1 - score, F.lit(1.0)))
 
 
-def leaderboard(trials: DataFrame, k: int | None = None) -> DataFrame:
-    """Trials with a result, best area first."""
-    ranked = trials.filter("auc is not null").orderBy(F.desc("auc"), "trial_id")
-    return ranked.limit(k) if k else ranked
+def leaderboard(trials: DataFrame) -> DataFrame:
+    """All trials with their rank, best area first; trials without a result come last.
+
+    One row per trial reaches the ranking window.
+    """
+    return trials.withColumn("rank", F.row_number().over(Window.orderBy(F.desc_nulls_last("auc"), "trial_id")))
 
 
 def best_trial(trials: DataFrame) -> DataFrame:

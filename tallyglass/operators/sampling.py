@@ -17,10 +17,14 @@ PRE_LIMIT = 1000
 
 
 def hash_split(df: DataFrame, key: str, train: float = 0.8, salt: str = "") -> tuple[DataFrame, DataFrame]:
-    """Train and test rows by key hash: stable under repartitioning, retries and re-runs."""
-    slot = hash32(F.concat(F.lit(salt), F.col(key).cast("string"))) % 10
-    cut = round(train * 10)
-    return df.filter(slot < cut), df.filter(slot >= cut)
+    """Train and test rows by key hash: stable under repartitioning, retries and re-runs.
+
+    A row with a null key belongs to the test rows.
+    """
+    if not 0 <= train <= 1:
+        raise ValueError("train must be a share")
+    chosen = F.coalesce(hash32(F.concat(F.lit(salt), F.col(key).cast("string"))) < F.lit(round(train * TWO_32)), F.lit(False))
+    return df.filter(chosen), df.filter(~chosen)
 
 
 def random_split(df: DataFrame, train: float = 0.8, seed: int = 42) -> list[DataFrame]:

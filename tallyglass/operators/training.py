@@ -32,7 +32,6 @@ SEARCH_SPACE = {
     "impurity": ["gini", "entropy"],
 }
 TRIALS = 15
-FAILED_LOSS = 1.0
 
 
 def build_pipeline(

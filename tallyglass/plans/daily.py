@@ -70,7 +70,8 @@ def clean_next(
 ) -> str | None:
     """Clean the next raw file into its own folder; its key, or None when nothing is left.
 
-    The high-water mark is the last processed key. ``backfill`` takes the first file without output
+    A file of which every row is rejected leaves no data and still counts as processed. The high-water mark
+    is the last processed key. ``backfill`` takes the first file without output
     instead, so gaps left by earlier runs are filled.
     """
     inputs = transactions.list_files(spark, raw)
@@ -82,4 +83,5 @@ def clean_next(
     path = inputs.filter(F.col("key") == following.key).first().path
     rows = transactions.read_with_file_key(spark, path, schema)
     sinks.overwrite_days(cleaning.clean(rows), output, transactions.FILE_KEY)
+    transactions.mark_processed(spark, output, following.key)
     return following.key

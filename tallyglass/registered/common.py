@@ -45,16 +45,23 @@ def stamp(expression: str) -> str:
 
 # Derived tables for the SQL side.
 TX = """
-tx as (
-  select event_id + 1 as transaction_id, ts as tx_datetime, user_id as customer_id,
+tx_rows as (
+  select event_id, event_id + 1 as transaction_id, case when event_id % 83 = 11 then null else ts end as tx_datetime,
+         case when event_id % 89 = 13 then null else user_id end as customer_id,
          event_id % 97 as terminal_id,
          case when event_id % 50 = 7 then null when event_id % 41 = 3 then -value else value end as tx_amount,
          date_sub('second', timestamp '2024-01-01', ts) as tx_time_seconds,
          date_diff('day', date '2024-01-01', cast(ts as date)) as tx_time_days,
-         case when value > 150 then 1 when event_type = 'error' and event_id % 13 = 0 then 1 else 0 end as tx_fraud,
+         case when event_id % 79 = 17 then null when value > 150 then 1
+           when event_type = 'error' and event_id % 13 = 0 then 1 else 0 end as tx_fraud,
          case when value > 150 then 1 when event_type = 'error' and event_id % 13 = 0 then 2 else 0 end
            as tx_fraud_scenario
   from events
+),
+tx as (
+  select * exclude (event_id) from tx_rows where event_id % 101 <> 19
+  union all
+  select null, null, null, null, null, null, null, null, null from tx_rows where event_id % 101 = 19
 )"""
 CLEAN = (
     TX

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from tallyglass import adapters
 from tallyglass.operators import cleaning, profile
 from tallyglass.registered.common import CALENDAR, CLEAN, TX, present, r, stamp, unpivot_sql
-from tallyglass.schema import NUMERIC_COLUMNS
+from tallyglass.schema import NUMERIC_COLUMNS, TARGET_COLUMNS
 from tallyglass.sources import backlog, transactions
 from tallyglass.workspace import materialize
 
@@ -83,7 +83,7 @@ def profile_total(spark, sf_dir):
 
 
 def profile_delta(spark, sf_dir):
-    table = profile.profile(_clean_by_day(spark, sf_dir), ["date"], ["tx_amount", "tx_fraud"])
+    table = profile.profile(_clean_by_day(spark, sf_dir), ["date"], FEATURES)
     return present(profile.profile_change(table))
 
 
@@ -110,14 +110,13 @@ def reference_day_pairs(spark, sf_dir):
 
 
 def data_summary(spark, sf_dir):
-    columns = ["terminal_id", "tx_fraud", "tx_fraud_scenario", "tx_amount"]
-    table = profile.top_values(_clean_by_day(spark, sf_dir), columns, 3, ["date"])
+    table = profile.top_values(_clean_by_day(spark, sf_dir), FEATURES, 3, ["date"])
     return present(table)
 
 
 def column_summary(spark, sf_dir):
     rows = _clean_by_day(spark, sf_dir)
-    summary = materialize(profile.data_summary(rows, ["date"], ["tx_amount", "terminal_id", "tx_fraud"], 2), "summary")
+    summary = materialize(profile.data_summary(rows, ["date"], FEATURES, 2), "summary")
     table = profile.summary_against_reference(summary, profile.calendar(rows))
     first = [F.get(f"{side}top", F.lit(0))["value"].alias(f"{side}top_value") for side in ("", "ref_")]
     second = F.get("top", F.lit(1))["count"].alias("second_count")
@@ -126,11 +125,11 @@ def column_summary(spark, sf_dir):
 
 
 def outlier_fences(spark, sf_dir):
-    return present(cleaning.iqr_fences(_clean_by_day(spark, sf_dir), ["tx_amount", "tx_time_seconds"]))
+    return present(cleaning.iqr_fences(_clean_by_day(spark, sf_dir), FEATURES))
 
 
 def without_outliers(spark, sf_dir):
-    kept = cleaning.drop_outliers(_clean_by_day(spark, sf_dir), ["tx_amount", "tx_time_seconds"])
+    kept = cleaning.drop_outliers(_clean_by_day(spark, sf_dir), FENCED)
     return present(kept.select("transaction_id", "date", "tx_amount"))
 
 
@@ -170,6 +169,12 @@ _TX_OUT = f"""transaction_id, {stamp('tx_datetime')} as tx_datetime, customer_id
   {r('tx_amount')} as tx_amount, tx_time_seconds, tx_time_days,
   cast(tx_fraud as bigint) as tx_fraud, cast(tx_fraud_scenario as bigint) as tx_fraud_scenario"""
 
+_TEXTS = " union all ".join(
+    f"select date, '{c}' as \"column\", cast({c} as varchar) as value from cleaned" for c in NUMERIC_COLUMNS
+)
+# Outliers are cut by what can be a feature; labels have no fences.
+FENCED = [c for c in NUMERIC_COLUMNS if c not in TARGET_COLUMNS]
+_COLUMNS = ["tx_datetime", *NUMERIC_COLUMNS]
 _DONE = """
 per_day as (select strftime(ts, '%Y%m%d') as key, count(*) as n,
                    count(*) filter (where event_type = 'error') as errors from events group by 1),
@@ -221,13 +226,16 @@ def _correlation_sql(ctes: str, source: str, by: str, digits: int) -> str:
 ORACLE = {
     "clean_transactions": f"with {CLEAN} select {_TX_OUT} from cleaned",
     "clean_reject_counts": f"""with {TX}, flags as (
-      select coalesce(transaction_id > 0 and customer_id > 0 and terminal_id > 0 and tx_amount > 0, false) as ok
+      select coalesce(transaction_id > 0 and customer_id > 0 and terminal_id > 0 and tx_amount > 0, false) as ok,
+        coalesce({", ".join(f"cast({c} as varchar)" for c in _COLUMNS)}) is null as blank,
+        {" or ".join(f"{c} is null" for c in _COLUMNS)} as holes
       from tx)
-      select count(*) as total, 0::bigint as all_null, count(*) filter (where not ok) as not_positive,
-        0::bigint as some_null, count(*) filter (where ok) as clean,
-        {r('count(*) filter (where ok) / count(*)')} as clean_share from flags""",
+      select count(*) as total, count(*) filter (where blank) as all_null,
+        count(*) filter (where not blank and not ok) as not_positive,
+        count(*) filter (where not blank and ok and holes) as some_null, count(*) filter (where ok and not holes) as clean,
+        {r('count(*) filter (where ok and not holes) / count(*)')} as clean_share from flags""",
     "daily_slices": f"""with {_RAW_DAY} select cast(date as varchar) as date, count(*) as "rows",
-      {r('sum(tx_amount)')} as amount from raw group by date""",
+      {r('sum(tx_amount)')} as amount from raw where date is not null group by date""",
     "one_day_slice": f"with {_RAW_DAY} select {_TX_OUT} from raw where date = date '2024-01-15'",
     "available_days": "select distinct cast(cast(ts as date) as varchar) as date from events",
     "parsed_times": f"""select event_id, case when event_type <> 'error' then {stamp('ts')} end as tx_datetime
@@ -238,7 +246,7 @@ ORACLE = {
     "profile_daily": _profile_sql("raw", _RAW_DAY, "date")
     + f" select cast(date as varchar) as date, {_PROFILE_OUT} from prof",
     "profile_total": _profile_sql("tx", TX, "") + f" select {_PROFILE_OUT} from prof",
-    "profile_delta": _profile_sql("cleaned", CLEAN, "date", ["tx_amount", "tx_fraud"])
+    "profile_delta": _profile_sql("cleaned", CLEAN, "date")
     + ", melted as ("
     + " union all ".join(f"select date, \"column\", '{s}' as stat, \"{s}\" as value from prof" for s in _STATS)
     + f"""), lagged as (select *, lag(value) over (partition by "column", stat order by date) as previous from melted)
@@ -259,20 +267,14 @@ ORACLE = {
     "correlation_total": _correlation_sql(TX, "tx", "", 3),
     "reference_day_pairs": f"""with {CLEAN}, {CALENDAR} select cast(date as varchar) as date,
       cast(prev_date as varchar) as prev_date, cast(next_date as varchar) as next_date from cal""",
-    "data_summary": f"""with {CLEAN}, long as (
-        select date, 'terminal_id' as "column", cast(terminal_id as varchar) as value from cleaned
-        union all select date, 'tx_fraud', cast(tx_fraud as varchar) from cleaned
-        union all select date, 'tx_fraud_scenario', cast(tx_fraud_scenario as varchar) from cleaned
-        union all select date, 'tx_amount', cast(tx_amount as varchar) from cleaned),
+    "data_summary": f"""with {CLEAN}, long as ({_TEXTS}),
       counted as (select date, "column", value, count(*) as "count" from long group by all),
       ranked as (select *, row_number() over (partition by date, "column" order by "count" desc, value) as "rank"
                  from counted)
       select cast(date as varchar) as date, "column", value, "count", "rank" from ranked where "rank" <= 3""",
     "column_summary": f"""with {CLEAN}, {CALENDAR}, long as (
-        {unpivot_sql('cleaned', 'date', ['tx_amount', 'terminal_id', 'tx_fraud'])}),
-      txt as (select date, 'tx_amount' as "column", cast(tx_amount as varchar) as value from cleaned
-        union all select date, 'terminal_id', cast(terminal_id as varchar) from cleaned
-        union all select date, 'tx_fraud', cast(tx_fraud as varchar) from cleaned),
+        {unpivot_sql('cleaned', 'date')}),
+      txt as ({_TEXTS}),
       counted as (select date, "column", value, count(*) as n from txt group by all),
       ranked as (select *, row_number() over (partition by date, "column" order by n desc, value) as k from counted),
       s as (select l.date, l."column", count(*) as "rows", count(*) - count(v) as null_count, avg(v) as mean,
@@ -283,18 +285,16 @@ ORACLE = {
         b."rows"::double as ref_rows, {r('b.mean')} as ref_mean, a.top_value, b.top_value as ref_top_value, a.second_count::double as second_count
       from s a join cal on cal.date = a.date left join s b on b.date = cal.prev_date and a."column" = b."column"
       """,
-    "outlier_fences": f"""with {CLEAN}, long as ({unpivot_sql('cleaned', 'date', ['tx_amount', 'tx_time_seconds'])}),
+    "outlier_fences": f"""with {CLEAN}, long as ({unpivot_sql('cleaned', 'date')}),
       q as (select date, "column", quantile_disc(v, 0.25) as a, quantile_disc(v, 0.75) as b from long group by all)
       select cast(date as varchar) as date, "column", {r('a - 1.5::double * (b - a)')} as low,
         {r('b + 1.5::double * (b - a)')} as high from q""",
     "without_outliers": f"""with {CLEAN}, q as (select date,
-        quantile_disc(tx_amount, 0.25) as a, quantile_disc(tx_amount, 0.75) as b,
-        quantile_disc(tx_time_seconds, 0.25)::double as sa, quantile_disc(tx_time_seconds, 0.75)::double as sb
+        {", ".join(f"quantile_disc({c}, 0.25)::double as {c}_a, quantile_disc({c}, 0.75)::double as {c}_b" for c in FENCED)}
         from cleaned group by date)
       select transaction_id, cast(c.date as varchar) as date, {r('tx_amount')} as tx_amount
       from cleaned c join q on q.date = c.date
-      where tx_amount between a - 1.5::double * (b - a) and b + 1.5::double * (b - a)
-        and tx_time_seconds between sa - 1.5::double * (sb - sa) and sb + 1.5::double * (sb - sa)""",
+      where {" and ".join(f"{c} between {c}_a - 1.5::double * ({c}_b - {c}_a) and {c}_b + 1.5::double * ({c}_b - {c}_a)" for c in FENCED)}""",
     "pseudonymised_ids": f"""with {CLEAN} select transaction_id, sha256('s1-' || customer_id) as customer_id,
       sha256('s1-' || terminal_id) as terminal_id from cleaned""",
 }

@@ -58,8 +58,7 @@ def ttest_stat(spark, sf_dir):
 
 def mannwhitney_stat(spark, sf_dir):
     table = drift.rank_summary(_cells(spark, sf_dir))
-    p = drift.mann_whitney_p("u", "n1", "n2", "ties", "z")
-    return present(table.select("date", "feature", "n1", "n2", "u", "ties", "z", p.alias("u_p")))
+    return present(table.select("date", "feature", "n1", "n2", "u", "ties", "z", drift.mann_whitney_p().alias("u_p")))
 
 
 def ks_two_sample(spark, sf_dir):
@@ -79,7 +78,7 @@ def drift_verdict(spark, sf_dir):
 
 
 def drift_test_log(spark, sf_dir):
-    log = drift.test_log(_compare(spark, sf_dir)).filter("test <> 'chi_square'")
+    log = drift.test_log(_compare(spark, sf_dir))
     return present(log.withColumn("passed", F.col("passed").cast("string")), 4)
 
 
@@ -91,17 +90,19 @@ def average_ranks(spark, sf_dir):
     return present(ranks.average_ranks(_rows(spark, sf_dir), ["date"], "tx_amount"))
 
 
-def normality_shapiro(spark, sf_dir):
-    return present(drift.shapiro_wilk(_rows(spark, sf_dir), ["tx_amount", "tx_time_seconds"], "transaction_id"))
+def normality_k2(spark, sf_dir):
+    table = drift.omnibus(drift.day_moments(_rows(spark, sf_dir), FEATURES))
+    out = table.select("date", "feature", "n", "k2", "p_value", F.col("normal").cast("int").alias("normal"))
+    return present(out, doubles=("normal",))
 
 
 def changepoint_series(spark, sf_dir):
     """The slot means that the change-point search reads."""
-    return present(changepoint.slot_means(_rows(spark, sf_dir), ["tx_amount", "tx_fraud"], "tx_datetime", "date"))
+    return present(changepoint.slot_means(_rows(spark, sf_dir), FEATURES, "tx_datetime", "date"))
 
 
 def changepoints(spark, sf_dir):
-    return present(changepoint.change_points(_rows(spark, sf_dir), ["tx_amount", "tx_fraud", "tx_time_seconds"]))
+    return present(changepoint.change_points(_rows(spark, sf_dir), FEATURES))
 
 
 QUERIES = {
@@ -118,7 +119,7 @@ QUERIES = {
         drift_test_log,
         drifted_columns,
         average_ranks,
-        normality_shapiro,
+        normality_k2,
         changepoint_series,
         changepoints,
     ]
@@ -157,6 +158,16 @@ moments as (select l.date, l."column" as feature, count(v) as n, any_value(m) as
   from long l join centre c on l.date = c.date and l."column" = c."column" group by l.date, l."column"),
 jb as (select *, n / 6.0::double * (skew * skew + kurt * kurt / 4.0::double) as jb from moments),
 jbp as (select *, pow(2.718281828459045::double, -jb / 2) as p from jb)"""
+_K2 = """
+k2a as (select *, n::double as m, skew * sqrt((n + 1.0::double) * (n + 3) / (6 * (n - 2.0::double))) as y,
+  3 * (n * n + 27.0::double * n - 70) * (n + 1) * (n + 3) / ((n - 2) * (n + 5.0::double) * (n + 7) * (n + 9)) as beta,
+  (kurt + 3 - 3 * (n - 1.0::double) / (n + 1)) / sqrt(24.0::double * n * (n - 2) * (n - 3) / ((n + 1.0::double) * (n + 1) * (n + 3) * (n + 5))) as x,
+  6 * (n * n - 5.0::double * n + 2) / ((n + 7.0::double) * (n + 9)) * sqrt(6 * (n + 3.0::double) * (n + 5) / (n * (n - 2.0::double) * (n - 3))) as root
+  from moments where n >= 8),
+k2b as (select *, sqrt(2 * (beta - 1)) - 1 as w2, 6 + 8 / root * (2 / root + sqrt(1 + 4 / (root * root))) as a from k2a),
+k2c as (select *, 1 + x * sqrt(2 / (a - 4)) as under, asinh(y / sqrt(2 / (w2 - 1))) / sqrt(0.5::double * ln(w2)) as z1 from k2b),
+k2d as (select *, case when under <> 0 then (1 - 2 / (9 * a) - sign(under) * cbrt((1 - 2 / a) / abs(under))) / sqrt(2 / (9 * a)) end as z2 from k2c),
+k2s as (select t.date, t.feature, t.n, z1 * z1 + z2 * z2 as k2 from moments t left join k2d using (date, feature))"""
 _PAIRS = """
 pairs as (
   select c.date, "column" as feature, v as value, 1 as cur from long l join cal c on l.date = c.date where prev_date is not null
@@ -203,6 +214,12 @@ _LEV_P = f"case when levene is not null then {_t_p('sqrt(levene)', 'levene_df')}
 _T_P = f"case when t is not null then {_t_p('t', 't_df')} end"
 _CHI_P = f"""case when chi2_df <= 0 then 1.0::double when chi2_df = 1 then {_normal_p('sqrt(chi2)')}
   when chi2_df = 2 then pow(2.718281828459045::double, -chi2 / 2) end"""
+# Upper tail of chi-square for any whole number of degrees: sums of chi2 / 2 powers in logarithms.
+_CHI_ANY = f"""case when chi2_df <= 0 then 1.0::double when chi2 <= 0 then 1.0::double
+  when chi2_df % 2 = 0 then least(1.0::double, list_sum(list_transform(range(0, chi2_df // 2),
+    lambda j: exp(-chi2 / 2 + j * ln(chi2 / 2) - lgamma(j + 1)))))
+  else least(1.0::double, {_normal_p('sqrt(chi2)')} + coalesce(list_sum(list_transform(range(1, (chi2_df - 1) // 2 + 1),
+    lambda j: exp(-chi2 / 2 + (j - 0.5::double) * ln(chi2 / 2) - lgamma(j + 0.5::double)))), 0)) end"""
 _PSI = """
 edges as (select date, feature, j, max(case when b_ref <= (n2 * j + 9) // 10 - 1 and (n2 * j + 9) // 10 - 1 < b_ref + n_ref
     then value end) as edge from axis, (select unnest(range(1, 10)) as j) group by all),
@@ -214,7 +231,7 @@ shares as (select b.date, b.feature, greatest(c::double / n1, 0.0001::double) as
 psi as (select date, feature, sum((p - q) * ln(p / q)) as psi from shares group by all)"""
 _ALL = f"""{_BASE}, {_T}, {_CELLS}, {_LEVENE}, {_PSI},
 tests as (select m.date, m.feature, a.jb as jb_cur, a.p as jb_p_cur, b.jb as jb_ref, b.p as jb_p_ref, t, t_df, {_T_P} as t_p,
-    levene, levene_df, {_LEV_P} as levene_p, u, {_U_P} as u_p, ks, {_KS_P} as ks_p, chi2, chi2_df, psi
+    levene, levene_df, {_LEV_P} as levene_p, u, {_U_P} as u_p, ks, {_KS_P} as ks_p, chi2, chi2_df, {_CHI_ANY} as chi2_p, psi
   from mwz m join cal c on c.date = m.date
   join jbp a on a.date = m.date and a.feature = m.feature
   join jbp b on b.date = c.prev_date and b.feature = m.feature
@@ -228,6 +245,7 @@ _LOG = [
     ("student_t", "t", "t_p"),
     ("mann_whitney", "u", "u_p"),
     ("kolmogorov_smirnov", "ks", "ks_p"),
+    ("chi_square", "chi2", "chi2_p"),
     ("stability_index", "psi", "null"),
 ]
 _NOTE = """case when jb_p_cur >= 0.05::double and jb_p_ref >= 0.05::double and levene_p < 0.05::double
@@ -237,6 +255,8 @@ _KEY = "cast(date as varchar) as date, feature"
 ORACLE = {
     "normality_jb": f"""with {CLEAN}, {_MOMENTS} select {_KEY}, n, {r('jb', 4)} as jb, {r('p', 4)} as p_value,
       (p >= 0.05::double)::int::double as normal from jbp""",
+    "normality_k2": f"""with {CLEAN}, {_MOMENTS}, {_K2} select {_KEY}, n, {r('k2')} as k2,
+      {r('exp(-k2 / 2)')} as p_value, (exp(-k2 / 2) >= 0.05::double)::int::double as normal from k2s""",
     "levene_stat": f"""with {_BASE}, {_LEVENE} select {_KEY}, {r('levene')} as levene, levene_df,
       {r(_LEV_P)} as levene_p from lev""",
     "ttest_stat": f"with {_BASE}, {_T} select {_KEY}, {r('t')} as t, t_df, {r(_T_P)} as t_p from tstat",
@@ -264,9 +284,8 @@ ORACLE = {
         {r('count(*) filter (where p < 0.05::double) / count(p)')} as share from p group by date""",
     "changepoint_series": f"""with {CLEAN}, s as (select date,
         (hour(tx_datetime) * 3600 + minute(tx_datetime) * 60 + second(tx_datetime)) * 1000 // 86400 as slot,
-        tx_amount, tx_fraud from cleaned),
-      l as (select date, slot, 'tx_amount' as feature, tx_amount as v from s
-        union all select date, slot, 'tx_fraud', tx_fraud from s)
+        {", ".join(NUMERIC_COLUMNS)} from cleaned),
+      l as ({" union all ".join(f"select date, slot, '{c}' as feature, {c} as v from s" for c in NUMERIC_COLUMNS)})
       select cast(date as varchar) as date, feature, slot, {r('avg(v)')} as value from l group by date, feature, slot""",
     "average_ranks": f"""with {CLEAN}, d as (select date, tx_amount, count(*) as n from cleaned group by all),
       s as (select *, coalesce(sum(n) over (partition by date order by tx_amount rows between unbounded preceding

@@ -10,12 +10,12 @@ from tallyglass.operators import cleaning, scaling, scoring, training
 from tallyglass.plans import modelling
 from tallyglass.registered import daily, quality, retrieval
 from tallyglass.registered.common import CALENDAR, CLEAN, PRED, TX, present, r
-from tallyglass.schema import MODEL_FEATURES, wide_transaction_schema
+from tallyglass.schema import MODEL_FEATURES, NUMERIC_COLUMNS, wide_transaction_schema
 from tallyglass.sources import featurestore, sinks, transactions
 from tallyglass.streaming import jobs
 from tallyglass.workspace import scratch_path
 
-SCALED = ["tx_amount", "tx_time_seconds", "terminal_id", "tx_time_days"]
+SCALED = NUMERIC_COLUMNS
 NTZ_SCHEMA = T.StructType(
     [
         T.StructField(f.name, T.TimestampNTZType() if f.name == "tx_datetime" else f.dataType, True)
@@ -41,13 +41,13 @@ def minmax_prev_day_uncleaned(spark, sf_dir):
 
 
 def robust_prev_day(spark, sf_dir):
-    table = scaling.scale_by_previous_day(cleaning.with_day(_clean(spark, sf_dir)), ["tx_amount"], method="robust")
-    return present(table.select("transaction_id", "date", "tx_amount_scaled"))
+    table = scaling.scale_by_previous_day(cleaning.with_day(_clean(spark, sf_dir)), SCALED, method="robust")
+    return present(table.select("transaction_id", "date", *[f"{c}_scaled" for c in SCALED]))
 
 
 def standard_scaled(spark, sf_dir):
-    table = scaling.scale_whole(_clean(spark, sf_dir), ["tx_amount", "tx_time_seconds"])
-    return present(table.select("transaction_id", "tx_amount_scaled", "tx_time_seconds_scaled"))
+    table = scaling.scale_whole(_clean(spark, sf_dir), SCALED)
+    return present(table.select("transaction_id", *[f"{c}_scaled" for c in SCALED]))
 
 
 def assembled_rows(spark, sf_dir):
@@ -111,7 +111,7 @@ def cv_leaderboard(spark, sf_dir):
 
 def search_trials(spark, sf_dir):
     train, test = modelling.prepare(_clean(spark, sf_dir))
-    table = training.search(train, test, MODEL_FEATURES, "transaction_id", "weight", training.draw_trials(4))
+    table = training.search(train, test, MODEL_FEATURES, "transaction_id", "weight", training.draw_trials())
     return table.withColumn("params", F.to_json("params"))
 
 
@@ -129,7 +129,7 @@ def stream_clean(spark, sf_dir):
 
 def stream_daily_profile(spark, sf_dir):
     rows = adapters.transactions_from_events(_event_stream(spark, sf_dir))
-    stream = jobs.daily_profile(rows, ["tx_amount", "tx_fraud", "tx_time_seconds"])
+    stream = jobs.daily_profile(rows, NUMERIC_COLUMNS)
     table = jobs.run_to_table(stream, scratch_path(spark, "stream-profile"), scratch_path(spark, "stream-profile-state"))
     return present(table.drop("approx_distinct"))
 
@@ -184,7 +184,7 @@ def _minmax_sql(current: str) -> str:
         for c in SCALED
     )
     return f"""with {CLEAN}, {CALENDAR}, stats as (select date, {stats} from cleaned group by date),
-      raw as (select *, cast(tx_datetime as date) as date from tx where tx_amount is not null)
+      raw as (select *, cast(tx_datetime as date) as date from tx where {' and '.join(f'{c} is not null' for c in SCALED)})
       select transaction_id, cast(t.date as varchar) as date, {out} from {current} t
       join cal on cal.date = t.date join stats on stats.date = cal.prev_date"""
 
@@ -192,15 +192,15 @@ def _minmax_sql(current: str) -> str:
 ORACLE = {
     "minmax_prev_day": _minmax_sql("cleaned"),
     "minmax_prev_day_uncleaned": _minmax_sql("raw"),
-    "robust_prev_day": f"""with {CLEAN}, {CALENDAR}, stats as (select date, quantile_disc(tx_amount, 0.5) as m,
-        quantile_disc(tx_amount, 0.75) - quantile_disc(tx_amount, 0.25) as w from cleaned group by date)
-      select transaction_id, cast(t.date as varchar) as date, {r('(tx_amount - m) / w')} as tx_amount_scaled
+    "robust_prev_day": f"""with {CLEAN}, {CALENDAR}, stats as (select date, {", ".join(f"quantile_disc({c}, 0.5)::double as {c}_m, (quantile_disc({c}, 0.75) - quantile_disc({c}, 0.25))::double as {c}_w" for c in SCALED)}
+        from cleaned group by date)
+      select transaction_id, cast(t.date as varchar) as date,
+        {", ".join(f"{r(f'case when {c}_w > 0 then ({c} - {c}_m) / {c}_w else 0 end')} as {c}_scaled" for c in SCALED)}
       from cleaned t join cal on cal.date = t.date join stats on stats.date = cal.prev_date""",
-    "standard_scaled": f"""with {CLEAN}, s as (select avg(tx_amount) as m, stddev_samp(tx_amount) as d,
-        avg(tx_time_seconds) as tm, stddev_samp(tx_time_seconds) as td from cleaned)
-      select transaction_id, {r('(tx_amount - m) / d')} as tx_amount_scaled,
-        {r('(tx_time_seconds - tm) / td')} as tx_time_seconds_scaled from cleaned, s""",
-    "assembled_rows": f"with {TX} select transaction_id, {r('tx_amount')} as tx_amount, terminal_id from tx where tx_amount is not null",
+    "standard_scaled": f"""with {CLEAN}, s as (select {", ".join(f"avg({c}) as {c}_m, stddev_samp({c}) as {c}_d" for c in SCALED)} from cleaned)
+      select transaction_id, {", ".join(f"{r(f'({c} - {c}_m) / {c}_d')} as {c}_scaled" for c in SCALED)} from cleaned, s""",
+    "assembled_rows": f"with {TX} select transaction_id, {r('tx_amount')} as tx_amount, terminal_id from tx "
+    "where tx_amount is not null and terminal_id is not null",
     "text_roundtrip_clean": daily.ORACLE["clean_transactions"],
     "daily_table_roundtrip": f"""with {CLEAN} select cast(date as varchar) as date, count(*) as "rows" from cleaned group by date""",
     "run_log": f"""with {PRED}, {quality._area('preds', 'model', 'weight')}
@@ -210,9 +210,7 @@ ORACLE = {
     "materialized_latest": retrieval.ORACLE["latest_features"],
     "stream_clean": daily.ORACLE["clean_transactions"],
     "stream_daily_profile": f"""with {TX}, long as (
-        select tx_datetime, 'tx_amount' as feature, tx_amount as v from tx
-        union all select tx_datetime, 'tx_fraud', tx_fraud from tx
-        union all select tx_datetime, 'tx_time_seconds', tx_time_seconds from tx)
+        {" union all ".join(f"select tx_datetime, '{c}' as feature, {c} as v from tx" for c in NUMERIC_COLUMNS)})
       select cast(cast(tx_datetime as date) as varchar) as date, feature, count(v) as "rows", {r('avg(v)')} as mean,
         {r('stddev_pop(v)')} as std, {r('min(v)')} as "min", {r('max(v)')} as "max"
       from long where v is not null

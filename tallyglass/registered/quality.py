@@ -192,10 +192,11 @@ def _trials(spark, sf_dir):
     events = adapters.read_table(spark, sf_dir, "events")
     owner = events.select(F.col("event_id").alias("key"), F.col("user_id").alias("trial_id"))
     preds = _preds(spark, sf_dir).filter("model = 'candidate'").join(owner, "key")
-    table = scoring.confusion(preds, ["trial_id"])
+    area = scoring.area_under_roc(preds, ["trial_id"])
+    table = scoring.confusion(preds, ["trial_id"]).join(area, "trial_id")
     trials = table.select(
         "trial_id",
-        scoring.accuracy().alias("auc"),
+        "auc",
         scoring.precision().alias("precision"),
         scoring.recall().alias("recall"),
     )
@@ -203,7 +204,7 @@ def _trials(spark, sf_dir):
 
 
 def trial_leaderboard(spark, sf_dir):
-    return present(registry.leaderboard(_trials(spark, sf_dir), 20))
+    return present(registry.leaderboard(_trials(spark, sf_dir)))
 
 
 def best_trial(spark, sf_dir):
@@ -320,10 +321,10 @@ changes as (select user_id as model, event_id as version,
   case when value > 20 then 'alias' else 'tag' end as source, ts from events)"""
 _TRIALS = f"""{PRED}, owned as (select p.*, e.user_id as trial_id from preds p join events e on e.event_id = p.key
     where model = 'candidate'),
-  counts as ({_counts('owned', 'trial_id')}),
-  trials as (select trial_id, {_ACC} as auc, {_PREC} as precision, {_REC} as recall from counts),
-  scored as (select *, 1 - (0.7::double * auc + case when recall > 0.8::double then 0.3::double * precision
-    else 0 end) as loss from trials)"""
+  {_area('owned', 'trial_id')},
+  trials as (select trial_id, auc, {_PREC} as precision, {_REC} as recall from area),
+  scored as (select *, coalesce(1 - (0.7::double * auc + case when recall > 0.8::double then 0.3::double * precision
+    else 0 end), 1.0::double) as loss from trials)"""
 _TRIAL_OUT = ", ".join(["trial_id", *[f"{r(c)} as {c}" for c in ("auc", "precision", "recall", "loss")]])
 _CHAMPION = """
 champ as (select model, source, arg_max(version, ts) as version from changes where alias = 'champion' group by all),
@@ -340,7 +341,7 @@ ORACLE = {
         case when cleaned.tx_fraud = 1 then 10.0::double else 1.0::double end as class_weight
       from cleaned join w using (tx_fraud)""",
     "hash_split": f"""with {CLEAN} select transaction_id,
-      case when {HASH32.format('cast(transaction_id as varchar)')} % 10 < 8 then 'train' else 'test' end as part from cleaned""",
+      case when {HASH32.format('cast(transaction_id as varchar)')} < round(0.8::double * 4294967296) then 'train' else 'test' end as part from cleaned""",
     "hash_sample": f"""with {CLEAN} select transaction_id, {r('tx_amount')} as tx_amount from cleaned
       order by {HASH32.format('cast(transaction_id as varchar)')}, transaction_id limit 1000""",
     "hash_sample_by_day": f"""with {CLEAN} select cast(date as varchar) as date, transaction_id from cleaned
@@ -391,7 +392,7 @@ ORACLE = {
     "champion_history": f"""with {_VERSIONS}, b as (select *, max(auc) over (partition by model order by version
         rows between unbounded preceding and 1 preceding) as best from versions)
       select model, version, run_id, cast(ts as varchar) as ts, {r('auc')} as auc, {r('best')} as best_before,
-        case when auc is not null and (best is null or auc > best) then 'champion' else 'challenger' end as alias,
+        case when version = 1 or auc > coalesce(best, '-infinity'::double) then 'champion' else 'challenger' end as alias,
         case when auc > best then {r('(auc - best) / best * 100.0::double')} end as improvement from b""",
     "quality_alert": f"""with {_VERSIONS}, p as (select *, lag(auc) over (partition by model order by version) as previous
         from versions),
@@ -407,6 +408,7 @@ ORACLE = {
       select 'run-' || version as run_id, c.model, c.version, c.source, {r('value / 500.0::double')} as auc,
         {r('value / 600.0::double')} as accuracy, {r('value / 700.0::double')} as f1
       from chosen c join events e on e.event_id = c.version""",
-    "trial_leaderboard": f"with {_TRIALS} select {_TRIAL_OUT} from scored order by scored.auc desc, trial_id limit 20",
+    "trial_leaderboard": f"""with {_TRIALS} select {_TRIAL_OUT},
+      row_number() over (order by scored.auc desc nulls last, trial_id) as rank from scored""",
     "best_trial": f"with {_TRIALS} select {_TRIAL_OUT} from scored order by scored.loss, trial_id limit 1",
 }

@@ -11,11 +11,6 @@ def file_stem(path: Column) -> Column:
     return F.regexp_extract(path, r"([^/]+?)(\.[^./]+)?$", 1)
 
 
-def output_name(day: Column) -> Column:
-    """Compact day text used in output folder names."""
-    return F.date_format(day, "yyyyMMdd")
-
-
 def after_high_water_mark(inputs: DataFrame, processed: DataFrame, key: str = "key") -> DataFrame:
     """Inputs later than the last processed key; all of them when nothing is processed."""
     mark = processed.agg(F.max(key)).scalar()

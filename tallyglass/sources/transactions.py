@@ -16,6 +16,7 @@ from tallyglass.sources.backlog import file_stem
 
 CORRUPT = "_corrupt_record"
 FILE_KEY = "file_key"
+LOG_FOLDER = "_processed"
 
 
 class LoadingMethod(Enum):
@@ -62,15 +63,19 @@ def list_files(spark: SparkSession, path: str) -> DataFrame:
 
 
 def processed_keys(spark: SparkSession, output: str) -> DataFrame:
-    """Keys that have an output folder (names only, no file is opened); none when there is no output yet."""
+    """Keys in the output's log of finished files; none when there is no output yet."""
     try:
-        files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(output)
+        return spark.read.schema("key string").parquet(f"{output.rstrip('/')}/{LOG_FOLDER}").distinct()
     except AnalysisException as error:
         if error.getCondition() != "PATH_NOT_FOUND":
             raise
         return spark.createDataFrame([], "key string")
-    key = F.url_decode(F.regexp_extract("path", rf"/{FILE_KEY}=([^/]+)/", 1))
-    return files.select(key.alias("key")).filter("key <> ''").distinct()
+
+
+def mark_processed(spark: SparkSession, output: str, key: str) -> None:
+    """Log a finished file, also one of which no row was kept. Readers of the output skip the log's folder."""
+    row = spark.range(1).select(F.lit(key).alias("key")).coalesce(1)
+    row.write.mode("append").parquet(f"{output.rstrip('/')}/{LOG_FOLDER}")
 
 
 def read_parquet(spark: SparkSession, path: str) -> DataFrame:
@@ -87,13 +92,15 @@ def parse_time(df: DataFrame, column: str = TIME_COLUMN) -> DataFrame:
 
 
 def to_pandas(df: DataFrame, limit: int, time_column: str = TIME_COLUMN) -> pd.DataFrame:
-    """At most ``limit`` rows as pandas, for inspection. There is no unbounded form."""
+    """All rows as pandas, for inspection; an error if there are more than ``limit``. There is no unbounded form."""
     if limit <= 0:
         raise ValueError("limit must be positive")
-    bounded = df.limit(limit)
+    bounded = df.limit(limit + 1)
     if time_column in df.columns:
         bounded = bounded.withColumn(time_column, F.col(time_column).cast("string"))
     frame = bounded.toPandas()
+    if len(frame) > limit:
+        raise ValueError(f"more than {limit} rows")
     if time_column in frame:
         frame[time_column] = pd.to_datetime(frame[time_column], errors="coerce", format="ISO8601")
     return frame
