@@ -62,7 +62,7 @@ def omnibus(table: DataFrame) -> DataFrame:
 
     Null for fewer than 8 values or a constant column.
     """
-    n = F.col("n").cast("double")
+    n = F.when(F.col("n") >= OMNIBUS_ROWS, F.col("n").cast("double"))
     y = F.col("skew") * F.sqrt((n + 1) * (n + 3) / (6 * (n - 2)))
     beta = 3 * (n * n + 27 * n - 70) * (n + 1) * (n + 3) / ((n - 2) * (n + 5) * (n + 7) * (n + 9))
     w2 = F.sqrt(2 * (beta - 1)) - 1
@@ -73,8 +73,9 @@ def omnibus(table: DataFrame) -> DataFrame:
     root = 6 * (n * n - 5 * n + 2) / ((n + 7) * (n + 9)) * F.sqrt(6 * (n + 3) * (n + 5) / (n * (n - 2) * (n - 3)))
     a = 6 + 8 / root * (2 / root + F.sqrt(1 + 4 / (root * root)))
     under = 1 + x * F.sqrt(2 / (a - 4))
-    z2 = (1 - 2 / (9 * a) - F.signum(under) * F.cbrt((1 - 2 / a) / F.abs(under))) / F.sqrt(2 / (9 * a))
-    k2 = F.when((n >= OMNIBUS_ROWS) & F.col("skew").isNotNull() & (under != 0), z1 * z1 + z2 * z2)
+    size = F.when(under != 0, F.abs(under))
+    z2 = (1 - 2 / (9 * a) - F.signum(under) * F.cbrt((1 - 2 / a) / size)) / F.sqrt(2 / (9 * a))
+    k2 = z1 * z1 + z2 * z2
     return table.withColumn("k2", k2).withColumn("p_value", F.exp(-F.col("k2") / F.lit(2.0))).withColumn(
         "normal", F.col("p_value") >= ALPHA
     )

@@ -159,7 +159,7 @@ def search(
             row = evaluate_model(model, test, "trial", key, weight, label).first()
             return number, text, row["auc"], row["precision"], row["recall"], row["f1"], "ok"
         except Exception as error:  # noqa: BLE001 - one bad trial must not end the search
-            return number, text, None, None, None, None, f"failed: {type(error).__name__}"
+            return number, text, None, None, None, None, f"failed: {type(error).__name__}: {str(error)[:500]}"
 
     with ThreadPoolExecutor(max_workers=parallelism) as pool:
         rows = list(pool.map(run, enumerate(points)))
@@ -178,6 +178,8 @@ def typed_params(text: dict[str, str]) -> dict:
 def refit_best(
     train: DataFrame, trials: DataFrame, features: list[str], weight: str | None = None, label: str = LABEL
 ) -> tuple[PipelineModel, dict]:
-    """Fit the best trial's parameters on all training rows."""
+    """Fit the best trial's parameters on all training rows. An error if no trial succeeded."""
+    if trials.filter("status = 'ok'").isEmpty():
+        raise ValueError("no trial succeeded: " + str([r.status for r in trials.select("status").limit(3).collect()]))
     params = typed_params(registry.best_trial(trials).first()["params"])
     return build_pipeline(features, "rf", weight, label, **params).fit(train), params

@@ -35,8 +35,20 @@ def scratch_root(spark: SparkSession) -> str:
     return _local_roots[context.applicationId]
 
 
+def _application_folder(spark: SparkSession) -> str:
+    return f"{scratch_root(spark)}/tallyglass-{spark.sparkContext.applicationId}"
+
+
 def scratch_path(spark: SparkSession, label: str) -> str:
-    return f"{scratch_root(spark)}/{label}-{uuid.uuid4().hex}"
+    """A new path in the application's own part of the shared folder."""
+    return f"{_application_folder(spark)}/{label}-{uuid.uuid4().hex}"
+
+
+def clear_scratch(spark: SparkSession) -> None:
+    """Delete what this application has stored. Call it when no DataFrame that reads it is needed any more."""
+    context = spark.sparkContext
+    path = context._jvm.org.apache.hadoop.fs.Path(_application_folder(spark))
+    path.getFileSystem(context._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def materialize(df: DataFrame, label: str) -> DataFrame:

@@ -138,3 +138,14 @@ def test_next_file_job(spark, tmp_path):
     (raw / "2023-12-31.txt").write_text("8,2023-12-31 10:00:00,5,7,1.5,0,0,0,0\n")
     assert daily.clean_next(spark, str(raw), out) is None  # behind the mark
     assert daily.clean_next(spark, str(raw), out, backfill=True) == "2023-12-31"
+
+
+@pytest.mark.parametrize("backfill", [False, True])
+def test_a_rejected_file_does_not_stall_the_job(spark, tmp_path, backfill):
+    raw, out = tmp_path / "raw", str(tmp_path / "out")
+    raw.mkdir()
+    (raw / "2024-01-01.txt").write_text("1,2024-01-01 10:00:00,5,7,-1.5,0,0,0,0\n")
+    (raw / "2024-01-02.txt").write_text("2,2024-01-02 10:00:00,5,7,1.5,0,0,0,0\n")
+    done = [daily.clean_next(spark, str(raw), out, backfill=backfill) for _ in range(3)]
+    assert done == ["2024-01-01", "2024-01-02", None]
+    assert [r.transaction_id for r in spark.read.parquet(out).collect()] == [2]

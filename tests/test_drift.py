@@ -56,9 +56,10 @@ def test_equal_days_do_not_drift(spark):
     assert row.ks == 0.0 and row.ks_p == 1.0 and row.psi == pytest.approx(0.0, abs=1e-12) and row.u_p == pytest.approx(1.0, abs=0.01)
 
 
-def test_small_samples_use_the_exact_rank_distribution(spark):
-    row = _row(spark, [20, 11, 17, 12], [19, 22, 16, 29, 24])
+def test_exact_rank_distribution_by_request(spark):
+    row = _row(spark, [20, 11, 17, 12], [19, 22, 16, 29, 24], rank_method="exact")
     assert row.u == 17.0 and row.u_p == pytest.approx(1 / 9)
+    assert _row(spark, [20, 11, 17, 12], [19, 22, 16, 29, 24]).u_p == pytest.approx(math.erfc(6.5 / math.sqrt(20 / 12 * 10) / math.sqrt(2)))
 
 
 def test_large_samples_use_the_normal_tail(spark):
@@ -112,12 +113,33 @@ def test_pairs_use_available_days(spark):
     assert {(c.date.day, c.value, c.n_cur, c.n_ref) for c in cells} == {(2, 1.0, 0, 1), (2, 2.0, 0, 1), (2, 3.0, 1, 0), (9, 3.0, 0, 1), (9, 4.0, 1, 0)}
 
 
-def test_royston_published_sample():
-    w, p = drift.royston(np.array([148, 154, 158, 160, 161, 162, 166, 170, 182, 195, 236]))
-    assert w == pytest.approx(0.78881, abs=1e-4) and p == pytest.approx(0.00670, abs=1e-4)
-    assert drift.royston(np.array([1.0, 1.0, 1.0])) == (None, None)
+def test_omnibus_normality(spark):
+    """Values of the published tests for skewness and kurtosis on one series, and the undefined cases."""
     rng = np.random.default_rng(2)
-    assert drift.royston(rng.normal(size=500))[1] > 0.05 and drift.royston(rng.exponential(size=500))[1] < 1e-6
+    series = {1: rng.normal(size=500), 2: rng.exponential(size=500), 3: [5.0] * 20, 4: [1.0, 2.0, 4.0], 5: list(range(20))}
+    rows = [(dt.date(2024, 1, d), float(v)) for d, values in series.items() for v in values]
+    table = drift.omnibus(drift.day_moments(spark.createDataFrame(rows, "date date, x double"), ["x"]))
+    got = {r.date.day: r for r in table.collect()}
+    assert got[1].p_value > 0.05 and got[2].p_value < 1e-6 and got[3].k2 is None and got[4].k2 is None
+    assert got[5].k2 == pytest.approx(1.7058104152122062**2) and got[5].p_value == pytest.approx(math.exp(-got[5].k2 / 2))
+
+
+def test_one_sided_columns_are_rows(spark):
+    rows = [(D1, 1.0, None), (D1, 2.0, None), (D2, 1.5, 3.0), (D2, 2.5, 4.0)]
+    compared = drift.compare_days(spark.createDataFrame(rows, "date date, a double, b double"), ["a", "b"])
+    got = {r.feature: r for r in compared.collect()}
+    assert got.keys() == {"a", "b"} and (got["b"].verdict, got["b"].note) == ("undecided", "one_sided")
+    assert got["b"].u_p is None and got["b"].chi2_p is None and (got["b"].n1, got["b"].n2) == (2, 0)
+    summary = drift.drifted_columns(compared).first()
+    assert summary.compared == 2 and summary.drifted >= 1
+    assert drift.test_log(compared).filter("feature = 'b'").count() == len(drift.TESTS) + 1
+
+
+def test_day_column_of_any_name(spark):
+    rows = [(D1, dt.datetime(2024, 1, 1, h), float(h > 11)) for h in range(24)]
+    df = spark.createDataFrame(rows, "d date, tx_datetime timestamp, x double")
+    found = changepoint.change_points(df, ["x"], cost="l2", penalty=0.5, day="d", jump=1).collect()
+    assert [(r.d, r.position) for r in found] == [(D1, 12)]
 
 
 @pytest.mark.parametrize("cost", changepoint.COSTS)

@@ -56,7 +56,7 @@ def test_search_keeps_failed_trials(rows):
     table = training.search(train, test, ["tx_amount"], "transaction_id", "weight", SMALL).cache()
     status = {r.trial_id: (r.status, r.loss) for r in table.collect()}
     assert status[1][0].startswith("failed") and status[1][1] == 1.0 and status[0][0] == "ok"
-    assert [r.trial_id for r in registry.leaderboard(table).collect()] == sorted([0, 2], key=lambda i: -table.filter(f"trial_id = {i}").first().auc)
+    assert [r.trial_id for r in registry.leaderboard(table).collect()] == sorted([0, 2], key=lambda i: -table.filter(f"trial_id = {i}").first().auc) + [1]
     model, params = training.refit_best(train, table, ["tx_amount"], "weight")
     assert params in (SMALL[0], SMALL[2]) and model.stages[-1].getNumTrees == params["numTrees"]
 
@@ -97,6 +97,10 @@ def test_promotion_and_alerts(spark):
     history = registry.promotion_history(table).orderBy("version").collect()
     assert [r.alias for r in history] == ["champion", "champion", "challenger", "challenger", "challenger", "champion"]
     assert history[1].improvement == pytest.approx(100 * 0.05 / 0.70)
+    odd = [None, float("nan"), 0.6, float("nan"), 0.6]
+    table2 = spark.createDataFrame([("m", i + 1, a) for i, a in enumerate(odd)], "model string, version int, auc double")
+    history = registry.promotion_history(table2).orderBy("version").collect()
+    assert [r.alias for r in history] == ["champion", "challenger", "champion", "challenger", "challenger"]
     alerts = registry.quality_alerts(table).orderBy("version").collect()
     assert [(r.alert, r.roll_back_to) for r in alerts] == [(0, None)] * 3 + [(1, 3)] + [(0, None)] * 2
 
@@ -165,7 +169,9 @@ def test_day_overwrite_leaves_other_days(spark, tmp_path):
 
 
 def test_pandas_both_ways(spark, rows):
-    frame = transactions.to_pandas(rows, 5)
+    frame = transactions.to_pandas(rows.limit(5), 5)
+    with pytest.raises(ValueError, match="more than 5"):
+        transactions.to_pandas(rows, 5)
     assert len(frame) == 5 and str(frame["tx_datetime"].dtype).startswith("datetime64")
     assert transactions.from_pandas(spark, frame).count() == 5
     with pytest.raises(ValueError):
@@ -197,5 +203,5 @@ def test_scratch_and_checked_broadcast(spark):
 
 def test_missing_value_report(spark, sf_dir):
     raw = adapters.transactions(spark, sf_dir)
-    assert [r.column for r in modelling.missing_values(raw).collect()] == ["tx_amount"]
+    assert {r.column for r in modelling.missing_values(raw).collect()} == set(raw.columns)
     assert scoring.EXPECTED_FRAUD_SHARE == 0.02

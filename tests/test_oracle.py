@@ -20,8 +20,6 @@ def test_every_oracle_has_a_query():
 
 @pytest.mark.parametrize("name", list(QUERIES))
 def test_query_equals_sql(spark, con, sf_dir, name):
-    if name == "search_trials":
-        pytest.skip("covered with small forests in test_training")
     problem, _, _ = compare(spark, con, name, QUERIES[name], ORACLE.get(name), sf_dir)
     assert problem is None, problem
 

@@ -58,6 +58,9 @@ def test_splits_and_samples(spark):
     rows = spark.range(1000).withColumn("g", F.col("id") % 2)
     train, test = sampling.hash_split(rows, "id")
     assert train.count() + test.count() == 1000 and 700 < train.count() < 900
+    many = spark.range(20_000)
+    for share in (0.95, 0.75, 0.04):
+        assert abs(sampling.hash_split(many, "id", share)[0].count() / 20_000 - share) < 0.01
     again = sampling.hash_split(rows.repartition(7), "id")[0]
     assert train.exceptAll(again).count() == 0
     assert sampling.hash_sample(rows, "id", 10).count() == 10 and sampling.hash_sample(rows, "id", 5000).count() == 1000
