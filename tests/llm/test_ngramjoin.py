@@ -131,3 +131,25 @@ def test_star_components(spark):
     alone = {a for a, b in edges if a == b} - {v for a, b in edges if a != b for v in (a, b)}
     assert got == {v: root(v) for v in up if v not in alone}
     assert star_components(spark.createDataFrame([], "a bigint, b bigint")).count() == 0
+
+
+def test_long_texts_are_hashed_in_pieces(monkeypatch):
+    rng = random.Random(3)
+    text = prose(rng, 3000)
+    whole = ngramjoin.shingle_sets([text, "a b c"])
+    monkeypatch.setattr(ngramjoin, "SLICE", 500)
+    pieces = ngramjoin.shingle_sets([text, "a b c"])
+    assert all((a == b).all() for a, b in zip(whole, pieces))
+    assert (ngramjoin.shingle_sets(["x" * 5000])[0] == ngramjoin.shingle_sets([" " + "x" * 5000 + " "])[0]).all()
+
+
+def test_linked_sets_share_what_the_prefix_rule_says():
+    rng = np.random.default_rng(4)
+    for _ in range(300):
+        n = int(rng.integers(1, 80))
+        x = np.unique(rng.integers(0, 1 << 40, n).astype(np.uint64))
+        drop, add = rng.integers(0, len(x) // 4 + 1), rng.integers(0, len(x) // 4 + 1)
+        y = np.unique(np.concatenate([x[rng.permutation(len(x))[drop:]], rng.integers(0, 1 << 40, add).astype(np.uint64)]))
+        if ngramjoin.linked(x, y):
+            common = set(x[: ngramjoin.prefix_size(len(x))]) & set(y[: ngramjoin.prefix_size(len(y))])
+            assert len(common) >= max(ngramjoin.least_shared(len(x)), ngramjoin.least_shared(len(y)))
