@@ -165,6 +165,10 @@ def trusted_patterns(scanned: DataFrame, rounds: int = ROUNDS, confidence: float
     return patterns.filter(F.col("confidence") >= confidence)
 
 
+def _count_of(kind: int) -> Column:
+    return F.size(F.filter("base", lambda m: m["kind"] == kind))
+
+
 def _joined(spans: Column) -> Column:
     names = F.array(*[F.lit(k) for k in KINDS])
     ordered = F.array_sort(F.transform(spans, lambda m: F.struct(m["start"], m["kind"], m["end"])))
@@ -191,7 +195,7 @@ def find(docs: DataFrame) -> DataFrame:
     rows = scanned.join(
         loose, F.col("doc_id").eqNullSafe(F.col("_doc")) & (F.col("text_key") == F.col("_key")), "left"
     ).select("doc_id", base.alias("base"), "added")
-    counts = [F.size(F.filter("base", lambda m, k=k: m["kind"] == k)).cast("bigint").alias(f"n_{KINDS[k]}") for k in range(4)]
+    counts = [_count_of(k).cast("bigint").alias(f"n_{KINDS[k]}") for k in range(4)]
     return rows.select(
         "doc_id",
         *counts,
