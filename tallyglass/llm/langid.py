@@ -35,7 +35,7 @@ UNKNOWN = "und"
 # A text of at least LEAST_CHARS whose best language has shorter phrases than this is in no known language.
 LEAST_PHRASE = 2.2
 LEAST_CHARS = 40
-END = 1 << 30
+END = 1 << 28
 
 
 def held_out(doc_id: str = "doc_id"):
@@ -146,12 +146,16 @@ def suffix_automaton(symbols, classes: int):
 
 
 def phrase_steps(moves):
-    """One array that a parse steps through: the next state, plus ``END`` where a phrase ended before it."""
+    """One array that a parse steps through: the next state, and from bit 28 on how many phrases ended.
+
+    A symbol that the text does not have is a phrase of its own: it ends the phrase before it and itself.
+    """
     import numpy as np
 
-    root = np.where(moves[0] >= 0, moves[0], 0)
-    steps = np.where(moves >= 0, moves, root[None, :] | END)
-    steps[0] = root | np.where(moves[0] >= 0, 0, END)
+    known = moves[0] >= 0
+    fresh = np.where(known, moves[0] + END, 2 * END)
+    steps = np.where(moves >= 0, moves, fresh[None, :])
+    steps[0] = np.where(known, moves[0], END)
     return np.ascontiguousarray(steps.astype(np.int32))
 
 
@@ -184,10 +188,10 @@ def phrases(stretches, lengths, steps):
         if not m:
             break
         step = flat[state[:m] * classes + columns[t, :m]]
-        ends[:m] += step >> 30
+        ends[:m] += step >> 28
         state[:m] = step & (END - 1)
     out = np.empty(len(order), np.int64)
-    out[order] = ends + (lengths[order] > 0)
+    out[order] = ends + (state > 0)
     return out
 
 
