@@ -53,6 +53,16 @@ def repetition_rates(docs: DataFrame, weights: dict[str, float], column: str) ->
     return rates | {row[column]: (0.0 if weights[row[column]] <= 0 else 1.0) for row in sizes if row[column] not in size}
 
 
+def _sum_of_draws(steps: Column, parts: int, seed: int) -> Column:
+    """Sum of one inverted draw per part, each from its own digest."""
+
+    def add(total: Column, part: Column) -> Column:
+        u = uniform(F.lit(str(seed)), F.col("doc_id"), part)
+        return total + F.size(F.filter(steps, lambda t: t <= u))
+
+    return F.aggregate(F.sequence(F.lit(1), F.lit(parts)), F.lit(0), add)
+
+
 def copies(rates: dict[str, float], column: str, seed: int) -> Column:
     """Poisson count of a document. A rate above 64 is drawn as a sum of equal smaller parts."""
     out = F.lit(1)
@@ -62,13 +72,10 @@ def copies(rates: dict[str, float], column: str, seed: int) -> Column:
         else:
             parts = math.ceil(rate / PART_RATE)
             steps = F.array(*[F.lit(x) for x in poisson_steps(rate / parts)])
-            drawn = [
-                F.size(F.filter(steps, lambda t, i=i: t <= uniform(F.lit(str(seed)), F.col("doc_id"), F.lit(str(i)))))
-                if parts > 1
-                else F.size(F.filter(steps, lambda t: t <= F.col(DRAW)))
-                for i in range(parts)
-            ]
-            count = sum(drawn[1:], drawn[0])
+            if parts == 1:
+                count = F.size(F.filter(steps, lambda t: t <= F.col(DRAW)))
+            else:
+                count = _sum_of_draws(steps, parts, seed)
         out = F.when(F.col(column) == source, count).otherwise(out)
     return out.cast("int")
 
