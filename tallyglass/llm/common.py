@@ -33,7 +33,7 @@ def read_bytes(path: str, start: int = 0, length: int | None = None) -> bytes:
         return file.read_at(length, start)
 
 
-def slices(batch: pa.RecordBatch, sizes: list[int], most: int = SLICE_CHARS) -> Iterator[tuple[int, int]]:
+def slices(batch: pa.RecordBatch | None, sizes: list[int], most: int = SLICE_CHARS) -> Iterator[tuple[int, int]]:
     """Row ranges of a batch whose sizes add up to at most ``most``, or single rows."""
     first, held = 0, 0
     for i, size in enumerate(sizes):

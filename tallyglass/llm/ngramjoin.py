@@ -2,8 +2,10 @@
 
 Documents are sets of 5-word shingles; two link when 100 * intersection >= 75 * union. Documents with equal
 sets are one class, named by its least id. Classes that can link share a shingle among the rarest quarter of
-each set; a fixed array of counters, added up over all documents, orders shingles by rarity. Classes joined
-by such a shingle, directly or through others, form a pool, and every link lies within one pool. Members of
+each set; a fixed array of counters, added up over all documents, orders shingles by rarity. With prefixes
+longer by a tenth of the set, two sets that link share about a tenth of their size within their prefixes: a
+class that shares fewer with all others together is dropped, and again, as what is left shares less. Classes
+that still share a shingle, directly or through others, form a pool; every link lies within one. Members of
 pools that are too large for one task are pooled again with the exact frequency of every shingle among them;
 a class of which less than 75 % of the shingles occur in another class links with nothing and drops out.
 
@@ -23,12 +25,14 @@ null ids get null. An empty table gives no rows. Further columns stay in ``first
 
 from __future__ import annotations
 
+import re
 import zlib
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -37,19 +41,22 @@ from tallyglass.llm.components import star_components
 from tallyglass.workspace import checked_broadcast, materialize
 
 SHINGLE = 5
-COUNTER_BITS = 24
-COUNTER_CHUNK = 1 << 18
+COUNTER_BITS = 22
+COUNTER_CHUNK = 1 << 16
+EXTRA = 0.1
+PRUNING_ROUNDS = 2
 POOL_ROWS = 512
 FANOUT = 8
 SIGNATURE_BITS = 4096
 MAX_BROADCAST_KEYS = 400_000
-SLICE = 2_000_000
-SEEN_CLASSES = 1_000_000
+SLICE = 1_000_000
+SEEN_CLASSES = 200_000
 SLOTS = np.uint64((1 << COUNTER_BITS) - 1)
 
 _rng = np.random.default_rng(20240501)
 BYTE_CODES = _rng.integers(0, 1 << 63, 256, dtype=np.int64).astype(np.uint64) * np.uint64(2) + np.uint64(1)
 WORD_BASE = np.uint64(0x9E3779B97F4A7C15)
+NEXT_BLANK = re.compile(rb"[\x20\x09-\x0D]")
 BLANK = np.zeros(256, bool)
 BLANK[[9, 10, 11, 12, 13, 32]] = True
 LOWER = np.arange(256, dtype=np.uint8)
@@ -91,13 +98,32 @@ def word_hashes(data: bytes):
     return mixed(sums[ends] - sums[starts] + lengths.astype(np.uint64)), starts
 
 
-def shingle_sets(texts: list[str | None]) -> list:
-    """Ascending distinct shingle hashes of each text. All texts are hashed as one array."""
-    blobs = [(t or "").encode("utf-8", "replace") for t in texts]
+def _words(blobs: list[bytes]):
+    """Word hashes of texts, and the end of each text among them. A long text is hashed in pieces cut at blanks."""
+    if len(blobs) == 1 and len(blobs[0]) > 2 * SLICE:
+        blob, at, parts = blobs[0], 0, []
+        while at < len(blob):
+            cut = NEXT_BLANK.search(blob, at + SLICE)
+            end = cut.start() if cut else len(blob)
+            parts.append(word_hashes(blob[at:end])[0])
+            at = end
+        words = np.concatenate(parts)
+        return words, np.array([len(words)])
     words, starts = word_hashes(b"\n".join(blobs))
-    ends = np.cumsum([len(b) + 1 for b in blobs])
-    last = np.searchsorted(starts, ends)
-    first = np.concatenate(([0], last[:-1])) if len(last) else last
+    return words, np.searchsorted(starts, np.cumsum([len(b) + 1 for b in blobs]))
+
+
+def shingle_sets(texts: list[str | None]) -> list:
+    """Ascending distinct shingle hashes of each text, about a million bytes at a time."""
+    blobs, out = [(t or "").encode("utf-8", "replace") for t in texts], []
+    for a, b in slices(None, [len(x) for x in blobs], SLICE):
+        out += _shingle_sets(blobs[a:b])
+    return out
+
+
+def _shingle_sets(blobs: list[bytes]) -> list:
+    words, last = _words(blobs)
+    first = np.concatenate(([0], last[:-1]))
     runs = np.zeros(max(0, len(words) - SHINGLE + 1), np.uint64)
     for k in range(SHINGLE):
         runs = (runs + words[k : k + len(runs)]) * WORD_BASE
@@ -126,14 +152,26 @@ def digest(shingles) -> int:
 
 
 def prefix_size(n: int) -> int:
-    """A set of n shares one of so many with any set it links to: n - ceil(0.75 n) + 1."""
-    return n - (3 * n + 3) // 4 + 1
+    """Two sets that link share k in prefixes of n - ceil(0.75 n) + k; here k is a tenth of n, and one."""
+    return n - (3 * n + 3) // 4 + int(EXTRA * n) + 1
+
+
+def least_shared(n: int) -> int:
+    """What a set of n shares at least, within the prefixes, with any set it links to (of 0.75 n at least)."""
+    return int(EXTRA * ((3 * n + 3) // 4)) + 1
 
 
 def keyed(docs: DataFrame) -> DataFrame:
     return docs.select(F.col("doc_id").cast("bigint"), F.xxhash64("text").alias("text_key"), F.col("text").cast("string"))
 
 
+def text_slices(batch: pa.RecordBatch) -> Iterator[tuple[int, int, list]]:
+    """Row ranges of a batch with their texts, about a million bytes at a time."""
+    texts = batch.column("text")
+    for a, b in slices(batch, pc.fill_null(pc.binary_length(texts), 0).to_pylist(), SLICE):
+        yield a, b, texts.slice(a, b - a).to_pylist()
+
+
 def scan(docs: DataFrame) -> DataFrame:
     """A row per document (size and digest of its set), and per task the counters of all shingles in chunks."""
 
@@ -141,9 +179,8 @@ def scan(docs: DataFrame) -> DataFrame:
         counters = np.zeros(1 << COUNTER_BITS, np.uint32)
         names = ["doc_id", "text_key", "n_shingles", "c", "chunk", "counts"]
         for batch in batches:
-            texts = batch.column("text").to_pylist()
-            for a, b in slices(batch, [len(t or "") for t in texts], SLICE):
-                sets = shingle_sets(texts[a:b])
+            for a, b, texts in text_slices(batch):
+                sets = shingle_sets(texts)
                 slot, n = np.unique(np.concatenate(sets) & SLOTS, return_counts=True)
                 counters[slot.astype(np.int64)] += n.astype(np.uint32)
                 none = pa.nulls(b - a)
@@ -167,7 +204,7 @@ def scan(docs: DataFrame) -> DataFrame:
 
 
 def rarity_levels(scanned: DataFrame) -> bytes:
-    """One byte for each of 2^24 counters, compressed: the doublings of its count over twice the mean."""
+    """One byte for each of 2^22 counters, compressed: the doublings of its count over twice the mean."""
     mean = (scanned.agg(F.sum("n_shingles")).first()[0] or 0) / (1 << COUNTER_BITS)
 
     def add(batch: pd.DataFrame) -> pd.DataFrame:
@@ -185,21 +222,16 @@ def rarity_levels(scanned: DataFrame) -> bytes:
 
 
 def postings(docs: DataFrame, levels: bytes) -> DataFrame:
-    """(key, token, class) for the rarest quarter of every document's shingles.
-
-    ``key`` deals the rows out: it is the token, salted by the class for tokens of a high level, so that a
-    frequent one lies in as many groups as its level says. Only those rows carry ``token`` itself.
-    """
+    """(token, class, frequent, least) for the rarest shingles of every document; see ``least_shared``."""
     shared = docs.sparkSession.sparkContext.broadcast(levels)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         level = np.frombuffer(zlib.decompress(shared.value), np.uint8)
         seen: set[int] = set()
         for batch in batches:
-            texts = batch.column("text").to_pylist()
-            for a, b in slices(batch, [len(t or "") for t in texts], SLICE):
-                tokens, classes = [], []
-                for s in shingle_sets(texts[a:b]):
+            for a, b, texts in text_slices(batch):
+                tokens, classes, least = [], [], []
+                for s in shingle_sets(texts):
                     c = digest(s)
                     if not len(s) or c in seen:
                         continue
@@ -210,31 +242,35 @@ def postings(docs: DataFrame, levels: bytes) -> DataFrame:
                     some = s[order[: prefix_size(len(s))]]
                     tokens.append(some)
                     classes.append(np.full(len(some), c, np.int64))
-                if not tokens:
-                    continue
-                token, c = np.concatenate(tokens), np.concatenate(classes)
-                high = level[(token & SLOTS).astype(np.int64)].astype(np.uint64)
-                salt = mixed(c.view(np.uint64)) & ((np.uint64(1) << high) - np.uint64(1))
-                key = np.where(high > 0, mixed(token + salt * WORD_BASE), token)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(key.view(np.int64)), pa.array(token.view(np.int64), mask=high == 0), pa.array(c)], ["key", "token", "c"]
-                )
+                    least.append(np.full(len(some), least_shared(len(s)), np.int32))
+                if tokens:
+                    token = np.concatenate(tokens)
+                    frequent = level[(token & SLOTS).astype(np.int64)] > 0
+                    columns = [token.view(np.int64), np.concatenate(classes), frequent, np.concatenate(least)]
+                    yield pa.RecordBatch.from_arrays([pa.array(x) for x in columns], ["token", "c", "frequent", "least"])
 
-    return keyed(docs).select("text").mapInArrow(run, "key bigint, token bigint, c bigint")
+    return keyed(docs).select("text").mapInArrow(run, "token bigint, c bigint, frequent boolean, least int")
 
 
 def pools(posted: DataFrame) -> DataFrame:
-    """Pool of every class that shares a prefix token with another: ``c`` and ``root``."""
-    held = Window.partitionBy("key")
-    rows = posted.withColumns({"hub": F.min("c").over(held), "top": F.max("c").over(held)})
-    rows = rows.filter((F.col("hub") != F.col("top")) | F.col("token").isNotNull())
-    rows = materialize(rows.select("token", "c", "hub").distinct(), "ngram-edges")
-    salted = rows.filter("token is not null").select("token", "hub").distinct()
-    across = salted.withColumn("least", F.min("hub").over(Window.partitionBy("token")))
-    edges = rows.select(F.col("c").alias("a"), F.col("hub").alias("b")).unionByName(
-        across.select(F.col("hub").alias("a"), F.col("least").alias("b"))
-    )
-    return star_components(edges.filter("a <> b"), "ngram-pools").withColumnRenamed("vertex", "c")
+    """Pool (``root``) of every class ``c`` that may link with another.
+
+    The postings move once, by token. Only tokens of a low level are looked at whole there, and the counters
+    bound how many rows such a token has; rows of frequent tokens stay where they are. What is shared is small,
+    and is pruned by aggregates and joins.
+    """
+    held = Window.partitionBy("token")
+    rare = posted.filter(~F.col("frequent")).drop("frequent")
+    rare = rare.withColumns({"low": F.min("c").over(held), "top": F.max("c").over(held)}).filter("low <> top").drop("low", "top")
+    rows = materialize(rare.unionByName(posted.filter("frequent").drop("frequent").distinct()).distinct(), "ngram-postings")
+    for _ in range(PRUNING_ROUNDS):
+        several = rows.groupBy("token").agg(F.min("c").alias("low"), F.max("c").alias("top")).filter("low <> top").select("token")
+        rows = rows.join(several, "token")
+        able = rows.groupBy("c").agg(F.count(F.lit(1)).alias("n"), F.first("least").alias("m")).filter("n >= m").select("c")
+        rows = materialize(rows.join(able, "c"), "ngram-postings")
+    hubs = rows.groupBy("token").agg(F.min("c").alias("hub"))
+    edges = rows.join(hubs, "token").select(F.col("c").alias("a"), F.col("hub").alias("b")).filter("a <> b")
+    return star_components(edges, "ngram-pools").withColumnRenamed("vertex", "c")
 
 
 def pools_again(texts: DataFrame) -> DataFrame:
@@ -242,9 +278,9 @@ def pools_again(texts: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows, classes = batch.column("text").to_pylist(), batch.column("c").to_numpy(zero_copy_only=False)
-            for a, b in slices(batch, [len(t) for t in rows], SLICE):
-                sets = shingle_sets(rows[a:b])
+            classes = batch.column("c").to_numpy(zero_copy_only=False)
+            for a, b, part in text_slices(batch):
+                sets = shingle_sets(part)
                 sizes = np.array([len(s) for s in sets])
                 yield pa.RecordBatch.from_arrays(
                     [
