@@ -19,6 +19,7 @@ import zlib
 from collections.abc import Iterator
 
 import pyarrow as pa
+import pyarrow.compute as pc
 import public_tokenizers
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -155,7 +156,7 @@ def tokens(docs: DataFrame, tokenizer: str, end_id: int) -> DataFrame:
         units = units_of(BareUnits, tokenizer)
         for batch in batches:
             texts = batch.column("text")
-            for a, b in slices(batch, [len(t.as_py() or "") for t in texts]):
+            for a, b in slices(batch, pc.fill_null(pc.binary_length(texts), 0).to_pylist()):
                 out = []
                 for text in texts.slice(a, b - a):
                     ids = np.frombuffer(units.ids(text.as_py() or ""), "<u4")

@@ -48,7 +48,7 @@ class Memo(dict):
     def __init__(self, tokenizer, prefix: str, lower: bool = False):
         super().__init__()
         self.tokenizer, self.model, self.prefix, self.lower = tokenizer, tokenizer.model, prefix, lower
-        self.letters = byte_letters()
+        self.letters, self.tails = byte_letters(), {}
 
     def encode(self, text: str) -> bytes:
         return packed(self.tokenizer.encode(text, add_special_tokens=False).ids)
@@ -64,7 +64,12 @@ class Memo(dict):
     def __missing__(self, unit: str) -> bytes:
         word = unit.rstrip(PUNCTUATION)
         if len(word) < len(unit) and word.isalpha():
-            out = self[word] + self.encode(unit[len(word) :])
+            tail = unit[len(word) :]
+            if tail not in self.tails:
+                if len(self.tails) > 10_000:
+                    self.tails.clear()
+                self.tails[tail] = self.encode(tail)
+            out = self[word] + self.tails[tail]
         elif word.isalpha():
             out = self.word(word)
         else:
@@ -110,7 +115,10 @@ class BareUnits:
         self.memo = Memo(load_tokenizer(path), "", lower=True)
 
     def ids(self, text: str) -> bytes:
-        return b"".join(map(self.memo.__getitem__, text.replace("\n", " ").split(" ")))
+        text = text.replace("\n", " ")
+        if text.isascii() or max(text) <= "\xff":
+            text = text.lower()  # as the tokenizer does; one memo entry for all spellings
+        return b"".join(map(self.memo.__getitem__, text.split(" ")))
 
 
 _kept: dict[tuple[str, str], object] = {}
