@@ -255,14 +255,14 @@ def postings(docs: DataFrame, levels: bytes) -> DataFrame:
 def pools(posted: DataFrame) -> DataFrame:
     """Pool (``root``) of every class ``c`` that may link with another.
 
-    The postings move once, by token. Only tokens of a low level are looked at whole there, and the counters
-    bound how many rows such a token has; rows of frequent tokens stay where they are. What is shared is small,
-    and is pruned by aggregates and joins.
+    The postings move once: rare tokens by token, and the counters bound how many rows such a token has; rows
+    of frequent tokens by class, as they stay in any case. What is shared is small, and is pruned by aggregates
+    and joins.
     """
-    held = Window.partitionBy("token")
-    rare = posted.filter(~F.col("frequent")).drop("frequent")
-    rare = rare.withColumns({"low": F.min("c").over(held), "top": F.max("c").over(held)}).filter("low <> top").drop("low", "top")
-    rows = materialize(rare.unionByName(posted.filter("frequent").drop("frequent").distinct()).distinct(), "ngram-postings")
+    dealt = posted.withColumn("key", F.when(F.col("frequent"), F.xxhash64("c")).otherwise(F.col("token")))
+    held = Window.partitionBy("key")
+    rows = dealt.withColumns({"low": F.min("c").over(held), "top": F.max("c").over(held)})
+    rows = materialize(rows.filter("frequent or low <> top").select("token", "c", "least").distinct(), "ngram-postings")
     for _ in range(PRUNING_ROUNDS):
         several = rows.groupBy("token").agg(F.min("c").alias("low"), F.max("c").alias("top")).filter("low <> top").select("token")
         rows = rows.join(several, "token")
