@@ -3,9 +3,11 @@
 A line's tokens are its 5-word shingles (all its words, where there are fewer). A line goes if an earlier line
 (by document id, digest of the text, place) has the same words or token sets with Jaccard similarity of at
 least 0.75. Tokens are ordered by rarity: a fixed array of counters, added up over all lines, gives each token
-a level, and the hash decides within a level. Two similar lines share a token among the rarest quarter of
-each (prefix filter); the shared token's place and the sizes bound what they can have in common (positional
-and length filter); what is left is verified on whole sets.
+a level, and the hash decides within a level. Two similar lines share tokens among the rarest third of each
+(prefix filter): with prefixes longer by a tenth of the set, about a tenth of their tokens. A line that shares
+fewer with all others together is dropped, and again, as what is left shares less. The place of a shared token
+and the sizes bound what two lines can have in common (positional and length filter); what is left is verified
+on whole sets.
 
 Lines with equal words are one class, named by its earliest line, before anything is joined. In each group of
 classes that share a prefix token all others are first held against the earliest; a class that finds its
@@ -30,6 +32,8 @@ from tallyglass.workspace import checked_broadcast, materialize
 COUNTERS = 1 << 16
 LEVELS = 16
 LEVEL_SHIFT = 59
+EXTRA = 10
+PRUNING_ROUNDS = 2
 ODD_BLANKS = "\t\x0b\f\r"
 # One number or one place list each: 64 MB at most.
 MAX_BROADCAST_KEYS = 2_000_000
@@ -78,18 +82,35 @@ def with_tokens(lines: DataFrame, levels: list[int]) -> DataFrame:
     return rows.withColumn("tokens", F.sort_array(F.array_distinct(ordered))).drop("_s")
 
 
+def _least_overlap(n: Column) -> Column:
+    """ceil(0.75 n): what a set of n shares at least with a similar one."""
+    return F.floor((3 * n + 3) / 4).cast("int")
+
+
 def prefix(tokens: Column) -> Column:
-    """The tokens among which a similar set must share one: n - ceil(0.75 n) + 1 of them."""
+    """The rarest n - ceil(0.75 n) + k tokens, with k a tenth of n, and one: two similar sets share k of them."""
     n = F.size(tokens)
-    return F.slice(tokens, F.lit(1), n - F.floor((3 * n + 3) / 4).cast("int") + 1)
+    return F.slice(tokens, F.lit(1), n - _least_overlap(n) + F.floor(n / EXTRA).cast("int") + 1)
+
+
+def least_shared(n: Column) -> Column:
+    """What a set of n shares at least, within the prefixes, with any similar set (of 0.75 n at least)."""
+    return F.floor(_least_overlap(n) / EXTRA).cast("int") + 1
 
 
 def shared_tokens(lines: DataFrame, levels: list[int]) -> DataFrame:
-    """(token, class) of prefix tokens that more than one class has; the postings move once."""
-    rows = with_tokens(lines, levels).select(F.explode(prefix(F.col("tokens"))).alias("token"), "c")
+    """(token, class) of prefix tokens that classes share which share enough; the postings move once."""
+    sets = with_tokens(lines, levels).select("c", "tokens", least_shared(F.size("tokens")).cast("smallint").alias("least"))
+    rows = sets.select("c", "least", F.explode(prefix(F.col("tokens"))).alias("token"))
     dealt = rows.repartition("token")
     several = dealt.groupBy("token").agg(F.min("c").alias("low"), F.max("c").alias("high")).filter("low <> high").select("token")
-    return dealt.join(several.hint("shuffle_hash"), "token").distinct()
+    rows = materialize(dealt.join(several.hint("shuffle_hash"), "token").distinct(), "line-postings")
+    for _ in range(PRUNING_ROUNDS):
+        able = rows.groupBy("c").agg(F.count(F.lit(1)).alias("n"), F.max("least").alias("m")).filter("n >= m").select("c")
+        rows = rows.join(able, "c")
+        several = rows.groupBy("token").agg(F.min("c").alias("low"), F.max("c").alias("high")).filter("low <> high")
+        rows = materialize(rows.join(several.select("token"), "token"), "line-postings")
+    return rows.select("token", "c")
 
 
 def verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
@@ -111,7 +132,7 @@ def repeated_lines(docs: DataFrame) -> DataFrame:
     place = F.struct(DOC, KEY, "pos")
     firsts = materialize(stored.groupBy("c", "d").agg(F.min(place).alias("first")), "line-firsts")
 
-    shared = materialize(shared_tokens(named.select("w", "c"), levels), "line-postings")
+    shared = shared_tokens(named.select("w", "c"), levels)
     active = checked_broadcast(shared.select("c").distinct(), "line-active", MAX_BROADCAST_KEYS)
     sets = with_tokens(named.select("w", "c", "d").join(active, "c", "left_semi").dropDuplicates(["c", "d"]), levels)
     sets = materialize(sets.select("c", "d", "tokens").join(firsts, ["c", "d"]), "line-sets")
