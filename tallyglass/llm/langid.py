@@ -4,10 +4,12 @@ A suffix automaton of labelled text per language recognises every substring of t
 against it takes the longest match again and again; each match is a phrase. The language whose text needs the
 fewest phrases, times the bits of a pointer into that text, per character, is the nearest one.
 
-The automata are fitted on a bounded sample: ``SAMPLE_CHARS`` characters for each of at most
-``MAX_LANGUAGES`` languages (the most frequent ones), from labelled rows in the order of a digest of their
-id. Everything else is done for whole texts of all rows: a text is cut into stretches of ``STRETCH`` characters, each
-parsed from the automaton's root, and all stretches of a slice step through one transition array together.
+The automata are fitted on a bounded sample: ``SAMPLE_CHARS`` characters for each language that occurs as a
+label, from labelled rows in the order of a digest of their id. Each language has its own letter table: every
+letter of its sample, and one class for letters it lacks. Transitions are a dense array while all languages' arrays
+together stay within ``DENSE_BYTES`` (narrowest first), else sorted keys; both parse alike. Everything else is done
+for whole texts of all rows: a text is cut into stretches of ``STRETCH`` characters, each parsed from the
+automaton's root, and all stretches of a slice step through one language's transitions together.
 
 A text that is null or has no letter is ``und`` with score 0. Rows that repeat an id are treated alike. A
 table without labelled rows, or an empty one, gives ``und`` for every row. Further columns stay where they
@@ -24,16 +26,18 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from tallyglass.llm.common import DOCUMENT_COLUMNS, slices, table
+from tallyglass.workspace import checked_broadcast
 
 SAMPLE_CHARS = 60_000
 SAMPLE_ROWS = 4_000
-MAX_LANGUAGES = 64
-MAX_CLASSES = 64
+DENSE_BYTES = 1 << 28
 STRETCH = 1024
 SLICE = 1_000_000
 UNKNOWN = "und"
 # A text of at least LEAST_CHARS whose best language has shorter phrases than this is in no known language.
+# Where a letter carries more than LETTER_BITS (syllables, ideographs), phrases are shorter in that proportion.
 LEAST_PHRASE = 2.2
+LETTER_BITS = 5.0
 LEAST_CHARS = 40
 END = 1 << 28
 
@@ -53,12 +57,10 @@ def training_sample(docs: DataFrame, chars: int = SAMPLE_CHARS) -> dict[str, str
     sizes = (
         rows.groupBy("lang")
         .agg(F.count(F.lit(1)).alias("n"), F.sum(F.char_length("text")).alias("size"))
-        .orderBy(F.desc("n"), "lang")
-        .limit(MAX_LANGUAGES)
     )
     order = F.xxhash64(F.col("doc_id"), F.xxhash64("text"))
     share = F.least(F.lit(1.0), F.greatest(F.lit(3.0 * chars) / F.col("size"), F.lit(200.0) / F.col("n")))
-    near = rows.join(F.broadcast(sizes), "lang").filter(
+    near = rows.join(checked_broadcast(sizes, "langid-sizes"), "lang").filter(
         (order.cast("double") / F.lit(float(1 << 63)) + 1.0) / 2.0 <= share
     )
     ranked = Window.partitionBy("lang").orderBy(order, "doc_id")
@@ -75,25 +77,36 @@ def training_sample(docs: DataFrame, chars: int = SAMPLE_CHARS) -> dict[str, str
     return {lang: " ".join(texts)[:chars] for lang, texts in out.items()}
 
 
+def letters_of(text: str) -> set[str]:
+    """The letters of a text in lower case, each character for itself."""
+    return {c.lower()[:1] for c in set(text) if c.isalpha()}
+
+
 def alphabet(samples: dict[str, str]):
-    """Class of every code point: 0 for what is no letter, one for each common letter, one for all others."""
+    """Class of every code point: 0 for what is no letter, one for each letter of any sample, one for all others.
+
+    Also, per language, its own class for each of these: 0, one for each letter of its sample, one for the rest.
+    """
     import numpy as np
-    from collections import Counter
 
-    seen: Counter = Counter()
-    for text in samples.values():
-        seen.update(text.lower())
-    common = [c for c, _ in sorted(seen.items(), key=lambda x: (-x[1], x[0])) if c.isalpha()][: MAX_CLASSES - 2]
-    number = {c: i + 1 for i, c in enumerate(common)}
-    other = len(common) + 1
-    codes = np.zeros(0x110000, np.uint8)
+    own = {lang: letters_of(text) for lang, text in samples.items()}
+    every = sorted(set().union(*own.values()))
+    number = {c: i + 1 for i, c in enumerate(every)}
+    other = len(every) + 1
+    codes = np.zeros(0x110000, np.min_scalar_type(other))
     for point in range(0x110000):
         if 0xD800 <= point < 0xE000:
             continue
         char = chr(point)
         if char.isalpha():
             codes[point] = number.get(char.lower()[:1], other)
-    return codes, other + 1
+    local = {}
+    for lang, found in own.items():
+        local[lang] = np.full(other + 1, len(found) + 1, np.int32)
+        local[lang][0] = 0
+        for i, c in enumerate(sorted(found)):
+            local[lang][number[c]] = i + 1
+    return codes, local
 
 
 def coded(text: str, codes):
@@ -107,10 +120,8 @@ def coded(text: str, codes):
     return out[keep]
 
 
-def suffix_automaton(symbols, classes: int):
-    """Transitions of the smallest automaton of all substrings: next state per state and class, -1 for none."""
-    import numpy as np
-
+def automaton_moves(symbols) -> list[dict[int, int]]:
+    """The smallest automaton of all substrings: per state the next state by class."""
     n = len(symbols)
     moves: list[dict[int, int]] = [{}]
     link, length, last = [-1], [0], 0
@@ -137,14 +148,26 @@ def suffix_automaton(symbols, classes: int):
                     p = link[p]
                 link[q] = link[current] = clone
         last = current
+    assert len(moves) <= 2 * n + 1
+    return moves
+
+
+def dense(moves: list[dict[int, int]], classes: int):
+    """Next state per state and class, -1 for none."""
+    import numpy as np
+
     out = np.full((len(moves), classes), -1, np.int32)
     for state, move in enumerate(moves):
         for s, target in move.items():
             out[state, s] = target
-    assert len(moves) <= 2 * n + 1
     return out
 
 
+def suffix_automaton(symbols, classes: int):
+    """Transitions of the smallest automaton of all substrings, as an array."""
+    return dense(automaton_moves(symbols), classes)
+
+
 def phrase_steps(moves):
     """One array that a parse steps through: the next state, and from bit 28 on how many phrases ended.
 
@@ -159,35 +182,90 @@ def phrase_steps(moves):
     return np.ascontiguousarray(steps.astype(np.int32))
 
 
-def fit(samples: dict[str, str]) -> dict:
-    """Languages, letter classes, and per language the steps and the bits of a pointer."""
-    import math
+class DenseSteps:
+    """The array of ``phrase_steps``."""
+
+    def __init__(self, steps):
+        self.flat, self.classes = steps.reshape(-1), steps.shape[1]
+
+    def take(self, state, symbols):
+        return self.flat[state * self.classes + symbols]
+
+
+class SparseSteps:
+    """The same steps from the transitions that exist, found among sorted keys of state and class."""
+
+    def __init__(self, moves: list[dict[int, int]], classes: int):
+        import numpy as np
+
+        states = np.repeat(np.arange(len(moves), dtype=np.int64), [len(m) for m in moves])
+        symbols = np.fromiter((s for m in moves for s in m), np.int64, len(states))
+        targets = np.fromiter((t for m in moves for t in m.values()), np.int32, len(states))
+        order = np.argsort(states * classes + symbols)
+        self.keys, self.targets, self.classes = (states * classes + symbols)[order], targets[order], classes
+        self.fresh = np.full(classes, 2 * END, np.int32)
+        for s, target in moves[0].items():
+            self.fresh[s] = target + END
+
+    def take(self, state, symbols):
+        import numpy as np
+
+        if not len(self.keys):
+            return self.fresh[symbols] - np.where(state == 0, np.int32(END), np.int32(0))
+        key = state.astype(np.int64) * self.classes + symbols
+        place = np.minimum(np.searchsorted(self.keys, key), len(self.keys) - 1)
+        # What the root lacks ends itself only; no phrase is open there.
+        missed = self.fresh[symbols] - np.where(state == 0, np.int32(END), np.int32(0))
+        return np.where(self.keys[place] == key, self.targets[place], missed)
 
-    codes, classes = alphabet(samples)
-    model = {"codes": codes, "classes": classes, "languages": sorted(samples), "steps": [], "bits": []}
-    for lang in model["languages"]:
-        symbols = coded(samples[lang], codes)
-        model["steps"].append(phrase_steps(suffix_automaton(symbols, classes)))
-        model["bits"].append(math.log2(max(2, len(symbols))))
-    return model
 
+def fit(samples: dict[str, str]) -> dict:
+    """Languages, letter classes, and per language its own classes, the steps and the bits of a pointer."""
+    import math
 
-def phrases(stretches, lengths, steps):
-    """Phrases of each stretch (columns of ``stretches``, classes by position), all parsed in step."""
+    codes, local = alphabet(samples)
+    languages = sorted(samples)
+    steps, bits, room = {}, {}, DENSE_BYTES
+    for lang in sorted(languages, key=lambda x: (int(local[x].max()), x)):
+        classes = int(local[lang].max()) + 1
+        symbols = local[lang][coded(samples[lang], codes)]
+        moves = automaton_moves(symbols)
+        size = 4 * len(moves) * classes
+        if size <= room:
+            room -= size
+            steps[lang] = DenseSteps(phrase_steps(dense(moves, classes)))
+        else:
+            steps[lang] = SparseSteps(moves, classes)
+        bits[lang] = math.log2(max(2, len(symbols)))
+    return {
+        "codes": codes,
+        "languages": languages,
+        "local": [local[x] for x in languages],
+        "steps": [steps[x] for x in languages],
+        "bits": [bits[x] for x in languages],
+    }
+
+
+def phrases(stretches, lengths, steps, local=None):
+    """Phrases of each stretch (columns of ``stretches``, classes by position), all parsed in step.
+
+    ``local`` turns the classes into those of ``steps``.
+    """
     import numpy as np
 
-    classes = steps.shape[1]
-    flat = steps.reshape(-1)
+    if isinstance(steps, np.ndarray):
+        steps = DenseSteps(steps)
     order = np.argsort(-lengths, kind="stable")
     alive = np.searchsorted(-lengths[order], -np.arange(stretches.shape[0]), side="left")
-    columns = np.ascontiguousarray(stretches[:, order]).astype(np.int32)
+    columns = np.ascontiguousarray(stretches[:, order])
+    columns = columns.astype(np.int32) if local is None else local[columns]
     state = np.zeros(len(order), np.int32)
     ends = np.zeros(len(order), np.int32)
     for t in range(stretches.shape[0]):
         m = alive[t]
         if not m:
             break
-        step = flat[state[:m] * classes + columns[t, :m]]
+        step = steps.take(state[:m], columns[t, :m])
         ends[:m] += step >> 28
         state[:m] = step & (END - 1)
     out = np.empty(len(order), np.int64)
@@ -208,7 +286,7 @@ def classify(texts: list[str | None], model: dict) -> tuple[list[str], list[floa
         return [UNKNOWN] * len(rows), [0.0] * len(rows), [0.0] * len(rows)
     counts = np.array([-(-len(r) // STRETCH) for r in rows])
     owner = np.repeat(np.arange(len(rows)), counts)
-    grid = np.zeros((int(counts.sum()), STRETCH), np.uint8)
+    grid = np.zeros((int(counts.sum()), STRETCH), model["codes"].dtype)
     lengths = np.zeros(len(grid), np.int64)
     at = 0
     for r, n in zip(rows, counts.tolist()):
@@ -219,7 +297,8 @@ def classify(texts: list[str | None], model: dict) -> tuple[list[str], list[floa
         at += n
     columns = grid.T
     sizes = np.maximum(1, np.array([len(r) for r in rows]))
-    found = np.array([np.bincount(owner, phrases(columns, lengths, s), len(rows)) for s in model["steps"]])
+    parsed = (phrases(columns, lengths, s, local) for s, local in zip(model["steps"], model["local"]))
+    found = np.array([np.bincount(owner, p, len(rows)) for p in parsed])
     cost = found * np.array(model["bits"])[:, None] / sizes
     best = np.argmin(cost, axis=0)
     least = cost[best, np.arange(len(rows))]
@@ -236,7 +315,7 @@ _models: dict[int, dict] = {}
 def identify(docs: DataFrame, samples: dict[str, str]) -> DataFrame:
     """``docs`` with ``lang_pred``, ``score`` and ``chars_per_phrase``; the model comes from ``samples``.
 
-    Only the samples are broadcast (their size is bounded); each Python worker builds the automata once.
+    Only the samples are broadcast (their size is bounded per language); each Python worker builds the automata once.
     """
     shared = docs.sparkSession.sparkContext.broadcast(samples)
     key = hash(tuple(sorted(samples.items())))
@@ -261,9 +340,28 @@ def identify(docs: DataFrame, samples: dict[str, str]) -> DataFrame:
     return docs.mapInArrow(run, schema)
 
 
+def least_phrases(samples: dict[str, str]) -> dict[str, float]:
+    """Shortest phrases of real text per language, where its letters carry more than ``LETTER_BITS`` each."""
+    import math
+    from collections import Counter
+
+    out = {}
+    for lang, text in samples.items():
+        seen = Counter(c.lower()[:1] for c in text if c.isalpha())
+        total = seen.total()
+        bits = -sum(n / total * math.log2(n / total) for n in seen.values())
+        if bits > LETTER_BITS:
+            out[lang] = LEAST_PHRASE * LETTER_BITS / bits
+    return out
+
+
 def recognised(docs: DataFrame, samples: dict[str, str]) -> DataFrame:
     """The documents in a known language: not ``und``, and phrases as long as those of real text."""
-    readable = (F.col("chars_per_phrase") >= LEAST_PHRASE) | (F.char_length("text") < LEAST_CHARS)
+    least = F.lit(LEAST_PHRASE)
+    if short := least_phrases(samples):
+        table_of = F.create_map(*[F.lit(x) for pair in sorted(short.items()) for x in pair])
+        least = F.coalesce(table_of[F.col("lang_pred")], least)
+    readable = (F.col("chars_per_phrase") >= least) | (F.char_length("text") < LEAST_CHARS)
     return identify(docs, samples).filter((F.col("lang_pred") != UNKNOWN) & readable).select(*docs.columns)
 
 

@@ -1,3 +1,4 @@
+import random
 import zlib
 
 import numpy as np
@@ -93,3 +94,52 @@ def test_recognised_keeps_clean_documents(spark):
     kept = langid.recognised(docs, langid.training_sample(docs))
     assert kept.columns == docs.columns
     assert kept.count() >= 0.99 * docs.filter("text rlike '\\\\p{L}'").count()
+
+
+def words_of(rng, letters, n, words=60):
+    known = ["".join(rng.choice(letters) for _ in range(5)) for _ in range(words)]
+    return " ".join(rng.choice(known) for _ in range(n)), " ".join(rng.choice(known) for _ in range(40))
+
+
+def test_every_letter_of_every_script_counts(spark):
+    """Two languages in each rare script with words of one length: only the letters tell them apart."""
+    rng = random.Random(4)
+    scripts = {
+        "latin": [chr(c) for c in (*range(97, 123), *range(0xE0, 0xF7))],
+        "cyrillic": [chr(c) for c in range(0x430, 0x450)],
+        "greek": [chr(c) for c in range(0x3B1, 0x3CA)],
+        "han": [chr(c) for c in range(0x4E00, 0x5400)],
+        "hangul": [chr(c) for c in range(0xAC00, 0xB000)],
+    }
+    samples, texts = {}, {}
+    for name, letters in scripts.items():
+        for i in (1, 2):
+            n = 2000 if name in ("latin", "cyrillic") else 300
+            samples[f"{name}{i}"], texts[f"{name}{i}"] = words_of(rng, letters, n)
+    model = langid.fit(samples)
+    assert langid.classify(list(texts.values()), model)[0] == list(texts)
+    docs = frame(spark, [(i, t, None, "s", 0) for i, t in enumerate(texts.values())])
+    assert langid.recognised(docs, samples).count() == len(texts)
+
+
+def test_sparse_steps_parse_like_dense_ones(monkeypatch):
+    rng = random.Random(6)
+    samples = {x: words_of(rng, letters, 200)[0] for x, letters in (("a", "abcdef"), ("b", "abcxyz"), ("c", "αβγ"))}
+    texts = [words_of(rng, letters, 900)[0] for letters in ("abcdef", "abcxyz", "abqα一 1")] + list(samples.values())
+    want = langid.classify(texts, langid.fit(samples))
+    monkeypatch.setattr(langid, "DENSE_BYTES", 0)
+    model = langid.fit(samples)
+    assert all(isinstance(s, langid.SparseSteps) for s in model["steps"])
+    assert langid.classify(texts, model) == want
+
+
+def test_every_label_is_learned(spark):
+    rows = [(i, "some words of this language", f"l{i % 70:02d}", "s", 0) for i in range(420)]
+    assert len(langid.training_sample(frame(spark, rows))) == 70
+
+
+def test_letters_with_more_bits_have_shorter_phrases():
+    rng = random.Random(2)
+    han = "".join(chr(0x4E00 + rng.randrange(2000)) for _ in range(20_000))
+    least = langid.least_phrases({"zh": han, "en": "the quick brown fox jumps over the lazy dog", "none": "1"})
+    assert set(least) == {"zh"} and 0.9 < least["zh"] < 1.2
