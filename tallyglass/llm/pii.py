@@ -1,9 +1,12 @@
 """Personal data: base patterns, and identifiers that bootstrapped contexts add.
 
-Every text is scanned once. Base matches are the seeds; other tokens with the shape of an identifier are
+Every text is scanned, and once more where patterns are accepted. Base matches are the seeds; other tokens with the shape of an identifier are
 candidates. The two words before a mention are its pattern. On the graph of patterns and instances Spark
 iterates: an instance is as sure as its surest pattern (a seed is sure), a pattern is as sure as the mean of
 the instances it occurs with. Candidates that follow an accepted pattern are reported as ``context`` spans.
+The second scan collects whatever else follows an accepted pattern: the next token of any shape and length, and
+with it the tokens that continue a number. Each of these counts against its pattern; where the seeds and candidates
+still make the pattern sure enough, they are reported too (unless they hold no letter or digit).
 Rounds work on pattern-instance pairs that are added up before they move; patterns below the support are
 dropped first.
 
@@ -14,10 +17,13 @@ table gives no rows. Further columns are left out.
 from __future__ import annotations
 
 import re
+import zlib
+from bisect import bisect_right
 from collections.abc import Iterator
 
+import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tallyglass.llm.common import slices, table
@@ -33,6 +39,10 @@ PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 DIGITS = re.compile(r"[0-9]+")
 BARE = re.compile(r"[^0-9]")
 EDGE = " \t\r\n\"'()[]{}<>,;:.!?"
+WORD = re.compile(r"\S+")
+# Starts inside a token: what follows one of the edge characters.
+INNER = re.compile(r"(?<=[\"'()\[\]{}<>,;:.!?])[^\s\"'()\[\]{}<>,;:.!?]")
+NUMBER = re.compile(r"\+?\(?[0-9][0-9()./-]*(?:[\x20\t]+\(?[0-9][0-9()./-]*)+(?=[\s,;:!?\"'\]}>]|$)")
 SHAPE_CHARS = (5, 64)
 SHAPE_DIGITS = 3
 CONTEXT_CHARS = 80
@@ -40,10 +50,13 @@ CONTEXT_WORDS = 2
 MIN_SEEDS = 3
 MIN_CONFIDENCE = 0.8
 ROUNDS = 3
+SLOT_BITS = 26
+SLOT_CHUNK = 1 << 16
 
 MENTION = pa.list_(
     pa.struct([("start", pa.int64()), ("end", pa.int64()), ("kind", pa.int32()), ("pattern", pa.string()), ("instance", pa.string())])
 )
+FOLLOWER = [("start", pa.int64()), ("end", pa.int64()), ("pattern", pa.string()), ("fresh", pa.bool_()), ("named", pa.bool_())]
 SCHEMA = "doc_id bigint, text_key bigint, mentions array<struct<start: bigint, end: bigint, kind: int, pattern: string, instance: string>>"
 
 
@@ -128,6 +141,65 @@ def mentions(text: str) -> list[dict]:
     return [{"start": a, "end": b, "kind": k, "pattern": pattern(text, a), "instance": text[a:b].lower()} for a, b, k in found]
 
 
+def merged(spans: list[tuple[int, int, int]]) -> tuple[list[int], list[int]]:
+    """Starts and ends of the stretches that spans cover."""
+    starts: list[int] = []
+    ends: list[int] = []
+    for a, b, _ in sorted(spans):
+        if ends and a <= ends[-1]:
+            ends[-1] = max(ends[-1], b)
+        else:
+            starts.append(a)
+            ends.append(b)
+    return starts, ends
+
+
+def slot(text: str) -> int:
+    return zlib.crc32(text.encode("utf-8", "replace")) & ((1 << SLOT_BITS) - 1)
+
+
+def followers(text: str, bits: bytes) -> list[dict]:
+    """What follows the patterns whose slots are set and touches no base span, but for the candidates themselves.
+
+    ``fresh`` says that no candidate starts there, ``named`` that there is a letter or a digit.
+    """
+    low = DIGITS.sub("0", text.lower()).split()
+    spans = [m.span() for m in WORD.finditer(text)]
+    hits = []
+    for i in range(CONTEXT_WORDS, len(spans)):
+        start = spans[i][0]
+        if text[start] in EDGE:
+            continue
+        far = spans[i - CONTEXT_WORDS][0] < start - CONTEXT_CHARS
+        before = pattern(text, start) if far else " ".join(low[i - CONTEXT_WORDS : i])
+        if before is not None and bits[(h := slot(before)) >> 3] >> (h & 7) & 1:
+            hits.append((start, before))
+    for m in INNER.finditer(text):
+        before = pattern(text, m.start())
+        if before is not None and bits[(h := slot(before)) >> 3] >> (h & 7) & 1:
+            hits.append((m.start(), before))
+    if not hits:
+        return []
+    base = base_spans(text)
+    shaped = dict(candidates(text, base))
+    starts, ends = merged(base)
+    out, done = [], 0
+    for start, before in sorted(hits):
+        if start < done:
+            continue
+        found = NUMBER.match(text, start) or WORD.match(text, start)
+        end = found.end()
+        while end > start and text[end - 1] in EDGE:
+            end -= 1
+        near = bisect_right(ends, start)
+        if near < len(starts) and starts[near] < end or shaped.get(start) == end:
+            continue
+        done = end
+        named = any(c.isalnum() for c in text[start:end])
+        out.append({"start": start, "end": end, "pattern": before, "fresh": start not in shaped, "named": named})
+    return out
+
+
 def scan(docs: DataFrame) -> DataFrame:
     """Base matches and candidates of every text."""
 
@@ -139,8 +211,62 @@ def scan(docs: DataFrame) -> DataFrame:
                 rows = [batch.column(c).slice(a, b - a) for c in ("doc_id", "text_key")]
                 yield pa.RecordBatch.from_arrays([*rows, pa.array(found, MENTION)], ["doc_id", "text_key", "mentions"])
 
-    keyed = docs.select(F.col("doc_id").cast("bigint"), F.col("text").cast("string"), F.xxhash64("text").alias("text_key"))
-    return keyed.mapInArrow(run, SCHEMA)
+    return keyed(docs).mapInArrow(run, SCHEMA)
+
+
+def keyed(docs: DataFrame) -> DataFrame:
+    return docs.select(F.col("doc_id").cast("bigint"), F.col("text").cast("string"), F.xxhash64("text").alias("text_key"))
+
+
+def slots(patterns: DataFrame) -> bytes:
+    """A bitmap of the patterns' CRC-32, compressed: 8 MB at most, whatever their number. It lets others pass too."""
+
+    def fill(batch: pd.DataFrame) -> pd.DataFrame:
+        import numpy as np
+
+        bits = np.zeros(SLOT_CHUNK, np.uint8)
+        bits[batch["slot"].to_numpy() % SLOT_CHUNK] = 1
+        data = np.packbits(bits, bitorder="little").tobytes()
+        return pd.DataFrame({"chunk": [batch["chunk"].iloc[0]], "bits": [data]})
+
+    rows = patterns.select(F.crc32("pattern").bitwiseAND((1 << SLOT_BITS) - 1).alias("slot")).distinct()
+    rows = rows.withColumn("chunk", F.floor(F.col("slot") / SLOT_CHUNK))
+    out = bytearray(1 << SLOT_BITS - 3)
+    for row in rows.groupBy("chunk").applyInPandas(fill, "chunk bigint, bits binary").collect():
+        at = row["chunk"] * SLOT_CHUNK // 8
+        out[at : at + SLOT_CHUNK // 8] = row["bits"]
+    return zlib.compress(bytes(out), 1)
+
+
+def scan_followers(docs: DataFrame, patterns: DataFrame) -> DataFrame:
+    """What else follows the patterns, a row each (see ``followers``)."""
+    shared = docs.sparkSession.sparkContext.broadcast(slots(patterns))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bits = zlib.decompress(shared.value)
+        for batch in batches:
+            texts = batch.column("text")
+            for a, b in slices(batch, [len(t.as_py() or "") for t in texts]):
+                found = [(i, m) for i in range(a, b) for m in followers(texts[i].as_py() or "", bits)]
+                rows = [batch.column(c).take(pa.array([i for i, _ in found], pa.int64())) for c in ("doc_id", "text_key")]
+                added = [pa.array([m[n] for _, m in found], t) for n, t in FOLLOWER]
+                yield pa.RecordBatch.from_arrays([*rows, *added], ["doc_id", "text_key", *[n for n, _ in FOLLOWER]])
+
+    schema = "doc_id bigint, text_key bigint, start bigint, end bigint, pattern string, fresh boolean, named boolean"
+    return keyed(docs).mapInArrow(run, schema).join(patterns.select("pattern"), "pattern")
+
+
+def discovered(docs: DataFrame, scanned: DataFrame, trusted: DataFrame) -> DataFrame:
+    """Followers of any shape after the patterns that they leave sure enough: (doc_id, text_key, start, end)."""
+    found = materialize(scan_followers(docs, trusted), "pii-followers")
+    seen = scanned.select(F.explode("mentions").alias("m")).select("m.pattern", F.col("m.kind").isNotNull().alias("seed"))
+    shaped = seen.groupBy("pattern").agg(
+        F.sum(F.col("seed").cast("int")).alias("seeds"), F.sum((~F.col("seed")).cast("int")).alias("shaped")
+    )
+    other = found.groupBy("pattern").agg(F.sum(F.col("fresh").cast("int")).alias("other"))
+    share = (F.col("seeds") + F.col("confidence") * F.col("shaped")) / (F.col("seeds") + F.col("shaped") + F.col("other"))
+    sure = trusted.join(shaped, "pattern").join(other, "pattern").filter(share >= MIN_CONFIDENCE)
+    return found.filter("named").join(sure.select("pattern"), "pattern").select("doc_id", "text_key", "start", "end")
 
 
 def trusted_patterns(scanned: DataFrame, rounds: int = ROUNDS, confidence: float = MIN_CONFIDENCE) -> DataFrame:
@@ -180,13 +306,21 @@ def _joined(spans: Column) -> Column:
 def find(docs: DataFrame) -> DataFrame:
     """Per row: counts of the base kinds, digest of the base spans, all spans as text."""
     scanned = materialize(scan(docs), "pii-mentions")
-    wanted = trusted_patterns(scanned).select("pattern")
+    trusted = materialize(trusted_patterns(scanned), "pii-trusted")
     loose = (
         scanned.select("doc_id", "text_key", F.explode(F.filter("mentions", lambda m: m["kind"].isNull())).alias("m"))
-        .select("doc_id", "text_key", "m.start", F.lit(KINDS.index("context")).alias("kind"), "m.end", "m.pattern")
-        .join(wanted, "pattern")
-        .groupBy("doc_id", "text_key")
-        .agg(F.collect_set(F.struct("start", "end", "kind")).alias("added"))
+        .select("doc_id", "text_key", "m.start", "m.end", "m.pattern")
+        .join(trusted.select("pattern"), "pattern")
+        .drop("pattern")
+    )
+    if not trusted.isEmpty():
+        loose = loose.unionByName(discovered(docs, scanned, trusted))
+    # A span within a wider one is part of it.
+    earlier = Window.partitionBy("doc_id", "text_key").orderBy("start", F.desc("end")).rowsBetween(Window.unboundedPreceding, -1)
+    loose = loose.distinct().withColumn("reach", F.max("end").over(earlier)).filter("reach is null or end > reach")
+    loose = (
+        loose.groupBy("doc_id", "text_key")
+        .agg(F.collect_list(F.struct("start", "end", F.lit(KINDS.index("context")).alias("kind"))).alias("added"))
         .withColumnsRenamed({"doc_id": "_doc", "text_key": "_key"})
     )
     base = F.transform(

@@ -119,3 +119,33 @@ def test_confidence_equals_brute_force(spark):
 
 def test_empty_table(spark):
     assert pii.find(empty_docs(spark)).count() == 0
+
+
+def test_context_finds_any_shape(spark):
+    """After a sure context the shape does not matter; after an unsure one plain words stay alone."""
+    rows = [(i, f"note {i}: please write mail to user{i}@host.example today", None, None, 0) for i in range(40)]
+    hidden = {
+        90: "user77(at)host.example", 91: "jane.doe(at)host.example", 92: "@jane_doe", 93: "650 555 0100",
+        94: "x1" * 50, 95: "12 34 56", 96: "650) 555-0100",
+    }
+    rows += [(i, f"others please write mail to {h}, or not", None, None, 0) for i, h in hidden.items()]
+    rows += [(100 + i, f"you can ask for a{i}@host.example now", None, None, 0) for i in range(4)]
+    rows += [(110 + i, f"you can ask for {w} now", None, None, 0) for i, w in enumerate("bread milk more nothing".split())]
+    rows += [(120 + i, f"send it mailto:b{i}@host.example now", None, None, 0) for i in range(20)]
+    rows += [(150, "send it mailto:carl(at)host.example now", None, None, 0), (151, "mail to nobody", None, None, 0)]
+    got = {r.doc_id: r.spans for r in pii.find(frame(spark, rows).repartition(4)).collect()}
+    hidden[150] = "carl(at)host.example"
+    texts = {r[0]: r[1] for r in rows}
+    for i, h in hidden.items():
+        start = texts[i].index(h)
+        assert got[i] == f"context:{start}:{start + len(h)}", (i, got[i])
+    assert all(got[110 + i] == "" for i in range(4)) and got[151] != got[150]
+    assert all(got[i].startswith("email:") and "," not in got[i] for i in (*range(40), *range(100, 104), *range(120, 140)))
+
+
+def test_followers_are_linear_and_touch_no_base_span():
+    bits = bytes([255]) * (1 << pii.SLOT_BITS - 3)
+    pii.followers("1 " * 50_000 + "a." * 50_000 + "(" * 50_000 + " " + "9" * 50_000 + " x", bits)
+    for text in TEXTS:
+        for m in pii.followers(text, bits):
+            assert not any(a < m["end"] and m["start"] < b for a, b, _ in pii.base_spans(text))
