@@ -19,8 +19,9 @@ A pool of up to ``POOL_ROWS`` classes is one task. In one that is still larger e
 with the pool's first class, which links a group of near copies in one pass; the others are then held, in
 blocks, against the whole pool, cut by a digest.
 
-A null or empty text has an empty set and is linked with nothing. Rows that repeat an id share its component;
-null ids get null. An empty table gives no rows. Further columns stay in ``first_of_components``.
+A null or empty text has an empty set and is linked with nothing. Rows are judged by their text, so rows that
+repeat an id with different texts can lie in different components; null ids get null. An empty table gives no rows.
+Further columns stay in ``first_of_components``.
 """
 
 from __future__ import annotations
@@ -482,24 +483,48 @@ def links(docs: DataFrame, scanned: DataFrame, levels: bytes) -> DataFrame:
     return out.unionByName(star).unionByName(met)
 
 
-def components(docs: DataFrame) -> DataFrame:
-    """Per document row: ``doc_id``, ``text_key``, ``n_shingles`` and ``component_id``."""
+def labelled(docs: DataFrame) -> DataFrame:
+    """Per document row: ``doc_id``, ``text_key``, ``n_shingles`` and the ``label`` of its component, null for empty sets."""
     scanned = materialize(scan(docs), "ngram-scan")
     rows = scanned.filter("chunk is null").drop("chunk", "counts")
     found = star_components(links(docs, rows, rarity_levels(scanned)), "ngram-components").withColumnRenamed("vertex", "c")
     named = rows.join(checked_broadcast(found, "ngram-labels", MAX_BROADCAST_KEYS), "c", "left")
     group = F.when(F.col("n_shingles") > 0, F.coalesce("root", "c"))
-    labelled = named.select("doc_id", "text_key", "n_shingles", group.alias("label"))
-    least = labelled.filter("label is not null").groupBy("label").agg(F.min("doc_id").alias("least"))
-    out = labelled.join(least, "label", "left")
+    return named.select("doc_id", "text_key", "n_shingles", group.alias("label"))
+
+
+def components(docs: DataFrame) -> DataFrame:
+    """Per document row: ``doc_id``, ``text_key``, ``n_shingles`` and ``component_id``."""
+    rows = labelled(docs)
+    least = rows.filter("label is not null").groupBy("label").agg(F.min("doc_id").alias("least"))
+    out = rows.join(least, "label", "left")
     return out.select("doc_id", "text_key", "n_shingles", F.when(F.col("doc_id").isNotNull(), F.coalesce("least", "doc_id")).alias("component_id"))
 
 
 def first_of_components(docs: DataFrame) -> DataFrame:
-    """One document of each component: the one with the least id. Null ids and empty sets all stay."""
-    found = components(docs).filter((F.col("component_id") != F.col("doc_id")) & F.col("component_id").isNotNull())
-    gone = checked_broadcast(found.select("doc_id").distinct(), "ngram-gone", MAX_BROADCAST_KEYS)
-    return docs.join(gone, "doc_id", "left_anti")
+    """One row of each component: the one with the least id, nulls last, then by digests of text and further columns.
+
+    Empty sets all stay.
+    """
+    keys = ["doc_id", "text_key"]
+    cells = labelled(docs).filter("label is not null").groupBy("label", *keys).agg(F.count(F.lit(1)).alias("n"))
+    cells = materialize(cells, "ngram-cells")
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_key")).alias("first")
+    judged = cells.join(cells.groupBy("label").agg(first), "label")
+    stays = F.col("doc_id").eqNullSafe(F.col("first.doc_id")) & (F.col("text_key") == F.col("first.text_key"))
+    renamed = {"doc_id": "__near_doc", "text_key": "__near_text"}
+    gone = checked_broadcast(judged.filter(~stays).select(*keys).withColumnsRenamed(renamed), "ngram-gone", MAX_BROADCAST_KEYS)
+    same = F.col("doc_id").cast("bigint").eqNullSafe(F.col("__near_doc")) & (F.xxhash64("text") == F.col("__near_text"))
+    kept = docs.join(gone, same, "left_anti")
+    many = materialize(judged.filter(stays & (F.col("n") > 1)).select(*keys).withColumnsRenamed(renamed), "ngram-many")
+    if many.isEmpty():
+        return kept
+    many = checked_broadcast(many, "ngram-many", MAX_BROADCAST_KEYS, stored=True)
+    others = [c for c in docs.columns if c not in ("doc_id", "text")]
+    order = F.xxhash64(F.to_json(F.struct(*others))) if others else F.lit(0)
+    repeated = docs.join(many, same).groupBy("__near_doc", "__near_text")
+    picked = repeated.agg(F.min_by(F.struct(*docs.columns), order).alias("__near_row")).select("__near_row.*")
+    return kept.join(many, same, "left_anti").unionByName(picked)
 
 
 def op10_ngramjoin(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -153,3 +153,18 @@ def test_linked_sets_share_what_the_prefix_rule_says():
         if ngramjoin.linked(x, y):
             common = set(x[: ngramjoin.prefix_size(len(x))]) & set(y[: ngramjoin.prefix_size(len(y))])
             assert len(common) >= max(ngramjoin.least_shared(len(x)), ngramjoin.least_shared(len(y)))
+
+
+def test_one_row_of_each_group_stays(spark):
+    rng = random.Random(9)
+    text, *others = [prose(rng, 40) for _ in range(6)]
+    kept = lambda rows: sorted(((r.doc_id, r.text) for r in ngramjoin.first_of_components(frame(spark, rows)).collect()), key=str)
+    # An id with many texts, of which one is a copy of a smaller id's: only that row goes.
+    rows = [(1, text, "en", "s", 0), (7, text, "en", "s", 0), *[(7, t, "en", "s", 0) for t in others]]
+    assert kept(rows) == sorted([(1, text), *[(7, t) for t in others]], key=str)
+    # Rows that repeat id and text, also with other further columns: one stays.
+    rows = [(3, text, "en", f"s{i % 2}", i) for i in range(5)] + [(4, others[0], "en", "s", 0)] * 2 + [(5, "", "en", "s", 0)] * 2
+    assert kept(rows) == sorted([(3, text), (4, others[0]), (5, ""), (5, "")], key=str)
+    # Null ids: one of a group stays, and none beside an id.
+    rows = [(None, text, "en", "s", 0)] * 3 + [(None, others[0], "en", "s", 0), (9, others[0], "en", "s", 0), (None, None, "en", "s", 0)]
+    assert kept(rows) == sorted([(None, text), (9, others[0]), (None, None)], key=str)
