@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from importlib import import_module
 
-MODULES = ["warc", "packing", "topk", "rans", "pii", "fingerprint", "mixing", "linededup", "langid", "ngramjoin"]
+MODULES = ["warc", "packing", "topk", "rans", "pii", "fingerprint", "mixing", "linededup", "langid", "ngramjoin", "negatives", "decontaminate", "whitening"]
 
 
 def _merged(attribute: str) -> dict:
