@@ -90,17 +90,20 @@ def daily_profile(rows: DataFrame, columns: list[str], time: str = TIME_COLUMN,
     )
 
 
-def run_to_table(stream: DataFrame, output: str, checkpoint: str) -> DataFrame:
+def run_to_table(stream: DataFrame, output: str, checkpoint: str, trigger: dict | None = None) -> DataFrame:
     """Drain a stream into Parquet in append mode and read the result."""
     query = (
         stream.writeStream.format("parquet")
         .option("path", output)
         .option("checkpointLocation", checkpoint)
         .outputMode("append")
-        .trigger(availableNow=True)
+        .trigger(**(trigger or {"availableNow": True}))
         .start()
     )
-    query.awaitTermination()
+    if trigger:
+        drain(query)
+    else:
+        query.awaitTermination()
     return stream.sparkSession.read.schema(stream.schema).parquet(output)
 
 
@@ -112,10 +115,12 @@ def push_features(
     latest: str | None = None,
     timestamp: str = "event_timestamp",
     created: str | None = "created",
+    trigger: dict | None = None,
 ) -> StreamingQuery:
     """Write arriving feature rows to the history, to the latest-row table, or to both.
 
-    The micro-batch number names the folder it writes, so a replay overwrites itself.
+    The micro-batch number names the folder it writes, so a replay overwrites itself. Without a ``trigger`` the
+    query takes what is there and stops.
     """
 
     def write(batch: DataFrame, number: int) -> None:
@@ -130,11 +135,20 @@ def push_features(
     return (
         stream.writeStream.foreachBatch(write)
         .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
+        .trigger(**(trigger or {"availableNow": True}))
         .start()
     )
 
 
+def drain(query: StreamingQuery) -> StreamingQuery:
+    """Let a running query work off what has arrived, in as many micro-batches as its source makes, and stop it."""
+    try:
+        query.processAllAvailable()
+    finally:
+        query.stop()
+    return query
+
+
 def push_to_source(
     stream: DataFrame, source: PushSource, entity: Entity, checkpoint: str, history: str | None = None, latest: str | None = None
 ) -> StreamingQuery:
