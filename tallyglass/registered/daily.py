@@ -42,7 +42,8 @@ def daily_slices(spark, sf_dir):
 
 
 def one_day_slice(spark, sf_dir):
-    return present(cleaning.day_slice(_tx(spark, sf_dir), "2024-01-15"))
+    events = adapters.read_table(spark, sf_dir, "events")
+    return present(cleaning.day_slice(adapters.timed_transactions(events), "2024-01-15"))
 
 
 def available_days(spark, sf_dir):
