@@ -10,8 +10,10 @@ from pyspark.sql.streaming import StreamingQuery
 from tallyglass.functions.numeric import unless_constant
 from tallyglass.operators.asof import micros
 from tallyglass.operators.cleaning import clean
+from tallyglass.operators.daystates import STATE_COLUMNS, state_aggregates
 from tallyglass.operators.drift import values_long
 from tallyglass.operators.featureviews import Entity, PushSource
+from tallyglass.operators.profile import column_rows
 from tallyglass.schema import TIME_COLUMN, TRANSACTION_SCHEMA
 from tallyglass.sources import featurestore
 
@@ -90,6 +92,19 @@ def daily_profile(rows: DataFrame, columns: list[str], time: str = TIME_COLUMN,
     )
 
 
+def daily_states(rows: DataFrame, columns: list[str], time: str = TIME_COLUMN, delay: str = "1 day") -> DataFrame:
+    """Mergeable states (``daystates``) per day and column, quantile and distinct sketches included.
+
+    A day is emitted once the watermark has passed its end; until then it is one state row per column.
+    """
+    timed = rows.withColumn("_at", wall_clock(time)).withWatermark("_at", delay)
+    cells = column_rows(timed, ["_at"], columns)
+    table = cells.groupBy(F.window("_at", "1 day").alias("w"), "code").agg(*state_aggregates())
+    start = F.floor(F.unix_micros("w.start") / F.lit(86_400_000_000)).cast("int")
+    names = F.array(*[F.lit(c) for c in columns])
+    return table.select(F.date_from_unix_date(start).alias("date"), names[F.col("code")].alias("column"), *STATE_COLUMNS)
+
+
 def run_to_table(stream: DataFrame, output: str, checkpoint: str, trigger: dict | None = None) -> DataFrame:
     """Drain a stream into Parquet in append mode and read the result."""
     query = (
