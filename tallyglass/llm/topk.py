@@ -9,8 +9,8 @@ visits the rings it leaves, queries in blocks. Scores are whole numbers, compute
 
 Pivots are ``PIVOTS`` vectors chosen by a digest of their id. Vectors that are null, hold null or
 non-finite components, or have a null id take no part; of vectors of unequal length the shorter counts as
-filled up with zeros. Rows that repeat an id are all candidates, none for a query of that id. Ties go to the
-smaller id. Tables without vectors or queries give no rows. Further columns are left out.
+filled up with zeros. Rows that repeat an id are all candidates, none for a query of that id; an id is a query once,
+by its least vector. Ties go to the smaller id. Tables without vectors or queries give no rows. Further columns are left out.
 """
 
 from __future__ import annotations
@@ -163,13 +163,13 @@ def search(vectors: DataFrame, queries: DataFrame, k: int = K) -> DataFrame:
             for p in range(d.shape[1]):
                 yield df.assign(norm=norms, pivot=np.int32(p), ray=d[:, p])[["query_id", "v", "norm", "pivot", "ray"]]
 
-    asked = queries.select(F.col("vec_id").alias("query_id"), "v")
+    asked = queries.groupBy(F.col("vec_id").alias("query_id")).agg(F.min("v").alias("v"))
     asked = materialize(asked.mapInPandas(rays, "query_id bigint, v array<bigint>, norm double, pivot int, ray double"), "topk-queries")
     gap = F.greatest(F.lit(0.0), F.col("near") - F.col("ray"), F.col("ray") - F.col("far"))
     visits = asked.drop("v").join(rings, "pivot").withColumn("gap", gap)
     blocks = max(1, math.ceil(asked.count() / len(index.pivots) / QUERY_BLOCK))
     block = F.pmod(F.xxhash64("query_id"), F.lit(blocks)).cast("int")
-    texts = asked.filter("pivot = 0").select("query_id", "v").dropDuplicates(["query_id"])
+    texts = asked.filter("pivot = 0").select("query_id", "v")
 
     def scored(pairs: DataFrame) -> DataFrame:
         """Best k of every visited cell for each of its queries, one task group per cell and query block."""
@@ -207,10 +207,12 @@ ORACLE = {
 with v as (
   select vec_id, list_transform(embedding, lambda x: cast(floor({SCALE} * cast(x as double)) as bigint)) as v from embeddings
   where vec_id is not null and embedding is not null and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0
+), q as (
+  select vec_id, v from v where vec_id % 100 = 0 qualify row_number() over (partition by vec_id order by v) = 1
 ), s as (
   select q.vec_id as query_id, c.vec_id,
     cast(list_sum(list_transform(range(1, len(q.v) + 1), lambda i: q.v[i] * c.v[i])) as bigint) as score
-  from v q, v c where q.vec_id % 100 = 0 and c.vec_id <> q.vec_id
+  from q, v c where c.vec_id <> q.vec_id
 ), r as (
   select *, row_number() over (partition by query_id order by score desc, vec_id) as rank from s
 )

@@ -57,3 +57,21 @@ def test_far_cells_are_not_visited(spark):
     found = topk.whole_vectors(spark.createDataFrame(rows, SCHEMA))
     got = topk.search(found, found.filter("vec_id % 100 = 0"))
     assert {tuple(r) for r in got.collect()} == brute(rows, topk.K)
+
+
+def test_repeated_query_ids_and_further_columns(spark):
+    """An id asks once, by its least vector; all its rows stay candidates of the others."""
+    rows = vectors(250, 6) + [(0, [3.0] + [0.0] * 7, 0), (100, [-1e3] * 8, 1), (0, [-9.0] + [1.0] * 7, 2)]
+    rows += [rows[200]] * 3 + [rows[7]] * 2
+    frame = spark.createDataFrame(rows, SCHEMA)
+    for name in ("query_id", "v", "pivot", "cell", "rank", "score"):
+        frame = frame.withColumn(name, topk.F.lit("kept"))
+    found = topk.whole_vectors(frame)
+    got = sorted(tuple(r) for r in topk.search(found, found.filter("vec_id % 100 = 0")).collect())
+    ok = [(i, np.floor(1024 * np.array(v, np.float32).astype(np.float64)).astype(np.int64).tolist()) for i, v, _ in rows]
+    expected = []
+    for q in (0, 100, 200):
+        x = min(v for i, v in ok if i == q)
+        best = sorted((-sum(a * b for a, b in zip(x, y)), i) for i, y in ok if i != q)[: topk.K]
+        expected += [(q, r + 1, i, -s) for r, (s, i) in enumerate(best)]
+    assert got == sorted(expected)
