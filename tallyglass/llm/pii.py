@@ -1,9 +1,10 @@
 """Personal data: base patterns, and identifiers that bootstrapped contexts add.
 
-Every text is scanned, and once more where patterns are accepted. Base matches are the seeds; other tokens with the shape of an identifier are
-candidates. The two words before a mention are its pattern. On the graph of patterns and instances Spark
+Every text is scanned, and once more where patterns are accepted. Base matches are the seeds; other tokens with the
+shape of an identifier (5 to 64 characters, three digits) are candidates. The two words before a mention, within 80 characters, are its pattern. On the graph of patterns and instances Spark
 iterates: an instance is as sure as its surest pattern (a seed is sure), a pattern is as sure as the mean of
-the instances it occurs with. Candidates that follow an accepted pattern are reported as ``context`` spans.
+the instances it occurs with. What follows an accepted pattern is a seed for the next step, in all its other contexts,
+until a step accepts no new pattern. Candidates that follow an accepted pattern are reported as ``context`` spans.
 The second scan collects whatever else follows an accepted pattern: the next token of any shape and length, and
 with it the tokens that continue a number. Each of these counts against its pattern; where the seeds and candidates
 still make the pattern sure enough, they are reported too (unless they hold no letter or digit).
@@ -88,7 +89,7 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
     out = [(a, b, 0) for a, b in emails(text)]
     if DIGITS.search(text):
         for m in IP.finditer(text):
-            if all(len(p.lstrip("0")) <= 3 and int(p) <= 255 for p in m.group().split(".")):
+            if all(len(p.lstrip("0")) <= 3 and int(p[-4:]) <= 255 for p in m.group().split(".")):
                 out.append((*m.span(), 1))
         for m in CARD.finditer(text):
             if m.end() - m.start() >= 14:
@@ -269,12 +270,14 @@ def discovered(docs: DataFrame, scanned: DataFrame, trusted: DataFrame) -> DataF
     return found.filter("named").join(sure.select("pattern"), "pattern").select("doc_id", "text_key", "start", "end")
 
 
-def trusted_patterns(scanned: DataFrame, rounds: int = ROUNDS, confidence: float = MIN_CONFIDENCE) -> DataFrame:
-    """Patterns whose confidence after the rounds is high enough, with that confidence."""
+def graph(scanned: DataFrame) -> DataFrame:
+    """Edges of patterns and instances: how often they meet, and whether the instance is a seed."""
     seen = scanned.select(F.explode("mentions").alias("m")).select("m.*").filter(F.col("pattern").isNotNull())
-    edges = seen.groupBy("pattern", "instance").agg(
-        F.count(F.lit(1)).alias("n"), F.max(F.col("kind").isNotNull()).alias("seed")
-    )
+    return seen.groupBy("pattern", "instance").agg(F.count(F.lit(1)).alias("n"), F.max(F.col("kind").isNotNull()).alias("seed"))
+
+
+def scored(edges: DataFrame, rounds: int = ROUNDS, confidence: float = MIN_CONFIDENCE) -> DataFrame:
+    """Patterns with enough seeds whose confidence after the rounds is high enough, with that confidence."""
     strong = edges.groupBy("pattern").agg(F.sum(F.col("seed").cast("int")).alias("seeds")).filter(F.col("seeds") >= MIN_SEEDS)
     edges = materialize(edges.join(strong.select("pattern"), "pattern"), "pii-edges")
     sure = F.when(F.col("seed"), 1.0).otherwise(0.0)
@@ -291,6 +294,30 @@ def trusted_patterns(scanned: DataFrame, rounds: int = ROUNDS, confidence: float
     return patterns.filter(F.col("confidence") >= confidence)
 
 
+def trusted_patterns(scanned: DataFrame, rounds: int = ROUNDS, confidence: float = MIN_CONFIDENCE) -> DataFrame:
+    """One step of the bootstrapping: patterns that the base matches make sure."""
+    return scored(graph(scanned), rounds, confidence)
+
+
+def bootstrapped(scanned: DataFrame) -> DataFrame:
+    """Patterns that base matches, or identifiers found behind patterns already accepted, make sure.
+
+    Each step takes what follows an accepted pattern as a seed for all its other patterns, and scores anew. Accepted
+    patterns stay, with the confidence they came in with; the steps end when none is new.
+    """
+    edges = materialize(graph(scanned), "pii-graph")
+    trusted = materialize(scored(edges), "pii-trusted")
+    held = new = trusted.count()
+    while new:
+        found = edges.join(trusted.select("pattern"), "pattern").select("instance", F.lit(True).alias("found")).distinct()
+        grown = edges.join(found, "instance", "left").withColumn("seed", F.col("seed") | F.col("found").isNotNull()).drop("found")
+        again = scored(grown).join(trusted.select("pattern"), "pattern", "left_anti")
+        trusted = materialize(trusted.unionByName(again), "pii-trusted")
+        new = trusted.count() - held
+        held += new
+    return trusted
+
+
 def _count_of(kind: int) -> Column:
     return F.size(F.filter("base", lambda m: m["kind"] == kind))
 
@@ -306,7 +333,7 @@ def _joined(spans: Column) -> Column:
 def find(docs: DataFrame) -> DataFrame:
     """Per row: counts of the base kinds, digest of the base spans, all spans as text."""
     scanned = materialize(scan(docs), "pii-mentions")
-    trusted = materialize(trusted_patterns(scanned), "pii-trusted")
+    trusted = bootstrapped(scanned)
     loose = (
         scanned.select("doc_id", "text_key", F.explode(F.filter("mentions", lambda m: m["kind"].isNull())).alias("m"))
         .select("doc_id", "text_key", "m.start", "m.end", "m.pattern")

@@ -149,3 +149,23 @@ def test_followers_are_linear_and_touch_no_base_span():
     for text in TEXTS:
         for m in pii.followers(text, bits):
             assert not any(a < m["end"] and m["start"] < b for a, b, _ in pii.base_spans(text))
+
+
+def test_long_runs_of_zeros_are_addresses():
+    assert pii.base_spans("0" * 5000 + "1.1.1.1") == [(0, 5007, 1)]
+    assert pii.base_spans("0" * 5000 + ".0001.255.00256") == [] and pii.base_spans("9" * 5000 + ".1.1.1") == []
+
+
+def test_found_identifiers_make_new_patterns_sure(spark):
+    """Identifiers found behind a seeded context carry over to a second context, and that one finds others."""
+    rows = [(i, f"note {i}: please contact agent user{i}@host.example today", None, None, 0) for i in range(60)]
+    rows += [(100 + i, f"then please contact agent ID-{4000 + i} today", None, None, 0) for i in range(12)]
+    rows += [(200 + i, f"records show badge number ID-{4000 + i} there", None, None, 0) for i in range(12)]
+    rows += [(300 + i, f"records show badge number ID-{7000 + i} there", None, None, 0) for i in range(2)]
+    rows += [(400 + i, f"we sold about roughly {1000 + i} loaves", None, None, 0) for i in range(20)]
+    got = {r.doc_id: r.spans for r in pii.find(frame(spark, rows).repartition(4)).collect()}
+    texts = {r[0]: r[1] for r in rows}
+    for i in (*range(100, 112), *range(200, 212), 300, 301):
+        start = texts[i].index("ID-")
+        assert got[i] == f"context:{start}:{start + 7}", (i, got[i])
+    assert all(got[400 + i] == "" for i in range(20))
