@@ -2,10 +2,11 @@
 
 A suffix automaton of labelled text per language recognises every substring of that text. Parsing a document
 against it takes the longest match again and again; each match is a phrase. The language whose text needs the
-fewest phrases, times the bits of a pointer into that text, per character, is the nearest one.
+fewest phrases, times the bits of a pointer into that text, per character, is the nearest one. A letter that the text
+lacks is a phrase of its own and costs at least the bits of a letter, so that a tiny text is not a cheap one.
 
 The automata are fitted on a bounded sample: ``SAMPLE_CHARS`` characters for each language that occurs as a
-label, from labelled rows in the order of a digest of their id. Each language has its own letter table: every
+label, from labelled rows in the order of a digest of their id, and at most ``SAMPLE_ROWS`` of them. Each language has its own letter table: every
 letter of its sample, and one class for letters it lacks. Transitions are a dense array while all languages' arrays
 together stay within ``DENSE_BYTES`` (narrowest first), else sorted keys; both parse alike. Everything else is done
 for whole texts of all rows: a text is cut into stretches of ``STRETCH`` characters, each parsed from the
@@ -223,9 +224,11 @@ def fit(samples: dict[str, str]) -> dict:
     """Languages, letter classes, and per language its own classes, the steps and the bits of a pointer."""
     import math
 
+    import numpy as np
+
     codes, local = alphabet(samples)
     languages = sorted(samples)
-    steps, bits, room = {}, {}, DENSE_BYTES
+    steps, bits, lacks, room = {}, {}, {}, DENSE_BYTES
     for lang in sorted(languages, key=lambda x: (int(local[x].max()), x)):
         classes = int(local[lang].max()) + 1
         symbols = local[lang][coded(samples[lang], codes)]
@@ -237,12 +240,16 @@ def fit(samples: dict[str, str]) -> dict:
         else:
             steps[lang] = SparseSteps(moves, classes)
         bits[lang] = math.log2(max(2, len(symbols)))
+        lacks[lang] = np.ones(len(local[lang]), bool)
+        lacks[lang][np.isin(local[lang], symbols)] = False
     return {
         "codes": codes,
         "languages": languages,
         "local": [local[x] for x in languages],
         "steps": [steps[x] for x in languages],
         "bits": [bits[x] for x in languages],
+        "lacks": [lacks[x] for x in languages],
+        "letter_bits": math.log2(max(2, int(codes.max()) + 1)),
     }
 
 
@@ -299,7 +306,11 @@ def classify(texts: list[str | None], model: dict) -> tuple[list[str], list[floa
     sizes = np.maximum(1, np.array([len(r) for r in rows]))
     parsed = (phrases(columns, lengths, s, local) for s, local in zip(model["steps"], model["local"]))
     found = np.array([np.bincount(owner, p, len(rows)) for p in parsed])
-    cost = found * np.array(model["bits"])[:, None] / sizes
+    # A letter that a sample lacks is spelled out, so a short sample does not make it cheap.
+    symbols, place = np.concatenate(rows), np.repeat(np.arange(len(rows)), [len(r) for r in rows])
+    spelled = np.array([np.bincount(place, lacks[symbols], len(rows)) for lacks in model["lacks"]])
+    bits = np.array(model["bits"])[:, None]
+    cost = (found * bits + spelled * np.maximum(0.0, model["letter_bits"] - bits)) / sizes
     best = np.argmin(cost, axis=0)
     least = cost[best, np.arange(len(rows))]
     second = np.partition(cost, 1, axis=0)[1] if len(cost) > 1 else np.full(len(rows), np.inf)

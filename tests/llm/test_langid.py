@@ -143,3 +143,22 @@ def test_letters_with_more_bits_have_shorter_phrases():
     han = "".join(chr(0x4E00 + rng.randrange(2000)) for _ in range(20_000))
     least = langid.least_phrases({"zh": han, "en": "the quick brown fox jumps over the lazy dog", "none": "1"})
     assert set(least) == {"zh"} and 0.9 < least["zh"] < 1.2
+
+
+def test_tiny_samples_do_not_win(spark):
+    """A label with a two-letter sample gets none but its own texts."""
+    rng = random.Random(12)
+    rows, truth = [], {}
+    letters = {"la": "abcdefgh", "lb": "fghijklm", "lc": "klmnopqr", "ld": "pqrstuva"}
+    for i in range(240):
+        lang = rng.choice(sorted(letters))
+        text = " ".join("".join(rng.choice(letters[lang]) for _ in range(rng.randrange(2, 9))) for _ in range(60))
+        rows.append((i, text, lang, None, 0))
+        truth[i] = lang
+    tiny = next(i for i in range(1000, 1100) if not is_held_out(i))
+    plain = langid.training_sample(frame(spark, rows))
+    extra = langid.training_sample(frame(spark, [*rows, (tiny, "hi", "xx", None, 0)]))
+    assert extra["xx"] == "hi" and {k: v for k, v in extra.items() if k != "xx"} == plain
+    for samples in (plain, extra):
+        got = {r.doc_id: r.lang_pred for r in langid.identify(frame(spark, rows), samples).collect()}
+        assert sum(got[i] == truth[i] for i in truth if is_held_out(i)) >= 0.97 * sum(map(is_held_out, truth))
