@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from tallyglass import adapters
 from tallyglass.functions.tails import f_upper, student_t_two_sided
-from tallyglass.operators import changepoint, cleaning, drift, ranks
+from tallyglass.operators import changepoint, cleaning, drift, normality, ranks
 from tallyglass.operators.profile import calendar
 from tallyglass.registered.common import CALENDAR, CLEAN, present, r, unpivot_sql
 from tallyglass.schema import NUMERIC_COLUMNS
@@ -44,6 +44,17 @@ def _spread(spark, sf_dir):
     return drift.spread_and_stability(cells, drift.rank_summary(cells))
 
 
+def normality_sw(spark, sf_dir):
+    table = normality.shapiro_wilk(_rows(spark, sf_dir), FEATURES, ["date"])
+    return present(table.select("date", "feature", "n", "w", "note"))
+
+
+def normality_sw_total(spark, sf_dir):
+    """All values of a column as one sample."""
+    table = normality.shapiro_wilk(_rows(spark, sf_dir), FEATURES, [])
+    return present(table.select("feature", "n", "w", "note"))
+
+
 def levene_stat(spark, sf_dir):
     table = _spread(spark, sf_dir).withColumn("levene_p", f_upper("levene", F.lit(1.0), "levene_df"))
     return present(table.select("date", "feature", "levene", "levene_df", "levene_p"))
@@ -109,6 +120,8 @@ QUERIES = {
     f.__name__: f
     for f in [
         normality_jb,
+        normality_sw,
+        normality_sw_total,
         levene_stat,
         ttest_stat,
         mannwhitney_stat,
@@ -252,7 +265,31 @@ _NOTE = """case when jb_p_cur >= 0.05::double and jb_p_ref >= 0.05::double and l
   then 'unequal_variance' else '' end"""
 _KEY = "cast(date as varchar) as date, feature"
 
+
+
+def _shapiro_sql(by: str) -> str:
+    """W from the rank of every row."""
+    part = f"partition by {by}feature"
+    chain = "select * from sw where size >= 3 and varied"
+    for name, text in normality.weight_steps().items():
+        chain = f"select *, {text} as {name} from ({chain})"
+    key = "cast(k.date as varchar) as date, " if by else ""
+    on = f"k.feature = f.feature{' and k.date = f.date' if by else ''}"
+    return f"""with {CLEAN}, long as ({unpivot_sql('cleaned', 'date')}),
+      placed as (select {by}"column" as feature, v from long where v is not null),
+      ranked as (select *, row_number() over ({part} order by v) as i, count(*) over ({part}) as n, avg(v) over ({part}) as mean from placed),
+      off as (select *, v - mean as d, {normality.order_score('i', 'n')} as m from ranked),
+      sw as (select {by}feature, any_value(n) as size, min(v) < max(v) as varied, sum(m * d) as mx, sum(m * m) as mm, sum(d * d) as ss,
+        max(case when i = 1 then d end) as x1, max(case when i = 2 then d end) as x2,
+        max(case when i = n - 1 then d end) as y2, max(case when i = n then d end) as y1 from off group by {by}feature)
+      select {key}k.feature, k.size as n, case when f.fit is not null then {r('least(1.0::double, f.fit * f.fit / f.ss)')} end as w,
+        case when k.size < 3 then 'too_few' when not k.varied then 'constant' when k.size > 5000 then 'beyond_5000' else '' end as note
+      from sw k left join ({chain}) f on {on}"""
+
+
 ORACLE = {
+    "normality_sw": _shapiro_sql("date, "),
+    "normality_sw_total": _shapiro_sql(""),
     "normality_jb": f"""with {CLEAN}, {_MOMENTS} select {_KEY}, n, {r('jb', 4)} as jb, {r('p', 4)} as p_value,
       (p >= 0.05::double)::int::double as normal from jbp""",
     "normality_k2": f"""with {CLEAN}, {_MOMENTS}, {_K2} select {_KEY}, n, {r('k2')} as k2,
