@@ -1,7 +1,8 @@
 """Token ids of whole texts by the tokenizers library, with a memo of text units.
 
-A text is cut at blanks where the tokenizer's own pre-tokenizer is bound to cut too, so the ids of the units,
-joined, are the ids of the text. Units repeat, and the memo spares the library all but the first of each.
+A text is cut at the tokenizer's special strings, as they stand in it, which have an id of their own, and at blanks
+where the tokenizer's own pre-tokenizer is bound to cut too, so the ids of the units, joined, are the ids of the text.
+Units repeat, and the memo spares the library all but the first of each.
 """
 
 from __future__ import annotations
@@ -19,10 +20,27 @@ def load_tokenizer(path: str):
     from tokenizers import Tokenizer
 
     tokenizer = Tokenizer.from_file(path)
-    tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
+    tokenizer.encode_special_tokens = True  # ``Specials`` has cut them out; lower-casing must not make new ones
     return tokenizer
 
 
+class Specials:
+    """The special strings of a tokenizer and their ids; the texts between them are tokenized each by itself."""
+
+    def __init__(self, tokenizer):
+        added = tokenizer.get_added_tokens_decoder()
+        self.ids = {t.content: packed([i]) for i, t in added.items() if t.special}
+        longest_first = sorted(self.ids, key=len, reverse=True)
+        self.mark = re.compile(f"({'|'.join(map(re.escape, longest_first))})") if self.ids else None
+
+    def cut(self, text: str) -> list[str] | None:
+        """Texts and special strings in turn, or None if there is no special string."""
+        return self.mark.split(text) if self.mark and self.mark.search(text) else None
+
+    def join(self, parts: list[str], ids) -> bytes:
+        return b"".join(self.ids[p] if i % 2 else ids(p) for i, p in enumerate(parts) if p)
+
+
 def byte_letters() -> dict[int, str]:
     """The character that stands for each byte in a byte-level vocabulary: printable bytes for themselves,
     the others, in order, for the characters from 256 on."""
@@ -49,6 +67,7 @@ class Memo(dict):
         super().__init__()
         self.tokenizer, self.model, self.prefix, self.lower = tokenizer, tokenizer.model, prefix, lower
         self.letters, self.tails = byte_letters(), {}
+        self.lead = prefix.translate(self.letters)
 
     def encode(self, text: str) -> bytes:
         return packed(self.tokenizer.encode(text, add_special_tokens=False).ids)
@@ -58,6 +77,8 @@ class Memo(dict):
             if max(word) > "\xff":  # may change under normalisation
                 return self.encode(word)
             word = word.lower()
+        if word.isascii():  # letters stand for themselves
+            return packed([t.id for t in self.model.tokenize(self.lead + word)])
         piece = (self.prefix + word).encode().decode("latin-1").translate(self.letters)
         return packed([t.id for t in self.model.tokenize(piece)])
 
@@ -89,17 +110,28 @@ class SpacedUnits:
     """
 
     mixed = re.compile(r"\s[ ]|[ ]\s")
+    breaks = re.compile(r"(?<=\S)\n(?=\S)")
 
     def __init__(self, path: str):
         tokenizer = load_tokenizer(path)
+        self.specials = Specials(tokenizer)
         self.whole, self.first, self.rest = Memo(tokenizer, ""), Memo(tokenizer, ""), Memo(tokenizer, " ")
 
     def ids(self, text: str) -> bytes:
+        parts = self.specials.cut(text)
+        return self._plain(text) if parts is None else self.specials.join(parts, self._plain)
+
+    def _plain(self, text: str) -> bytes:
         out = []
-        for i, line in enumerate(re.split(r"(?<=\S)\n(?=\S)", text)):
+        lines = text.split("\n")
+        if len(lines) > 1 and not all(line and not line[0].isspace() and not line[-1].isspace() for line in lines):
+            lines = self.breaks.split(text)
+        for i, line in enumerate(lines):
             if i:
                 out.append(self.whole["\n"])
-            if line[:1].isspace() or line[-1:].isspace() or self.mixed.search(line):
+            # Without other white space than blanks, only a double blank needs care.
+            mixed = "  " in line if line.isprintable() else self.mixed.search(line)
+            if mixed or line[:1].isspace() or line[-1:].isspace():
                 out.append(self.whole[line])
                 continue
             units = line.split(" ")
@@ -112,9 +144,15 @@ class BareUnits:
     """For tokenizers that drop white space: blanks and line ends only separate."""
 
     def __init__(self, path: str):
-        self.memo = Memo(load_tokenizer(path), "", lower=True)
+        tokenizer = load_tokenizer(path)
+        self.specials = Specials(tokenizer)
+        self.memo = Memo(tokenizer, "", lower=True)
 
     def ids(self, text: str) -> bytes:
+        parts = self.specials.cut(text)
+        return self._plain(text) if parts is None else self.specials.join(parts, self._plain)
+
+    def _plain(self, text: str) -> bytes:
         text = text.replace("\n", " ")
         if text.isascii() or max(text) <= "\xff":
             text = text.lower()  # as the tokenizer does; one memo entry for all spellings

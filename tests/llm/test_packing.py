@@ -14,15 +14,14 @@ BYTE = public_tokenizers.path("byte_bpe_50k.json")
 WORD = public_tokenizers.path("word_bpe_49k.json")
 TRICKY = [
     "", " ", "a", " a", "a ", "a  b", "a\nb", "a \nb", "a\n b", "a\n\nb", "\na\n", "a\t b", "a  b", "a 　b", "it's I'll  don't\n'tis",
-    "x\x1c y\x1d\nz", "é é İstanbul ΑΣ ΣΑΣ.", "漢字 かな\n한글", "<|endoftext|> <|startoftext|>a", "1234 5 67,8.9!! ?? #$%\r\n\r\nend  ", "a b c\u0085 d",
+    "x\x1c y\x1d\nz", "é é İstanbul ΑΣ ΣΑΣ.", "漢字 かな\n한글", "<|endoftext|> <|startoftext|>a", "see <|endoftext|> here",
+    "<|ENDOFTEXT|> <|StartOfText|>", "a\n<|endoftext|><|endoftext|>  b <|startoftext|>\n", " <|endoftext|>", "x<|endoftext|", "K<|endoftext|>İ", "1234 5 67,8.9!! ?? #$%\r\n\r\nend  ", "a b c\u0085 d",
     "\U0001d504 \U0001f600\U0001f600 ok", "word" * 200,
 ]
 
 
 def plain_ids(path, text):
-    tokenizer = Tokenizer.from_file(path)
-    tokenizer.encode_special_tokens = True
-    return tokenizer.encode(text, add_special_tokens=False).ids
+    return Tokenizer.from_file(path).encode(text, add_special_tokens=False).ids
 
 
 def test_units_give_the_ids_of_whole_texts(sf_dir):
@@ -33,7 +32,6 @@ def test_units_give_the_ids_of_whole_texts(sf_dir):
     texts += ["".join(rng.choice("ab'.9 \n\t\r é") for _ in range(rng.randrange(30))) for _ in range(2000)]
     for kind, path in ((SpacedUnits, BYTE), (BareUnits, WORD)):
         tokenizer = Tokenizer.from_file(path)
-        tokenizer.encode_special_tokens = True
         units = kind(path)
         for text in texts:
             got = np.frombuffer(units.ids(text), "<u4").tolist()
