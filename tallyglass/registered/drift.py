@@ -6,13 +6,15 @@ from pyspark.sql import functions as F
 
 from tallyglass import adapters
 from tallyglass.functions.tails import f_upper, student_t_two_sided
-from tallyglass.operators import changepoint, cleaning, drift, normality, ranks
+from tallyglass.operators import changepoint, cleaning, drift, normality, ranks, segmentation
 from tallyglass.operators.profile import calendar
 from tallyglass.registered.common import CALENDAR, CLEAN, present, r, unpivot_sql
 from tallyglass.schema import NUMERIC_COLUMNS
 from tallyglass.workspace import checked_broadcast, materialize
 
 FEATURES = NUMERIC_COLUMNS
+SERIES = ["tx_amount", "customer_id", "terminal_id", "tx_time_seconds"]
+SERIES_PENALTY = 1.0
 CATEGORICAL = ["tx_fraud", "tx_fraud_scenario"]
 
 
@@ -55,6 +57,12 @@ def normality_sw_total(spark, sf_dir):
     return present(table.select("feature", "n", "w", "note"))
 
 
+def changepoints_whole(spark, sf_dir):
+    """Change points of every day's whole series, all rows in the order of their time."""
+    table = segmentation.segment(_rows(spark, sf_dir), SERIES, ["date"], penalty=SERIES_PENALTY)
+    return present(table.select("date", "feature", "position", "tx_datetime", "level"))
+
+
 def levene_stat(spark, sf_dir):
     table = _spread(spark, sf_dir).withColumn("levene_p", f_upper("levene", F.lit(1.0), "levene_df"))
     return present(table.select("date", "feature", "levene", "levene_df", "levene_p"))
@@ -122,6 +130,7 @@ QUERIES = {
         normality_jb,
         normality_sw,
         normality_sw_total,
+        changepoints_whole,
         levene_stat,
         ttest_stat,
         mannwhitney_stat,
@@ -287,7 +296,30 @@ def _shapiro_sql(by: str) -> str:
       from sw k left join ({chain}) f on {on}"""
 
 
+_SERIES = f"""with recursive {CLEAN}, long as (
+        select date, tx_datetime, "column" as feature, v from ({" union all ".join(
+          f"select date, tx_datetime, '{c}' as \"column\", cast({c} as double) as v from cleaned" for c in SERIES)})),
+      stats as (select date, feature, avg(v) as mean, stddev_pop(v) as std, count(*) as size from long group by all having min(v) < max(v)),
+      cells as (select l.date, l.feature, tx_datetime, count(*) as n, sum((v - mean) / std) as s
+        from long l join stats t on t.date = l.date and t.feature = l.feature group by all),
+      series as (select date, feature, tx_datetime,
+          coalesce(sum(n) over w, 0)::bigint as bef, coalesce(sum(s) over w, 0) as sb from cells
+        window w as (partition by date, feature order by tx_datetime rows between unbounded preceding and 1 preceding)),
+      segs as (
+        select date, feature, 0::bigint as a, size as b, 0.0::double as sa, 0.0::double as sz, 0::bigint as lev, null::timestamp as at_time, size from stats
+        union all
+        select date, feature, case when half = 0 then a else bef end, case when half = 0 then bef else b end,
+          case when half = 0 then sa else sb end, case when half = 0 then sb else sz end, lev + 1, case when half = 1 then tx_datetime end, size
+        from (select *, row_number() over (partition by date, feature, a order by gain desc, bef) as place
+              from (select g.*, c.bef, c.sb, c.tx_datetime, round((c.sb - sa) * (c.sb - sa) / (c.bef - a) + (sz - c.sb) * (sz - c.sb) / (b - c.bef)
+                      - (sz - sa) * (sz - sa) / (b - a), 6) as gain
+                    from segs g join series c on c.date = g.date and c.feature = g.feature and c.bef >= a + 2 and c.bef <= b - 2)), (values (0), (1)) h(half)
+        where place = 1 and gain > {SERIES_PENALTY}::double * ln(size::double))"""
+
+
 ORACLE = {
+    "changepoints_whole": f"""{_SERIES} select cast(date as varchar) as date, feature, a as position,
+      strftime(at_time, '%Y-%m-%d %H:%M:%S.%f') as tx_datetime, lev as level from segs where at_time is not null""",
     "normality_sw": _shapiro_sql("date, "),
     "normality_sw_total": _shapiro_sql(""),
     "normality_jb": f"""with {CLEAN}, {_MOMENTS} select {_KEY}, n, {r('jb', 4)} as jb, {r('p', 4)} as p_value,
