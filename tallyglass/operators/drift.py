@@ -276,7 +276,7 @@ def compare_days(
         .join(sides["cur"], [day, "feature"], "left")
         .join(sides["ref"], ["prev_date", "feature"], "left")
     )
-    # Small result: one row per day and column, so the Python tails run on few rows.
+    # Small result: one row per day and column, so the folds of the tails run on few rows.
     wide = (
         wide.withColumn("t_p", student_t_two_sided("t", "t_df"))
         .withColumn("levene_p", f_upper("levene", F.lit(1.0), "levene_df"))
