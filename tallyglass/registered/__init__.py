@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from importlib import import_module
 
-AREAS = ["daily", "retrieval", "quality", "drift", "learning", "streams", "states"]
+AREAS = ["daily", "retrieval", "quality", "drift", "learning", "streams", "states", "files"]
 
 
 def all_queries() -> dict:

@@ -60,7 +60,7 @@ def parsed_times(spark, sf_dir):
 def _keys(spark, sf_dir):
     """Input keys: one per day. Processed keys: days with at least 65 error events (leaves gaps)."""
     events = adapters.read_table(spark, sf_dir, "events")
-    per_day = events.groupBy(F.date_format("ts", "yyyyMMdd").alias("key")).agg(
+    per_day = events.groupBy(backlog.dated_name(F.col("ts")).alias("key")).agg(
         F.count_if(F.col("event_type") == "error").alias("errors"), F.count(F.lit(1)).alias("rows")
     )
     done = per_day.filter("errors * 5 > rows and key < '20240120'").select("key")

@@ -11,6 +11,11 @@ def file_stem(path: Column) -> Column:
     return F.regexp_extract(path, r"([^/]+?)(\.[^./]+)?$", 1)
 
 
+def dated_name(day: Column) -> Column:
+    """The name of a day's input or output: year, month and day in eight digits."""
+    return F.date_format(day, "yyyyMMdd")
+
+
 def after_high_water_mark(inputs: DataFrame, processed: DataFrame, key: str = "key") -> DataFrame:
     """Inputs later than the last processed key; all of them when nothing is processed."""
     mark = processed.agg(F.max(key)).scalar()
