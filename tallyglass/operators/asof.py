@@ -19,6 +19,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tallyglass.workspace import checked_broadcast, materialize
+
 DEFAULT_BUCKET = dt.timedelta(days=30)
 SLICE_ROWS = 10_000_000
 SHORTEST_SLICE = 1_000_000  # microseconds
@@ -176,13 +178,15 @@ def validity_join(
     timestamp: str = "event_timestamp",
     created: str | None = "created",
     slot: dt.timedelta | None = None,
+    slice_rows: int | None = SLICE_ROWS,
 ) -> DataFrame:
     """The same result as a range join on disjoint validity intervals.
 
     Each feature row is valid from its event time until the next row of its key or until it is too
     old, whichever comes first, so a request meets at most one row. Both sides are cut into time
     slots and joined on (key, slot); choose ``slot`` near the feature cadence to keep the candidates
-    of a slot few.
+    of a slot few. A (key, slot) with more than ``slice_rows`` rows of both sides is cut into as many equal
+    sub-slots as it needs, and only the intervals that reach over their edges are repeated; None skips the count.
     """
     kind = requests.schema[timestamp].dataType
     life = ttl // MICROSECOND
@@ -211,7 +215,37 @@ def validity_join(
     )
     at = micros(F.col(timestamp), kind)
     asked = requests.withColumns({"_at": at, "_slot": F.floor(at / size)})
-    on = [asked[k] == valid[k] for k in keys] + [asked["_slot"] == valid["_slot"]]
+    hot = _hot_slots(asked, valid, keys, slice_rows) if slice_rows else None
+    asked, valid = _sub_slots(asked, valid, hot, keys, size)
+    on = [asked[k] == valid[k] for k in keys] + [asked["_slot"] == valid["_slot"], asked["_sub"] == valid["_sub"]]
     on.append(asked["_at"].between(valid["_from"], valid["_to"]))
     joined = asked.join(valid, on, "left")
     return joined.select(*[asked[c] for c in requests.columns], *[valid[c] for c in columns])
+
+
+def _hot_slots(asked: DataFrame, valid: DataFrame, keys: list[str], slice_rows: int) -> DataFrame | None:
+    """(keys, _slot, _parts) of the slots with more than ``slice_rows`` rows; None if there are none."""
+    both = asked.select(*keys, "_slot").unionAll(valid.select(*keys, "_slot"))
+    counts = both.groupBy(*keys, "_slot").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > slice_rows)
+    parts = F.ceil(F.col("n") / F.lit(slice_rows)).cast("bigint").alias("_parts")
+    hot = materialize(counts.select(*keys, "_slot", parts), "hot-slots")
+    return None if hot.isEmpty() else hot
+
+
+def _sub_slots(
+    asked: DataFrame, valid: DataFrame, hot: DataFrame | None, keys: list[str], size: int
+) -> tuple[DataFrame, DataFrame]:
+    """Both sides with ``_sub``: 0, or the part of its hot slot that a time lies in, or an interval reaches."""
+    if hot is None:
+        return asked.withColumn("_sub", F.lit(0).cast("bigint")), valid.withColumn("_sub", F.lit(0).cast("bigint"))
+    known = checked_broadcast(hot, "hot-slots", stored=True)
+    parts, start = F.coalesce("_parts", F.lit(1).cast("bigint")), F.col("_slot") * F.lit(size)
+
+    def part_of(time: Column) -> Column:
+        inside = F.least(F.greatest(time - start, F.lit(0).cast("bigint")), F.lit(size - 1).cast("bigint"))
+        return F.floor(inside / (F.lit(float(size)) / parts)).cast("bigint")
+
+    left = asked.join(known, [*keys, "_slot"], "left").select(*asked.columns, part_of(F.col("_at")).alias("_sub"))
+    reach = F.sequence(part_of(F.col("_from")), part_of(F.col("_to")))
+    right = valid.join(known, [*keys, "_slot"], "left").select(*valid.columns, F.explode(reach).alias("_sub"))
+    return left, right

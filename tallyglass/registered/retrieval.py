@@ -111,12 +111,13 @@ def online_latest(spark, sf_dir):
 
 def feature_catalog(spark, sf_dir):
     """Each view with the number of feature rows behind it."""
-    catalog = _catalog(spark, sf_dir)
+    stats = adapters.driver_stats(spark, sf_dir)
+    catalog = featureviews.driver_catalog(stats, featureviews.with_productivity(stats))
     meta = catalog.describe(spark).groupBy("view", "entity", "join_keys", "ttl_seconds").agg(
         F.concat_ws(",", F.sort_array(F.collect_list("feature"))).alias("features"),
         F.max(F.col("online").cast("int")).alias("online"),
     )
-    rows = adapters.driver_stats(spark, sf_dir).agg(F.count(F.lit(1)).alias("n"))
+    rows = stats.agg(F.count(F.lit(1)).alias("n"))
     return present(meta.withColumn("source_rows", rows.scalar()))
 
 

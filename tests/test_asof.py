@@ -204,3 +204,24 @@ def test_offline_views_are_not_served(spark, catalog):
     asked = spark.createDataFrame([(1001,)], "driver_id int")
     with pytest.raises(ValueError):
         featureviews.FeatureCatalog([hidden]).online(asked, ["driver_quality_metrics:conv_rate"], T0)
+
+
+def test_hot_slots_are_cut_and_the_result_stays(spark):
+    """One key holds most rows, many of them in one slot; sub-slots give the rows of the plain join."""
+    import random
+
+    from tallyglass.operators import asof
+
+    rng = random.Random(6)
+    t0 = dt.datetime(2024, 1, 1)
+    facts = [(1 if rng.random() < 0.7 else rng.randrange(2, 5), t0 + dt.timedelta(seconds=rng.randrange(90_000)), t0, rng.random()) for _ in range(400)]
+    asked = [(i, 1 if rng.random() < 0.7 else rng.randrange(2, 6), t0 + dt.timedelta(seconds=rng.randrange(100_000))) for i in range(500)]
+    asked += [(900 + i, 1, t0 + dt.timedelta(hours=5)) for i in range(60)] + [(990, None, t0)]
+    f = spark.createDataFrame(facts, "k int, event_timestamp timestamp_ntz, created timestamp_ntz, v double")
+    q = spark.createDataFrame(asked, "id int, k int, event_timestamp timestamp_ntz")
+    life, slot = dt.timedelta(hours=2), dt.timedelta(hours=12)
+    plain = asof.validity_join(q, f, ["k"], ["v"], life, slot=slot, slice_rows=None)
+    cut = asof.validity_join(q, f, ["k"], ["v"], life, slot=slot, slice_rows=25)
+    assert sorted(map(repr, map(tuple, cut.collect()))) == sorted(map(repr, map(tuple, plain.collect())))
+    joined = asof.asof_join(q, [asof.FeatureTable(f, {"v": ("v", life)})], ["k"])
+    assert sorted(map(repr, map(tuple, cut.collect()))) == sorted(map(repr, map(tuple, joined.collect())))
