@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from tallyglass import adapters
 from tallyglass.registered import daily, learning, retrieval
 from tallyglass.registered.common import STATS, present
-from tallyglass.sources import featurestore, pushlog
+from tallyglass.sources import featurestore, latesttable, pushlog
 from tallyglass.streaming import jobs, state
 from tallyglass.workspace import materialize, scratch_path
 
@@ -84,6 +84,19 @@ def stream_asof_features(spark, sf_dir):
     return present(table.filter("event_id is not null"), doubles=retrieval.TRIPS)
 
 
+def latest_lookup(spark, sf_dir):
+    """Three loads into the keyed latest-row table, the newest days first; all drivers are looked up, and as many unknown ones."""
+    table = latesttable.LatestTable(spark, scratch_path(spark, "latest-table"), ("driver_id",))
+    stats = materialize(adapters.driver_stats(spark, sf_dir), "stats")
+    age = F.floor((F.dayofmonth("event_timestamp") - 1) / 11)
+    for part in (2, 1, 0):
+        table.load(stats.filter(age == part), f"part-{part}", rows_per_file=200)
+        table.load(stats.filter(age == part), f"part-{part}", rows_per_file=200)  # tried again
+    drivers = adapters.read_table(spark, sf_dir, "events").select(F.col("user_id").alias("driver_id")).distinct()
+    asked = drivers.unionAll(drivers.select(F.col("driver_id") + 10_000_000))
+    return present(table.lookup(asked))
+
+
 def stream_clean_files(spark, sf_dir):
     """Raw text files, one per stretch of days, cleaned one file per micro-batch, in two runs."""
     raw, output, checkpoint = (scratch_path(spark, name) for name in ("raw-files", "clean-files", "clean-files-state"))
@@ -99,7 +112,7 @@ def stream_clean_files(spark, sf_dir):
 
 QUERIES = {
     f.__name__: f
-    for f in [stream_push_history, stream_latest_state, stream_latest_fresh, stream_asof_features, stream_clean_files]
+    for f in [stream_push_history, stream_latest_state, stream_latest_fresh, stream_asof_features, stream_clean_files, latest_lookup]
 }
 
 ORACLE = {
@@ -109,5 +122,6 @@ ORACLE = {
         qualify row_number() over (partition by driver_id order by event_timestamp desc, created desc) = 1)
       where event_timestamp + interval {FRESH} day > (select max(event_timestamp) - interval 1 day from driver_stats)""",
     "stream_asof_features": retrieval.ORACLE["asof_features"],
+    "latest_lookup": retrieval.ORACLE["latest_features"],
     "stream_clean_files": daily.ORACLE["clean_transactions"],
 }
