@@ -19,7 +19,6 @@ from tallyglass.workspace import checked_broadcast, materialize
 MIN_SIZE = 2
 PENALTY = 3.0
 GAIN_DIGITS = 6  # gains that agree so far are ties; the earlier cut wins
-LEVELS_PER_TABLE = 4
 
 
 def ordered_series(df: DataFrame, columns: list[str], by: list[str], time: str, split_above: int = SPLIT_ABOVE) -> DataFrame:
@@ -81,9 +80,8 @@ def segment_series(series: DataFrame, by: list[str], time: str, penalty: float =
         open_ = left.unionByName(right)
         at = checked_broadcast(splits.select(*group, "a", F.col("c.before").alias("_cut")), "cuts", stored=True)
         moved = cells.join(at, [*group, "a"])
-        cells = moved.withColumn("a", F.when(F.col("before") >= F.col("_cut"), F.col("_cut")).otherwise(F.col("a"))).drop("_cut")
-        if level % LEVELS_PER_TABLE == 0:
-            cells = materialize(cells, "open-cells")
+        moved = moved.withColumn("a", F.when(F.col("before") >= F.col("_cut"), F.col("_cut")).otherwise(F.col("a"))).drop("_cut")
+        cells = materialize(moved, "open-cells")
     if not found:
         names = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in series.select(*group).schema)
         kind = series.schema[time].dataType.simpleString()
