@@ -1,13 +1,13 @@
 """Personal data: base patterns, and identifiers that bootstrapped contexts add.
 
-Every text is scanned, and once more where patterns are accepted. Base matches are the seeds; other tokens with the
+Every text is scanned, and once or twice more where patterns are accepted. Base matches are the seeds; other tokens with the
 shape of an identifier (5 to 64 characters, three digits) are candidates. The two words before a mention, within 80 characters, are its pattern. On the graph of patterns and instances Spark
 iterates: an instance is as sure as its surest pattern (a seed is sure), a pattern is as sure as the mean of
 the instances it occurs with. What follows an accepted pattern is a seed for the next step, in all its other contexts,
 until a step accepts no new pattern. Candidates that follow an accepted pattern are reported as ``context`` spans.
 The second scan collects whatever else follows an accepted pattern: the next token of any shape and length, and
 with it the tokens that continue a number. Each of these counts against its pattern; where the seeds and candidates
-still make the pattern sure enough, they are reported too (unless they hold no letter or digit).
+still make the pattern sure enough, a third scan reports them too (unless they hold no letter or digit).
 Rounds work on pattern-instance pairs that are added up before they move; patterns below the support are
 dropped first.
 
@@ -51,6 +51,7 @@ CONTEXT_WORDS = 2
 MIN_SEEDS = 3
 MIN_CONFIDENCE = 0.8
 ROUNDS = 3
+TASK_PATTERNS = 500_000
 SLOT_BITS = 26
 SLOT_CHUNK = 1 << 16
 
@@ -257,17 +258,46 @@ def scan_followers(docs: DataFrame, patterns: DataFrame) -> DataFrame:
     return keyed(docs).mapInArrow(run, schema).join(patterns.select("pattern"), "pattern")
 
 
+def count_followers(docs: DataFrame, patterns: DataFrame) -> DataFrame:
+    """(pattern, other): how often something without the shape of an identifier follows, added up within each task."""
+    shared = docs.sparkSession.sparkContext.broadcast(slots(patterns))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bits, counts = zlib.decompress(shared.value), {}
+
+        def flush() -> pa.RecordBatch:
+            out = pa.RecordBatch.from_arrays([pa.array(list(counts), pa.string()), pa.array(list(counts.values()), pa.int64())], ["pattern", "other"])
+            counts.clear()
+            return out
+
+        for batch in batches:
+            for text in batch.column("text"):
+                for m in followers(text.as_py() or "", bits):
+                    counts[m["pattern"]] = counts.get(m["pattern"], 0) + m["fresh"]
+                if len(counts) > TASK_PATTERNS:
+                    yield flush()
+        yield flush()
+
+    found = docs.select(F.col("text").cast("string")).mapInArrow(run, "pattern string, other bigint")
+    return found.groupBy("pattern").agg(F.sum("other").alias("other")).join(patterns.select("pattern"), "pattern")
+
+
 def discovered(docs: DataFrame, scanned: DataFrame, trusted: DataFrame) -> DataFrame:
-    """Followers of any shape after the patterns that they leave sure enough: (doc_id, text_key, start, end)."""
-    found = materialize(scan_followers(docs, trusted), "pii-followers")
+    """Followers of any shape after the patterns that they leave sure enough: (doc_id, text_key, start, end).
+
+    Patterns are judged on counts first; only what follows those that stay sure is read out, in another scan.
+    """
     seen = scanned.select(F.explode("mentions").alias("m")).select("m.pattern", F.col("m.kind").isNotNull().alias("seed"))
     shaped = seen.groupBy("pattern").agg(
         F.sum(F.col("seed").cast("int")).alias("seeds"), F.sum((~F.col("seed")).cast("int")).alias("shaped")
     )
-    other = found.groupBy("pattern").agg(F.sum(F.col("fresh").cast("int")).alias("other"))
+    other = count_followers(docs, trusted)
     share = (F.col("seeds") + F.col("confidence") * F.col("shaped")) / (F.col("seeds") + F.col("shaped") + F.col("other"))
     sure = trusted.join(shaped, "pattern").join(other, "pattern").filter(share >= MIN_CONFIDENCE)
-    return found.filter("named").join(sure.select("pattern"), "pattern").select("doc_id", "text_key", "start", "end")
+    sure = materialize(sure.select("pattern"), "pii-sure")
+    if sure.isEmpty():
+        return scanned.select("doc_id", "text_key", F.lit(0).cast("bigint").alias("start"), F.lit(0).cast("bigint").alias("end")).limit(0)
+    return scan_followers(docs, sure).filter("named").select("doc_id", "text_key", "start", "end")
 
 
 def graph(scanned: DataFrame) -> DataFrame:
