@@ -2,6 +2,7 @@ import datetime as dt
 import math
 import random
 
+import numpy as np
 import pytest
 
 from tallyglass.operators import segmentation
@@ -59,3 +60,43 @@ def test_no_cut_and_no_rows(spark):
     for rows in (flat, flat[:1], []):
         got = segmentation.segment(spark.createDataFrame(rows, SCHEMA), ["v", "flat"], ["date"], "at")
         assert got.count() == 0 and got.columns == ["date", "feature", "position", "at", "level", "gain"]
+
+
+def test_levels_in_jobs_and_in_tasks_agree(spark):
+    rng, day = random.Random(7), dt.date(2024, 1, 1)
+    points = [(T0 + dt.timedelta(seconds=i), (i % 40) + rng.gauss(0, 0.5)) for i in range(400)]
+    df = spark.createDataFrame([(day, t, v, 1.0) for t, v in points], SCHEMA).repartition(4)
+    found = [segmentation.segment(df, ["v"], ["date"], "at", 1.0, task_cells=n).collect() for n in (1, 150, 1000)]
+    assert len({r.level for r in found[0]}) > 3
+    assert sorted(found[0]) == sorted(found[1]) == sorted(found[2])
+    assert sorted(r.position for r in found[0]) == direct(points, 1.0)
+
+
+def test_jobs_do_not_grow_with_levels(spark):
+    day = dt.date(2024, 1, 1)
+    rows = [(day, T0 + dt.timedelta(seconds=i), 2.0 ** (i // 5), 1.0) for i in range(60)]
+    df = spark.createDataFrame(rows, SCHEMA).repartition(4)
+    context = spark.sparkContext
+    context.setJobGroup("whole-series", "cuts of growing steps")
+    try:
+        found = segmentation.segment(df, ["v"], ["date"], "at", 1e-9).collect()
+    finally:
+        context.setLocalProperty("spark.jobGroup.id", None)
+    assert max(r.level for r in found) >= 8
+    assert len(context.statusTracker().getJobIdsForGroup("whole-series")) < 30
+
+
+@pytest.mark.parametrize("kind", ["steps", "teeth", "flat", "broken"])
+def test_frames_lose_no_cut(kind):
+    rng = np.random.default_rng(3)
+    copies = rng.integers(1, 4, 3000)
+    values = {
+        "steps": np.repeat(rng.normal(0, 3, 30), 100) + rng.normal(0, 1, 3000), "teeth": np.arange(3000) % 50 / 10.0,
+        "flat": np.tile([1.0, -1.0], 1500), "broken": np.where(np.arange(3000) < 2990, 1.0, np.nan),
+    }[kind]
+    values = (values - np.average(values, weights=copies)) * copies
+    before, sums = np.concatenate(([0], np.cumsum(copies)[:-1])), np.concatenate(([0.0], np.cumsum(values)[:-1]))
+    ends = (0, int(copies.sum()), 0.0, 0.0, 8.0, 2)
+    whole = segmentation.Cells(before, sums, 10_000)
+    for block in (2, 16, 64):
+        assert repr(segmentation.cuts_within(segmentation.Cells(before, sums, block), *ends)) == repr(segmentation.cuts_within(whole, *ends))
