@@ -9,7 +9,9 @@ fewer with all others together is dropped, and again, as what is left shares les
 and the sizes bound what two lines can have in common (positional and length filter); what is left is verified
 on whole sets.
 
-Lines with equal words are one class, named by its earliest line, before anything is joined. In each group of
+Lines with equal words are one class, named by its earliest line, before anything is joined. The classes that are left
+take new prefixes by the exact frequency of every token among them: a passage that many lines hold leaves the prefixes
+of lines that have much else, and a class that shares fewer than 75 % of its tokens with all others drops out. In each group of
 classes that share a prefix token all others are first held against the earliest; a class that finds its
 match there is done, so a group of copies costs a row per member. Only the rest meet each other.
 
@@ -103,7 +105,9 @@ def shared_tokens(lines: DataFrame, levels: list[int]) -> DataFrame:
     sets = with_tokens(lines, levels).select("c", "tokens", least_shared(F.size("tokens")).cast("smallint").alias("least"))
     rows = sets.select("c", "least", F.explode(prefix(F.col("tokens"))).alias("token"))
     dealt = rows.repartition("token")
-    several = dealt.groupBy("token").agg(F.min("c").alias("low"), F.max("c").alias("high")).filter("low <> high").select("token")
+    # Both sides read all columns, so that they are one exchange; without one, Spark computes and writes the postings twice.
+    several = dealt.groupBy("token").agg(F.min("c").alias("low"), F.max("c").alias("high"), F.max("least").alias("most"))
+    several = several.filter("low <> high and most is not null").select("token")
     rows = materialize(dealt.join(several.hint("shuffle_hash"), "token").distinct(), "line-postings")
     for _ in range(PRUNING_ROUNDS):
         able = rows.groupBy("c").agg(F.count(F.lit(1)).alias("n"), F.max("least").alias("m")).filter("n >= m").select("c")
@@ -113,6 +117,27 @@ def shared_tokens(lines: DataFrame, levels: list[int]) -> DataFrame:
     return rows.select("token", "c")
 
 
+def shared_places(sets: DataFrame) -> DataFrame:
+    """(token, c, d, first, n, at): prefixes of the given classes by the exact frequency of every token among them.
+
+    Tokens that no other class has come first and need no row; a class that shares fewer than 75 % of its tokens with
+    all others together is like none and drops out, and again, as what is left shares less.
+    """
+    rows = sets.select("c", "d", F.size("tokens").alias("n"), F.explode("tokens").alias("token"))
+    for _ in range(PRUNING_ROUNDS):
+        counts = rows.groupBy("token").agg(F.count(F.lit(1)).alias("k")).filter("k > 1")
+        rows = rows.join(counts, "token")
+        able = rows.groupBy("c", "d", "n").agg(F.sort_array(F.collect_list(F.struct("k", "token"))).alias("held"))
+        able = materialize(able.filter(F.size("held") >= _least_overlap(F.col("n"))), "line-shared")
+        rows = able.select("c", "d", "n", F.explode("held.token").alias("token"))
+    alone = F.col("n") - F.size("held")
+    some = F.slice("held.token", F.lit(1), F.col("n") - _least_overlap(F.col("n")) + 1 - alone)
+    named = able.join(sets.select("c", "d", "first"), ["c", "d"])
+    return named.select("c", "d", "first", "n", alone.alias("alone"), F.posexplode(some).alias("i", "token")).select(
+        "token", "c", "d", "first", "n", (F.col("alone") + F.col("i")).alias("at")
+    )
+
+
 def verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     """Classes whose earlier partner is similar, of candidate pairs (c, e) in order of first lines."""
     later = sets.select("c", "d", F.col("tokens").alias("x"), F.col("first").alias("later"))
@@ -137,9 +162,7 @@ def repeated_lines(docs: DataFrame) -> DataFrame:
     sets = with_tokens(named.select("w", "c", "d").join(active, "c", "left_semi").dropDuplicates(["c", "d"]), levels)
     sets = materialize(sets.select("c", "d", "tokens").join(firsts, ["c", "d"]), "line-sets")
 
-    places = sets.select("c", "d", "first", F.size("tokens").alias("n"), F.posexplode(prefix(F.col("tokens"))).alias("at", "token"))
-    groups = shared.select("token").distinct()
-    members = materialize(places.join(groups, "token"), "line-members")
+    members = materialize(shared_places(sets), "line-members")
     heads = members.groupBy("token").agg(F.min(F.struct("first", "c")).alias("head"))
     led = members.join(heads, "token").filter(F.col("c") != F.col("head.c")).select("c", F.col("head.c").alias("e")).distinct()
     gone = materialize(verified(led, sets), "line-gone")

@@ -118,3 +118,22 @@ def test_levels_put_frequent_tokens_last(spark):
 def test_no_python_on_the_main_path(spark, sf_dir):
     plan = linededup.op8_linededup(spark, sf_dir)._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan and "CartesianProduct" not in plan
+
+
+def test_lines_that_share_a_passage_only_do_not_meet(spark, monkeypatch):
+    """Coarse counters leave the passage in the prefixes; exact frequencies among the classes that are left do not."""
+    counted = []
+    real = linededup.verified
+
+    def watched(pairs, sets):
+        counted.append(pairs.count())
+        return real(pairs, sets)
+
+    monkeypatch.setattr(linededup, "verified", watched)
+    monkeypatch.setattr(linededup, "COUNTERS", 4)
+    rng = random.Random(5)
+    passage, rows = prose(rng, 30), [(900, prose(rng, 30), "en", "s", 0), (901, "", "en", "s", 0)]
+    rows[1] = (901, rows[0][1] + " end", "en", "s", 0)
+    rows += [(i, f"{prose(rng, 11)} {passage} {prose(rng, 11)}", "en", "s", 0) for i in range(200)]
+    got = linededup.dedup_lines(frame(spark, rows)).collect()
+    assert [r.doc_id for r in got if r.n_removed] == [901] and sum(counted) < 1000
