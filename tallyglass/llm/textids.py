@@ -24,6 +24,15 @@ def load_tokenizer(path: str):
     return tokenizer
 
 
+def is_latin(text: str) -> bool:
+    """Whether no character is above U+00FF; the codec looks at them many times as fast as ``max``."""
+    try:
+        text.encode("latin-1")
+    except UnicodeEncodeError:
+        return False
+    return True
+
+
 class Specials:
     """The special strings of a tokenizer and their ids; the texts between them are tokenized each by itself."""
 
@@ -154,7 +163,7 @@ class BareUnits:
 
     def _plain(self, text: str) -> bytes:
         text = text.replace("\n", " ")
-        if text.isascii() or max(text) <= "\xff":
+        if text.isascii() or is_latin(text):
             text = text.lower()  # as the tokenizer does; one memo entry for all spellings
         return b"".join(map(self.memo.__getitem__, text.split(" ")))
 

@@ -7,7 +7,7 @@ import public_tokenizers
 from tokenizers import Tokenizer
 
 from tallyglass.llm import packing, rans
-from tallyglass.llm.textids import BareUnits, SpacedUnits
+from tallyglass.llm.textids import BareUnits, SpacedUnits, is_latin
 from tests.llm.helpers import empty_docs, frame, odd_docs, odd_rows, prose, with_clashes
 
 BYTE = public_tokenizers.path("byte_bpe_50k.json")
@@ -140,3 +140,8 @@ def test_rans_query_equals_plain_ids(spark, tmp_path):
 def test_rans_empty_table(spark, tmp_path):
     empty_docs(spark).write.parquet(str(tmp_path / "documents.parquet"))
     assert rans.op4_rans(spark, str(tmp_path)).count() == 0
+
+
+def test_is_latin_agrees_with_the_largest_character():
+    for text in [t for t in TRICKY if t] + ["\xff", "Ā", "\ud800"]:
+        assert is_latin(text) == (max(text) <= "\xff")
