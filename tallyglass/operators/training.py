@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import random
+import threading
+from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.ml import Pipeline, PipelineModel
@@ -34,6 +36,38 @@ SEARCH_SPACE = {
 TRIALS = 15
 
 
+class Fits:
+    """Models of a grid by place, each fitted in the thread that asks for it; ``end`` is called after the last."""
+
+    def __init__(self, fit: Callable, n: int, end: Callable):
+        self.fit, self.end, self.places, self.open, self.lock = fit, end, iter(range(n)), n, threading.Lock()
+
+    def __iter__(self):
+        return self
+
+    def __next__(self):
+        place = next(self.places)
+        try:
+            return place, self.fit(place)
+        finally:
+            with self.lock:
+                self.open -= 1
+                if not self.open:
+                    self.end()
+
+
+class SharedSteps(Pipeline):
+    """A pipeline of which all but the last stage are fitted, and their rows kept, once for a grid of the last stage's parameters."""
+
+    def fitMultiple(self, dataset, paramMaps):  # noqa: N802, N803 - Spark's names
+        *steps, last = self.getStages()
+        if any(not last.hasParam(p.name) or last.getParam(p.name) != p for point in paramMaps for p in point):
+            return super().fitMultiple(dataset, paramMaps)
+        ready = Pipeline(stages=steps).fit(dataset)
+        rows = ready.transform(dataset).select(*{last.getOrDefault(p) for p in ("featuresCol", "labelCol", "weightCol") if last.isDefined(p)}).persist()
+        return Fits(lambda i: PipelineModel([*ready.stages, last.fit(rows, paramMaps[i])]), len(paramMaps), rows.unpersist)
+
+
 def build_pipeline(
     features: list[str], model_type: str = "rf", weight: str | None = None, label: str = LABEL, **params
 ) -> Pipeline:
@@ -50,7 +84,7 @@ def build_pipeline(
         classifier = LogisticRegression(**shared, **params)
     else:
         raise ValueError("model_type must be rf or lr")
-    return Pipeline(stages=[assembler, scaler, classifier])
+    return SharedSteps(stages=[assembler, scaler, classifier])
 
 
 def parameter_grid(pipeline: Pipeline, grid: dict[str, list] | None = None) -> list[dict]:
@@ -146,23 +180,34 @@ def search(
     """Trials table (trial_id, params, auc, precision, recall, f1, status, loss).
 
     Each trial is a set of Spark jobs submitted from a driver thread; the data never leaves the
-    executors. A failed trial keeps its row, with status and the worst loss.
+    executors. Rows are assembled and scaled once, as that is the same for all trials. A failed trial keeps its row, with status and the worst loss.
     """
     spark = train.sparkSession
     points = trials if trials is not None else draw_trials()
 
+    try:
+        ready = Pipeline(stages=build_pipeline(features, "rf", weight, label).getStages()[:-1]).fit(train)
+        used = ["features", label, *([weight] if weight else [])]
+        kept, broken = [ready.transform(df).select(*{*columns, *used}).persist() for df, columns in ((train, []), (test, [key]))], None
+    except Exception as error:  # noqa: BLE001 - every trial fails by it, below
+        kept, broken = [], error
+
     def run(item: tuple[int, dict]) -> tuple:
         number, point = item
         text = {k: str(v) for k, v in point.items()}
         try:
-            model = build_pipeline(features, "rf", weight, label, **point).fit(train)
-            row = evaluate_model(model, test, "trial", key, weight, label).first()
+            if broken:
+                raise broken
+            model = build_pipeline(features, "rf", weight, label, **point).getStages()[-1].fit(kept[0])
+            row = evaluate_model(model, kept[1], "trial", key, weight, label).first()
             return number, text, row["auc"], row["precision"], row["recall"], row["f1"], "ok"
         except Exception as error:  # noqa: BLE001 - one bad trial must not end the search
             return number, text, None, None, None, None, f"failed: {type(error).__name__}: {str(error)[:500]}"
 
     with ThreadPoolExecutor(max_workers=parallelism) as pool:
         rows = list(pool.map(run, enumerate(points)))
+    for df in kept:
+        df.unpersist()
     schema = (
         "trial_id int, params map<string,string>, auc double, precision double, recall double, f1 double, status string"
     )

@@ -1,11 +1,13 @@
 import datetime as dt
 
 import pytest
+from pyspark.ml.feature import StandardScaler
 from pyspark.sql import functions as F
 
 from tallyglass import adapters
 from tallyglass.operators import cleaning, registry, scaling, scoring, training
 from tallyglass.plans import daily, modelling
+from tallyglass.schema import MODEL_FEATURES
 from tallyglass.sources import sinks, storage, transactions
 from tallyglass.sources.modelstore import ModelStore
 from tallyglass.workspace import checked_broadcast, scratch_root
@@ -205,3 +207,25 @@ def test_missing_value_report(spark, sf_dir):
     raw = adapters.transactions(spark, sf_dir)
     assert {r.column for r in modelling.missing_values(raw).collect()} == set(raw.columns)
     assert scoring.EXPECTED_FRAUD_SHARE == 0.02
+
+
+def test_rows_of_a_few_files_are_spread(spark, monkeypatch):
+    monkeypatch.setattr(modelling, "ROWS_PER_TASK", 50)
+    rows = spark.range(0, 1000, 1, 1).selectExpr("id as transaction_id", "id % 7 = 0 as hit", *[f"cast(id as double) as {c}" for c in MODEL_FEATURES])
+    rows = rows.withColumn("tx_fraud", F.col("hit").cast("int"))
+    train, test = modelling.prepare(rows)
+    assert train.rdd.getNumPartitions() > 2
+    assert train.count() + test.count() == 1000 and train.select("transaction_id").union(test.select("transaction_id")).distinct().count() == 1000
+
+
+def test_scaling_is_fitted_once_for_all_points(spark, monkeypatch):
+    fitted, real = [], StandardScaler._fit
+    monkeypatch.setattr(StandardScaler, "_fit", lambda self, df: fitted.append(1) or real(self, df))
+    rows = spark.range(0, 300, 1, 2).selectExpr("id", "cast(id % 50 as double) as x", "cast(id % 50 > 35 as int) as tx_fraud", "1.0d as weight")
+    pipeline = training.build_pipeline(["x"], "rf", "weight")
+    model = training.cross_validate(rows, pipeline, "id", {"numTrees": [2, 3], "maxDepth": [1, 2]}, weight="weight")
+    assert len(model.avgMetrics) == 4 and min(model.avgMetrics) > 0.9 and len(model.bestModel.stages) == 3
+    assert len(fitted) == 4  # three folds and the last fit
+    fitted.clear()
+    table = training.search(rows, rows, ["x"], "id", "weight", [{"numTrees": 2}, {"numTrees": 3}])
+    assert [r.status for r in table.collect()] == ["ok", "ok"] and len(fitted) == 1
