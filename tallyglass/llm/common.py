@@ -1,8 +1,9 @@
-"""Shared helpers: input tables, files in the shared folder, slices of Arrow batches."""
+"""Shared helpers: input tables, files in the shared folder, slices of Arrow batches, what Python workers keep."""
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import ctypes
+from collections.abc import Callable, Hashable, Iterator
 
 import pyarrow as pa
 from pyarrow import fs
@@ -33,6 +34,35 @@ def read_bytes(path: str, start: int = 0, length: int | None = None) -> bytes:
         return file.read_at(length, start)
 
 
+_kept: dict[Hashable, object] = {}
+
+
+def kept(key: Hashable, make: Callable[[], object]):
+    """What ``make`` gives, once per Python worker. Spark hands workers from stage to stage, so only the last key stays."""
+    if key not in _kept:
+        _kept.clear()
+        _kept[key] = make()
+        release_memory()
+    return _kept[key]
+
+
+def release_memory() -> None:
+    """Give freed memory back to the system; a worker that waits for its next task holds it otherwise."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):  # another C library
+        pass
+
+
+def releasing(rows: Iterator) -> Iterator:
+    """``rows``; memory is released when they end."""
+    try:
+        yield from rows
+    finally:
+        release_memory()
+
+
 def slices(batch: pa.RecordBatch | None, sizes: list[int], most: int = SLICE_CHARS) -> Iterator[tuple[int, int]]:
     """Row ranges of a batch whose sizes add up to at most ``most``, or single rows."""
     first, held = 0, 0

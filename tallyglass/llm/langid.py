@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from tallyglass.llm.common import DOCUMENT_COLUMNS, slices, table
+from tallyglass.llm.common import DOCUMENT_COLUMNS, kept, releasing, slices, table
 from tallyglass.workspace import checked_broadcast
 
 SAMPLE_CHARS = 60_000
@@ -320,9 +320,6 @@ def classify(texts: list[str | None], model: dict) -> tuple[list[str], list[floa
     return names, [float(s) if ok else 0.0 for s, ok in zip(score, letters)], [float(p) if ok else 0.0 for p, ok in zip(phrase, letters)]
 
 
-_models: dict[int, dict] = {}
-
-
 def identify(docs: DataFrame, samples: dict[str, str]) -> DataFrame:
     """``docs`` with ``lang_pred``, ``score`` and ``chars_per_phrase``; the model comes from ``samples``.
 
@@ -336,19 +333,17 @@ def identify(docs: DataFrame, samples: dict[str, str]) -> DataFrame:
     schema = schema.add("lang_pred", "string").add("score", "double").add("chars_per_phrase", "double")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        if key not in _models:
-            _models.clear()
-            _models[key] = fit(shared.value)
+        model = kept(("langid", key), lambda: fit(shared.value))
         for batch in batches:
             texts = batch.column("text").to_pylist()
             for a, b in slices(batch, [len(t or "") for t in texts], SLICE):
-                names, scores, lengths = classify(texts[a:b], _models[key])
+                names, scores, lengths = classify(texts[a:b], model)
                 yield pa.RecordBatch.from_arrays(
                     [*batch.slice(a, b - a).columns, pa.array(names), pa.array(scores, pa.float64()), pa.array(lengths, pa.float64())],
                     [*batch.schema.names, "lang_pred", "score", "chars_per_phrase"],
                 )
 
-    return docs.mapInArrow(run, schema)
+    return docs.mapInArrow(lambda batches: releasing(run(batches)), schema)
 
 
 def least_phrases(samples: dict[str, str]) -> dict[str, float]:

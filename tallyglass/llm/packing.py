@@ -24,12 +24,13 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyglass.llm.common import slices, table
+from tallyglass.llm.common import releasing, table
 from tallyglass.llm.textids import SpacedUnits, units_of
 
 WINDOW = 1024
 END_ID = 0
 FLUSH_PIECES = 4096
+FLUSH_IDS = 1_000_000
 SCHEMA = "doc_id bigint, start bigint, length bigint, ids binary, doc_tokens bigint, sequence_id bigint, offset bigint"
 
 
@@ -106,18 +107,26 @@ def pack_split(batches: Iterator[pa.RecordBatch], tokenizer: str, end_id: int, w
     levels = LevelArray(window, TaskContext.get().partitionId() << 40)
     end = np.array([end_id], "<u4").tobytes()
     rows: list[tuple] = []
+    held = 0
 
     def emit(window_id: int, pieces: list) -> None:
+        nonlocal held
         offset = 0
         for doc, start, length, ids, total in pieces:
             rows.append((doc, start, length, ids, total, window_id, offset))
             offset += length
+        held += offset
+
+    def full_batch() -> bool:
+        return len(rows) >= FLUSH_PIECES or held >= FLUSH_IDS
 
     def flush() -> pa.RecordBatch:
+        nonlocal held
         types = [pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.int64(), pa.int64(), pa.int64()]
         names = ["doc_id", "start", "length", "ids", "doc_tokens", "sequence_id", "offset"]
         batch = pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), types)], names)
         rows.clear()
+        held = 0
         return batch
 
     for batch in batches:
@@ -130,11 +139,11 @@ def pack_split(batches: Iterator[pa.RecordBatch], tokenizer: str, end_id: int, w
                 start += window
             if start < total and (full := levels.place((doc, start, total - start, ids[4 * start :], total), total - start)):
                 emit(*full)
-            if len(rows) >= FLUSH_PIECES:
+            if full_batch():
                 yield flush()
     for window_id, pieces in levels.drain():
         emit(window_id, pieces)
-        if len(rows) >= FLUSH_PIECES:
+        if full_batch():
             yield flush()
     if rows:
         yield flush()
@@ -145,7 +154,7 @@ def pack(docs: DataFrame, tokenizer: str | None = None, end_id: int = END_ID, wi
     path = tokenizer or public_tokenizers.path("byte_bpe_50k.json")
 
     def run(batches):
-        yield from pack_split(batches, path, end_id, window)
+        yield from releasing(pack_split(batches, path, end_id, window))
 
     return docs.select(F.col("doc_id").cast("bigint"), F.col("text").cast("string")).mapInArrow(run, SCHEMA)
 

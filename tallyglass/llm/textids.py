@@ -11,7 +11,9 @@ import re
 import sys
 from array import array
 
-MEMO_UNITS = 800_000
+from tallyglass.llm.common import kept
+
+MEMO_UNITS = 500_000
 MEMO_CHARS = 64
 PUNCTUATION = ".,;:!?"
 
@@ -66,7 +68,10 @@ def packed(ids: list[int]) -> bytes:
 
 
 class Memo(dict):
-    """Unit -> ids as little-endian unsigned 32-bit numbers. Emptied when full; long units are not kept.
+    """Unit -> ids as little-endian unsigned 32-bit numbers. Long units are not kept.
+
+    Half of ``MEMO_UNITS`` are the recent ones; when these are full, they replace the older half, from which a unit
+    that is asked for again comes back.
 
     A word of letters with some points behind it is two pre-tokens in both kinds of vocabulary. The library's
     model takes such a word at once; all else goes through the whole tokenizer.
@@ -75,7 +80,7 @@ class Memo(dict):
     def __init__(self, tokenizer, prefix: str, lower: bool = False):
         super().__init__()
         self.tokenizer, self.model, self.prefix, self.lower = tokenizer, tokenizer.model, prefix, lower
-        self.letters, self.tails = byte_letters(), {}
+        self.letters, self.tails, self.older = byte_letters(), {}, {}
         self.lead = prefix.translate(self.letters)
 
     def encode(self, text: str) -> bytes:
@@ -92,6 +97,17 @@ class Memo(dict):
         return packed([t.id for t in self.model.tokenize(piece)])
 
     def __missing__(self, unit: str) -> bytes:
+        out = self.older.get(unit)
+        if out is None:
+            out = self.computed(unit)
+        if len(unit) <= MEMO_CHARS:
+            if len(self) >= MEMO_UNITS // 2:
+                self.older = dict(self)
+                self.clear()
+            self[unit] = out
+        return out
+
+    def computed(self, unit: str) -> bytes:
         word = unit.rstrip(PUNCTUATION)
         if len(word) < len(unit) and word.isalpha():
             tail = unit[len(word) :]
@@ -99,16 +115,8 @@ class Memo(dict):
                 if len(self.tails) > 10_000:
                     self.tails.clear()
                 self.tails[tail] = self.encode(tail)
-            out = self[word] + self.tails[tail]
-        elif word.isalpha():
-            out = self.word(word)
-        else:
-            out = self.encode(self.prefix + unit)
-        if len(unit) <= MEMO_CHARS:
-            if len(self) >= MEMO_UNITS:
-                self.clear()
-            self[unit] = out
-        return out
+            return self[word] + self.tails[tail]
+        return self.word(word) if word.isalpha() else self.encode(self.prefix + unit)
 
 
 class SpacedUnits:
@@ -168,12 +176,6 @@ class BareUnits:
         return b"".join(map(self.memo.__getitem__, text.split(" ")))
 
 
-_kept: dict[tuple[str, str], object] = {}
-
-
 def units_of(kind: type, path: str):
     """One tokenizer and memo per Python worker."""
-    key = (kind.__name__, path)
-    if key not in _kept:
-        _kept[key] = kind(path)
-    return _kept[key]
+    return kept((kind.__name__, path), lambda: kind(path))

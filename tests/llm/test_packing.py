@@ -145,3 +145,44 @@ def test_rans_empty_table(spark, tmp_path):
 def test_is_latin_agrees_with_the_largest_character():
     for text in [t for t in TRICKY if t] + ["\xff", "Ā", "\ud800"]:
         assert is_latin(text) == (max(text) <= "\xff")
+
+
+def test_memo_is_bounded_and_keeps_ids(monkeypatch):
+    from tallyglass.llm import textids
+
+    monkeypatch.setattr(textids, "MEMO_UNITS", 8)
+    rng = random.Random(3)
+    units = SpacedUnits(BYTE)
+    for _ in range(50):
+        text = prose(rng, 30) + ". end, A-1"
+        assert np.frombuffer(units.ids(text), "<u4").tolist() == plain_ids(BYTE, text)
+        for memo in (units.whole, units.first, units.rest):
+            assert len(memo) <= 4 and len(memo.older) <= 4
+
+
+def test_a_worker_keeps_the_last_stage_only():
+    from tallyglass.llm.common import kept
+
+    made = []
+    for key in ("a", "a", "b", "a"):
+        assert kept(key, lambda key=key: made.append(key) or key) == key
+    assert made == ["a", "b", "a"]
+
+
+def test_batches_of_pieces_are_small(monkeypatch):
+    rng = random.Random(5)
+    monkeypatch.setattr(packing, "FLUSH_IDS", 2048)
+    monkeypatch.setattr(packing, "TaskContext", type("Here", (), {"get": staticmethod(lambda: _First)}))
+    import pyarrow as pa
+
+    rows = [(i, prose(rng, 400)) for i in range(60)]
+    batch = pa.RecordBatch.from_arrays([pa.array(x) for x in zip(*rows)], ["doc_id", "text"])
+    got = list(packing.pack_split(iter([batch]), BYTE, 0, 1024))
+    lengths = [sum(b.column("length").to_pylist()) for b in got]
+    assert max(lengths) <= 2048 + 1024 and sum(lengths) == sum(len(plain_ids(BYTE, t)) + 1 for _, t in rows)
+
+
+class _First:
+    @staticmethod
+    def partitionId():
+        return 0
