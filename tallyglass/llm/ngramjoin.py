@@ -4,8 +4,10 @@ Documents are sets of 5-word shingles; two link when 100 * intersection >= 75 *
 sets are one class, named by its least id. Classes that can link share a shingle among the rarest quarter of
 each set; a fixed array of counters, added up over all documents, orders shingles by rarity. With prefixes
 longer by a tenth of the set, two sets that link share about a tenth of their size within their prefixes: a
-class that shares fewer with all others together is dropped, and again, as what is left shares less. Classes
-that still share a shingle, directly or through others, form a pool; every link lies within one. Members of
+class that shares fewer with all others together is dropped, and again, as what is left shares less. Two classes
+that link share so much of what is left of their prefixes that they also share a shingle among the first of it in order
+of exact frequency; a frequent passage stands last there and connects nothing. Classes that share one of those shingles,
+directly or through others, form a pool; every link lies within one. Members of
 pools that are too large for one task are pooled again with the exact frequency of every shingle among them;
 a class of which less than 75 % of the shingles occur in another class links with nothing and drops out.
 
@@ -269,9 +271,27 @@ def pools(posted: DataFrame) -> DataFrame:
         rows = rows.join(several, "token")
         able = rows.groupBy("c").agg(F.count(F.lit(1)).alias("n"), F.first("least").alias("m")).filter("n >= m").select("c")
         rows = materialize(rows.join(able, "c"), "ngram-postings")
+    return star_components(hub_edges(rarest_shared(rows)), "ngram-pools").withColumnRenamed("vertex", "c")
+
+
+def rarest_shared(rows: DataFrame) -> DataFrame:
+    """(token, c): of the k tokens that a class shares, of which it needs m, the k - m + 1 that fewest classes have.
+
+    Two linked classes have at least the larger m in common; the first of these in the order lies that early in both.
+    """
+    counts = rows.groupBy("token").agg(F.count(F.lit(1)).alias("classes"))
+    held = rows.join(counts, "token").groupBy("c").agg(
+        F.sort_array(F.collect_list(F.struct("classes", "token"))).alias("held"), F.first("least").alias("m")
+    )
+    first = F.slice("held.token", F.lit(1), F.greatest(F.lit(0), F.size("held") - F.col("m") + 1))
+    return held.select("c", F.explode(first).alias("token"))
+
+
+def hub_edges(rows: DataFrame) -> DataFrame:
+    """Edges from the classes of each token to its least class."""
+    rows = materialize(rows.select("token", "c"), "ngram-prefix")
     hubs = rows.groupBy("token").agg(F.min("c").alias("hub"))
-    edges = rows.join(hubs, "token").select(F.col("c").alias("a"), F.col("hub").alias("b")).filter("a <> b")
-    return star_components(edges, "ngram-pools").withColumnRenamed("vertex", "c")
+    return rows.join(hubs, "token").select(F.col("c").alias("a"), F.col("hub").alias("b")).filter("a <> b")
 
 
 def pools_again(texts: DataFrame) -> DataFrame:
@@ -299,10 +319,7 @@ def pools_again(texts: DataFrame) -> DataFrame:
     order = Window.partitionBy("c").orderBy("classes", "token")
     ranked = counted.join(able, "c").withColumn("place", F.row_number().over(order) + F.col("size") - F.col("common"))
     prefix = ranked.filter(F.col("place") <= F.col("size") - F.floor((3 * F.col("size") + 3) / 4) + 1)
-    prefix = materialize(prefix.select("token", "c"), "ngram-prefix")
-    hubs = prefix.groupBy("token").agg(F.min("c").alias("hub"))
-    edges = prefix.join(hubs, "token").select(F.col("c").alias("a"), F.col("hub").alias("b")).filter("a <> b")
-    return star_components(edges, "ngram-pools").withColumnRenamed("vertex", "c")
+    return star_components(hub_edges(prefix), "ngram-pools").withColumnRenamed("vertex", "c")
 
 
 class Node:

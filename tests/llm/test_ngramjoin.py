@@ -168,3 +168,12 @@ def test_one_row_of_each_group_stays(spark):
     # Null ids: one of a group stays, and none beside an id.
     rows = [(None, text, "en", "s", 0)] * 3 + [(None, others[0], "en", "s", 0), (9, others[0], "en", "s", 0), (None, None, "en", "s", 0)]
     assert kept(rows) == sorted([(None, text), (9, others[0]), (None, None)], key=str)
+
+
+def test_a_shared_passage_connects_no_pools(spark):
+    """Pairs that share much of their own are pools; three shingles that all classes hold connect nothing."""
+    rows = [(100 * (c // 2) + i, c, False, 4) for c in range(40) for i in range(10)]
+    rows += [(-1 - i, c, True, 4) for c in range(40) for i in range(3)]
+    posted = spark.createDataFrame(rows, "token bigint, c bigint, frequent boolean, least int")
+    found = ngramjoin.pools(posted).collect()
+    assert {(r.c, r.root) for r in found} == {(c, c - c % 2) for c in range(40)}
