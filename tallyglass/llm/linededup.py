@@ -50,11 +50,25 @@ def keyed(docs: DataFrame) -> DataFrame:
 
 def lines_of(docs: DataFrame) -> DataFrame:
     """All lines with words: row keys, place in the text, and word hashes."""
+    return with_words(plain_lines(docs)).select(DOC, KEY, "pos", "w")
+
+
+def plain_lines(docs: DataFrame) -> DataFrame:
+    """All lines with words: row keys, place in the text, and the line in lower case with one blank between words."""
     rows = keyed(docs).select(DOC, KEY, F.posexplode(F.split("text", "\n")).alias("pos", "line"))
-    odd = [F.col("line").contains(c) for c in ODD_BLANKS]
-    plain = F.when(odd[0] | odd[1] | odd[2] | odd[3], F.translate("line", ODD_BLANKS, " " * len(ODD_BLANKS))).otherwise(F.col("line"))
-    words = rows.select(DOC, KEY, "pos", F.array_remove(F.split(F.lower(plain), " "), "").alias("words")).filter(F.size("words") > 0)
-    return words.select(DOC, KEY, "pos", F.transform("words", lambda x: F.xxhash64(x)).alias("w"))
+    # Looks at the ends of a line only; a filter by the number of words makes Spark split every line twice.
+    rows = rows.filter(F.btrim("line", F.lit(" " + ODD_BLANKS)) != "")
+    line = F.col("line")
+    odd = [line.contains(c) for c in ODD_BLANKS]
+    plain = F.when(odd[0] | odd[1] | odd[2] | odd[3], F.translate("line", ODD_BLANKS, " " * len(ODD_BLANKS))).otherwise(line)
+    rows = rows.select(DOC, KEY, "pos", F.lower(plain).alias("line"))
+    loose = line.contains("  ") | line.startswith(" ") | line.endswith(" ")
+    single = F.when(loose, F.regexp_replace(F.btrim("line"), " +", " ")).otherwise(line)
+    return rows.select(DOC, KEY, "pos", single.alias("line"))
+
+
+def with_words(lines: DataFrame) -> DataFrame:
+    return lines.withColumn("w", F.transform(F.split("line", " "), lambda x: F.xxhash64(x)))
 
 
 def rarity_levels(lines: DataFrame) -> list[int]:
@@ -150,16 +164,17 @@ def verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
 
 def repeated_lines(docs: DataFrame) -> DataFrame:
     """Row keys and places of the lines to remove."""
-    lines = lines_of(docs)
-    levels = rarity_levels(lines)
-    named = lines.withColumns({"c": F.xxhash64("w"), "d": F.hash("w")})
+    levels = rarity_levels(lines_of(docs))
+    # A class is its line as text, so that words are split only where sets are made.
+    named = plain_lines(docs).withColumns({"c": F.xxhash64("line"), "d": F.hash("line")})
     stored = materialize(named.select(DOC, KEY, "pos", "c", "d"), "line-classes")
     place = F.struct(DOC, KEY, "pos")
     firsts = materialize(stored.groupBy("c", "d").agg(F.min(place).alias("first")), "line-firsts")
 
-    shared = shared_tokens(named.select("w", "c"), levels)
+    shared = shared_tokens(with_words(named).select("w", "c"), levels)
     active = checked_broadcast(shared.select("c").distinct(), "line-active", MAX_BROADCAST_KEYS)
-    sets = with_tokens(named.select("w", "c", "d").join(active, "c", "left_semi").dropDuplicates(["c", "d"]), levels)
+    some = named.select("line", "c", "d").join(active, "c", "left_semi").dropDuplicates(["c", "d"])
+    sets = with_tokens(with_words(some), levels)
     sets = materialize(sets.select("c", "d", "tokens").join(firsts, ["c", "d"]), "line-sets")
 
     members = materialize(shared_places(sets), "line-members")

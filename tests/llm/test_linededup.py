@@ -137,3 +137,16 @@ def test_lines_that_share_a_passage_only_do_not_meet(spark, monkeypatch):
     rows += [(i, f"{prose(rng, 11)} {passage} {prose(rng, 11)}", "en", "s", 0) for i in range(200)]
     got = linededup.dedup_lines(frame(spark, rows)).collect()
     assert [r.doc_id for r in got if r.n_removed] == [901] and sum(counted) < 1000
+
+
+def test_classes_need_no_words(spark, monkeypatch):
+    """Every line is split into words where levels and prefixes are made; classes come from the lines as texts."""
+    split = []
+    real = linededup.with_words
+    monkeypatch.setattr(linededup, "with_words", lambda lines: split.append(set(lines.columns)) or real(lines))
+    rows = [(1, "One  two\tthree\n\x0b ", "en", "s", 0), (2, " one two THREE ", "en", "s", 0), (3, "one two three four", "en", "s", 0)]
+    got = {r.doc_id: (r.text, r.n_removed) for r in linededup.dedup_lines(frame(spark, rows)).collect()}
+    assert got == {1: ("One  two\tthree\n\x0b ", 0), 2: ("", 1), 3: ("one two three four", 0)}
+    assert len(split) == 3 and [("c" in s) for s in split] == [False, True, True]
+    plan = linededup.lines_of(frame(spark, rows))._jdf.queryExecution().executedPlan().toString()
+    assert "size(array_remove" not in plan  # a filter by it splits every line once more
