@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import ctypes
+import re
 from collections.abc import Callable, Hashable, Iterator
 
 import pyarrow as pa
@@ -10,6 +11,8 @@ from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession
 
 SLICE_CHARS = 4_000_000
+BATCH_BYTES = 4 << 20
+BATCH_SETTING = "spark.sql.execution.arrow.maxBytesPerBatch"
 DOCUMENT_COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
 
@@ -17,6 +20,15 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def bounded_batches(spark: SparkSession) -> None:
+    """Arrow batches of 4 MB, or one row, at most in this session. Spark's 64 MB are held by each task several times:
+    in buffers beside the JVM's heap, which double as they grow, and in the Python worker."""
+    digits, unit = re.match(r"(-?\d+)([kmgtp]?)", spark.conf.get(BATCH_SETTING).strip().lower()).groups()
+    now = int(digits) << 10 * (" kmgtp".index(unit) if unit else 0)
+    if not 0 < now <= BATCH_BYTES:
+        spark.conf.set(BATCH_SETTING, str(BATCH_BYTES))
+
+
 def filesystem(path: str) -> tuple[fs.FileSystem, str]:
     """File system and plain path of a shared path; any scheme that pyarrow knows, or a mounted folder."""
     if path.startswith("file:"):

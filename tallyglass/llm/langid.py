@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from tallyglass.llm.common import DOCUMENT_COLUMNS, kept, releasing, slices, table
+from tallyglass.llm.common import DOCUMENT_COLUMNS, bounded_batches, kept, releasing, slices, table
 from tallyglass.workspace import checked_broadcast
 
 SAMPLE_CHARS = 60_000
@@ -325,6 +325,7 @@ def identify(docs: DataFrame, samples: dict[str, str]) -> DataFrame:
 
     Only the samples are broadcast (their size is bounded per language); each Python worker builds the automata once.
     """
+    bounded_batches(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(samples)
     key = hash(tuple(sorted(samples.items())))
     added = [n for n in ("lang_pred", "score", "chars_per_phrase") if n in docs.columns]

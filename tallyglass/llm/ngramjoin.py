@@ -39,7 +39,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tallyglass.llm.common import slices, table
+from tallyglass.llm.common import bounded_batches, slices, table
 from tallyglass.llm.components import star_components
 from tallyglass.workspace import checked_broadcast, materialize
 
@@ -177,6 +177,7 @@ def text_slices(batch: pa.RecordBatch) -> Iterator[tuple[int, int, list]]:
 
 def scan(docs: DataFrame) -> DataFrame:
     """A row per document (size and digest of its set), and per task the counters of all shingles in chunks."""
+    bounded_batches(docs.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counters = np.zeros(1 << COUNTER_BITS, np.uint32)

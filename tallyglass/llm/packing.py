@@ -7,7 +7,7 @@ their pieces refill windows, cut where needed, and the last remainder is laid ou
 a power of two, which need no padding.
 
 Every task packs the documents of its input split and no row moves. Memory is one array of 1024 counts, the
-pieces of open windows and one slice of texts. A task that runs again reads the same split and so gives the
+pieces of open windows and one batch of texts of 4 MB. A task that runs again reads the same split and so gives the
 same windows.
 
 Null texts count as empty and give the end id alone. Rows that repeat a document id are packed like any
@@ -24,7 +24,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyglass.llm.common import releasing, table
+from tallyglass.llm.common import bounded_batches, releasing, table
 from tallyglass.llm.textids import SpacedUnits, units_of
 
 WINDOW = 1024
@@ -151,6 +151,7 @@ def pack_split(batches: Iterator[pa.RecordBatch], tokenizer: str, end_id: int, w
 
 def pack(docs: DataFrame, tokenizer: str | None = None, end_id: int = END_ID, window: int = WINDOW) -> DataFrame:
     """Pieces with their ids (little-endian unsigned 32-bit numbers), window and place in the window."""
+    bounded_batches(docs.sparkSession)
     path = tokenizer or public_tokenizers.path("byte_bpe_50k.json")
 
     def run(batches):

@@ -14,6 +14,7 @@ from array import array
 from tallyglass.llm.common import kept
 
 MEMO_UNITS = 500_000
+LINE_UNITS = 50_000
 MEMO_CHARS = 64
 PUNCTUATION = ".,;:!?"
 
@@ -70,16 +71,17 @@ def packed(ids: list[int]) -> bytes:
 class Memo(dict):
     """Unit -> ids as little-endian unsigned 32-bit numbers. Long units are not kept.
 
-    Half of ``MEMO_UNITS`` are the recent ones; when these are full, they replace the older half, from which a unit
-    that is asked for again comes back.
+    Half of ``most`` (``MEMO_UNITS``) are the recent ones; when these are full, they replace the older half, from which
+    a unit that is asked for again comes back.
 
     A word of letters with some points behind it is two pre-tokens in both kinds of vocabulary. The library's
     model takes such a word at once; all else goes through the whole tokenizer.
     """
 
-    def __init__(self, tokenizer, prefix: str, lower: bool = False):
+    def __init__(self, tokenizer, prefix: str, lower: bool = False, most: int | None = None):
         super().__init__()
         self.tokenizer, self.model, self.prefix, self.lower = tokenizer, tokenizer.model, prefix, lower
+        self.most = most or MEMO_UNITS
         self.letters, self.tails, self.older = byte_letters(), {}, {}
         self.lead = prefix.translate(self.letters)
 
@@ -101,7 +103,7 @@ class Memo(dict):
         if out is None:
             out = self.computed(unit)
         if len(unit) <= MEMO_CHARS:
-            if len(self) >= MEMO_UNITS // 2:
+            if len(self) >= self.most // 2:
                 self.older = dict(self)
                 self.clear()
             self[unit] = out
@@ -132,7 +134,9 @@ class SpacedUnits:
     def __init__(self, path: str):
         tokenizer = load_tokenizer(path)
         self.specials = Specials(tokenizer)
-        self.whole, self.first, self.rest = Memo(tokenizer, ""), Memo(tokenizer, ""), Memo(tokenizer, " ")
+        # Whole lines and the first units of lines are few among all units.
+        few = min(LINE_UNITS, MEMO_UNITS)
+        self.whole, self.first, self.rest = Memo(tokenizer, "", most=few), Memo(tokenizer, "", most=few), Memo(tokenizer, " ")
 
     def ids(self, text: str) -> bytes:
         parts = self.specials.cut(text)

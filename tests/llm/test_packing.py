@@ -186,3 +186,35 @@ class _First:
     @staticmethod
     def partitionId():
         return 0
+
+
+def test_batches_of_texts_are_small(spark):
+    """Long texts reach the Python workers a few megabytes at a time, and not ten thousand at once."""
+    from pyspark.sql import functions as F
+
+    from tallyglass.llm import langid, ngramjoin
+    from tallyglass.llm.common import BATCH_BYTES, BATCH_SETTING
+
+    def largest(batches):
+        import pyarrow as pa
+
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([batch.nbytes])], ["size"])
+
+    docs = spark.range(0, 400, 1, 1).select(F.col("id").alias("doc_id"), F.repeat(F.lit("word "), 10_000).alias("text"))
+    for operator in (packing.pack, ngramjoin.scan, lambda rows: langid.identify(rows, {"en": "some words of it"})):
+        spark.conf.set(BATCH_SETTING, "64m")
+        operator(docs)
+        assert docs.mapInArrow(largest, "size bigint").agg(F.max("size")).first()[0] <= BATCH_BYTES + 200_000
+    spark.conf.set(BATCH_SETTING, "1m")
+    packing.pack(docs)
+    assert spark.conf.get(BATCH_SETTING).startswith(("1m", str(1 << 20)))
+
+
+def test_memos_of_lines_are_small():
+    units = SpacedUnits(BYTE)
+    assert units.first.most < units.rest.most and units.whole.most < units.rest.most
+    units.first.most = 8
+    texts = [f"Word{i} and more\nLine{i} too" for i in range(50)] * 2
+    assert [np.frombuffer(units.ids(t), "<u4").tolist() for t in texts] == [plain_ids(BYTE, t) for t in texts]
+    assert len(units.first) + len(units.first.older) <= 8
