@@ -55,13 +55,14 @@ def lines_of(docs: DataFrame) -> DataFrame:
 
 def plain_lines(docs: DataFrame) -> DataFrame:
     """All lines with words: row keys, place in the text, and the line in lower case with one blank between words."""
-    rows = keyed(docs).select(DOC, KEY, F.posexplode(F.split("text", "\n")).alias("pos", "line"))
+    # Once a text, not once a line: neither step makes or moves a line end, and a final sigma ends at one as at the end.
+    text = F.col("text")
+    odd = [text.contains(c) for c in ODD_BLANKS]
+    plain = F.when(odd[0] | odd[1] | odd[2] | odd[3], F.translate("text", ODD_BLANKS, " " * len(ODD_BLANKS))).otherwise(text)
+    rows = keyed(docs).select(DOC, KEY, F.posexplode(F.split(F.lower(plain), "\n")).alias("pos", "line"))
     # Looks at the ends of a line only; a filter by the number of words makes Spark split every line twice.
-    rows = rows.filter(F.btrim("line", F.lit(" " + ODD_BLANKS)) != "")
+    rows = rows.filter(F.btrim("line") != "")
     line = F.col("line")
-    odd = [line.contains(c) for c in ODD_BLANKS]
-    plain = F.when(odd[0] | odd[1] | odd[2] | odd[3], F.translate("line", ODD_BLANKS, " " * len(ODD_BLANKS))).otherwise(line)
-    rows = rows.select(DOC, KEY, "pos", F.lower(plain).alias("line"))
     loose = line.contains("  ") | line.startswith(" ") | line.endswith(" ")
     single = F.when(loose, F.regexp_replace(F.btrim("line"), " +", " ")).otherwise(line)
     return rows.select(DOC, KEY, "pos", single.alias("line"))
@@ -114,6 +115,11 @@ def least_shared(n: Column) -> Column:
     return F.floor(_least_overlap(n) / EXTRA).cast("int") + 1
 
 
+def pruned_enough(before: DataFrame, after: DataFrame) -> bool:
+    """Whether a round of pruning left more than half, both being stored: then another one costs more than it spares."""
+    return 2 * after.count() > before.count()
+
+
 def shared_tokens(lines: DataFrame, levels: list[int]) -> DataFrame:
     """(token, class) of prefix tokens that classes share which share enough; the postings move once."""
     sets = with_tokens(lines, levels).select("c", "tokens", least_shared(F.size("tokens")).cast("smallint").alias("least"))
@@ -125,9 +131,11 @@ def shared_tokens(lines: DataFrame, levels: list[int]) -> DataFrame:
     rows = materialize(dealt.join(several.hint("shuffle_hash"), "token").distinct(), "line-postings")
     for _ in range(PRUNING_ROUNDS):
         able = rows.groupBy("c").agg(F.count(F.lit(1)).alias("n"), F.max("least").alias("m")).filter("n >= m").select("c")
-        rows = rows.join(able, "c")
-        several = rows.groupBy("token").agg(F.min("c").alias("low"), F.max("c").alias("high")).filter("low <> high")
-        rows = materialize(rows.join(several.select("token"), "token"), "line-postings")
+        held = rows.join(able, "c")
+        several = held.groupBy("token").agg(F.min("c").alias("low"), F.max("c").alias("high")).filter("low <> high")
+        before, rows = rows, materialize(held.join(several.select("token"), "token"), "line-postings")
+        if pruned_enough(before, rows):
+            break
     return rows.select("token", "c")
 
 
@@ -135,15 +143,17 @@ def shared_places(sets: DataFrame) -> DataFrame:
     """(token, c, d, first, n, at): prefixes of the given classes by the exact frequency of every token among them.
 
     Tokens that no other class has come first and need no row; a class that shares fewer than 75 % of its tokens with
-    all others together is like none and drops out, and again, as what is left shares less.
+    all others together is like none and drops out, and again, as what is left shares less, while a round halves them.
     """
-    rows = sets.select("c", "d", F.size("tokens").alias("n"), F.explode("tokens").alias("token"))
+    before, rows = sets, sets.select("c", "d", F.size("tokens").alias("n"), F.explode("tokens").alias("token"))
     for _ in range(PRUNING_ROUNDS):
         counts = rows.groupBy("token").agg(F.count(F.lit(1)).alias("k")).filter("k > 1")
         rows = rows.join(counts, "token")
         able = rows.groupBy("c", "d", "n").agg(F.sort_array(F.collect_list(F.struct("k", "token"))).alias("held"))
         able = materialize(able.filter(F.size("held") >= _least_overlap(F.col("n"))), "line-shared")
-        rows = able.select("c", "d", "n", F.explode("held.token").alias("token"))
+        if pruned_enough(before, able):
+            break
+        before, rows = able, able.select("c", "d", "n", F.explode("held.token").alias("token"))
     alone = F.col("n") - F.size("held")
     some = F.slice("held.token", F.lit(1), F.col("n") - _least_overlap(F.col("n")) + 1 - alone)
     named = able.join(sets.select("c", "d", "first"), ["c", "d"])

@@ -150,3 +150,25 @@ def test_classes_need_no_words(spark, monkeypatch):
     assert len(split) == 3 and [("c" in s) for s in split] == [False, True, True]
     plan = linededup.lines_of(frame(spark, rows))._jdf.queryExecution().executedPlan().toString()
     assert "size(array_remove" not in plan  # a filter by it splits every line once more
+
+
+def test_texts_are_lowered_once_and_little_pruning_is_not_repeated(spark, monkeypatch):
+    """Lines come from the lowered text; a round that drops less than half of the rows is the last of its kind."""
+    rows = [(1, "ΟΔΟΣ\nΣ ΑΣ\r\n\t\x0b\n A  b\x0cC \n\nİ end", "el", "s", 0), (2, None, "el", "s", 0)]
+    lines = linededup.plain_lines(frame(spark, rows))
+    want = {i: " ".join(re.split("[ \t\x0b\f\r]+", x.lower().strip(" \t\x0b\f\r"))) for i, x in enumerate(rows[0][1].split("\n"))}
+    assert {r.pos: r.line for r in lines.collect()} == {i: x for i, x in want.items() if x}
+    plan = lines._jdf.queryExecution().executedPlan().toString()
+    assert "lower(line" not in plan and "translate(line" not in plan
+
+    stored = []
+    real = linededup.materialize
+    monkeypatch.setattr(linededup, "materialize", lambda df, label: stored.append(label) or real(df, label))
+    rng = random.Random(7)
+    rows = []
+    for i in range(40):
+        words = prose(rng, 30)
+        rows += [(2 * i, words, "en", "s", 0), (2 * i + 1, f"{words} end", "en", "s", 0)]
+    got = {r.doc_id: r.text for r in linededup.dedup_lines(frame(spark, rows)).collect()}
+    assert got == {r[0]: r[1] if r[0] % 2 == 0 else "" for r in rows}
+    assert stored.count("line-postings") == 2 and stored.count("line-shared") == 1
