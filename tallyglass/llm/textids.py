@@ -8,6 +8,7 @@ Units repeat, and the memo spares the library all but the first of each.
 from __future__ import annotations
 
 import re
+import string
 import sys
 from array import array
 
@@ -16,7 +17,8 @@ from tallyglass.llm.common import kept
 MEMO_UNITS = 500_000
 LINE_UNITS = 50_000
 MEMO_CHARS = 64
-PUNCTUATION = ".,;:!?"
+# A run of these behind letters is a pre-token of its own in both kinds of vocabulary. An apostrophe may start a suffix.
+PUNCTUATION = string.punctuation.replace("'", "")
 
 
 def load_tokenizer(path: str):
@@ -62,9 +64,10 @@ def byte_letters() -> dict[int, str]:
 
 
 def packed(ids: list[int]) -> bytes:
+    if sys.byteorder == "little":
+        return array("I", ids).tobytes()
     out = array("I", ids)
-    if sys.byteorder == "big":
-        out.byteswap()
+    out.byteswap()
     return out.tobytes()
 
 
@@ -74,13 +77,13 @@ class Memo(dict):
     Half of ``most`` (``MEMO_UNITS``) are the recent ones; when these are full, they replace the older half, from which
     a unit that is asked for again comes back.
 
-    A word of letters with some points behind it is two pre-tokens in both kinds of vocabulary. The library's
+    A word of letters with some ASCII punctuation behind it is two pre-tokens in both kinds of vocabulary. The library's
     model takes such a word at once; all else goes through the whole tokenizer.
     """
 
     def __init__(self, tokenizer, prefix: str, lower: bool = False, most: int | None = None):
         super().__init__()
-        self.tokenizer, self.model, self.prefix, self.lower = tokenizer, tokenizer.model, prefix, lower
+        self.tokenizer, self.tokens, self.prefix, self.lower = tokenizer, tokenizer.model.tokenize, prefix, lower
         self.most = most or MEMO_UNITS
         self.letters, self.tails, self.older = byte_letters(), {}, {}
         self.lead = prefix.translate(self.letters)
@@ -94,14 +97,14 @@ class Memo(dict):
                 return self.encode(word)
             word = word.lower()
         if word.isascii():  # letters stand for themselves
-            return packed([t.id for t in self.model.tokenize(self.lead + word)])
+            return packed([t.id for t in self.tokens(self.lead + word)])
         piece = (self.prefix + word).encode().decode("latin-1").translate(self.letters)
-        return packed([t.id for t in self.model.tokenize(piece)])
+        return packed([t.id for t in self.tokens(piece)])
 
     def __missing__(self, unit: str) -> bytes:
         out = self.older.get(unit)
         if out is None:
-            out = self.computed(unit)
+            out = self.word(unit) if unit.isalpha() else self.pointed(unit)
         if len(unit) <= MEMO_CHARS:
             if len(self) >= self.most // 2:
                 self.older = dict(self)
@@ -109,16 +112,17 @@ class Memo(dict):
             self[unit] = out
         return out
 
-    def computed(self, unit: str) -> bytes:
+    def pointed(self, unit: str) -> bytes:
+        """Ids of a unit that is not letters only."""
         word = unit.rstrip(PUNCTUATION)
-        if len(word) < len(unit) and word.isalpha():
-            tail = unit[len(word) :]
-            if tail not in self.tails:
-                if len(self.tails) > 10_000:
-                    self.tails.clear()
-                self.tails[tail] = self.encode(tail)
-            return self[word] + self.tails[tail]
-        return self.word(word) if word.isalpha() else self.encode(self.prefix + unit)
+        if not word.isalpha():
+            return self.encode(self.prefix + unit)
+        tail = unit[len(word) :]
+        if tail not in self.tails:
+            if len(self.tails) > 10_000:
+                self.tails.clear()
+            self.tails[tail] = self.encode(tail)
+        return self[word] + self.tails[tail]
 
 
 class SpacedUnits:

@@ -1,4 +1,5 @@
 import random
+import string
 import zlib
 from collections import defaultdict
 
@@ -218,3 +219,20 @@ def test_memos_of_lines_are_small():
     texts = [f"Word{i} and more\nLine{i} too" for i in range(50)] * 2
     assert [np.frombuffer(units.ids(t), "<u4").tolist() for t in texts] == [plain_ids(BYTE, t) for t in texts]
     assert len(units.first) + len(units.first.older) <= 8
+
+
+def test_punctuation_behind_words_spares_the_whole_tokenizer(monkeypatch):
+    """Any run of ASCII punctuation but an apostrophe is one pre-token, encoded once for all words before it."""
+    marks = [m for m in string.punctuation if m != "'"] + ["&&&", ".***", ",%%%", "_(", "-_-", "|", '."', "!?#"]
+    text = " ".join(f"{w}{m}" for w in ("hent", "Onli", "Stra\u00dfe", "\u0416\u0423\u041a") for m in marks)
+    for kind, path in ((SpacedUnits, BYTE), (BareUnits, WORD)):
+        units, whole = kind(path), []
+        memos = [m for m in vars(units).values() if isinstance(m, dict)]
+        for memo in memos:
+            real = memo.encode
+            monkeypatch.setattr(memo, "encode", lambda t, real=real: whole.append(t) or real(t))
+        assert np.frombuffer(units.ids(text), "<u4").tolist() == plain_ids(path, text)
+        assert not [t for t in whole if t.strip(string.punctuation) and t.isascii()]
+    for tricky in ("dog's.", "dogs'.", "dog'll!", "it's", "a'", "x'&&&", "A-1 b_c d.e", "a\u0301. e\u0338="):
+        for kind, path in ((SpacedUnits, BYTE), (BareUnits, WORD)):
+            assert np.frombuffer(kind(path).ids(tricky), "<u4").tolist() == plain_ids(path, tricky)
