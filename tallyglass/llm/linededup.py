@@ -72,13 +72,19 @@ def with_words(lines: DataFrame) -> DataFrame:
     return lines.withColumn("w", F.transform(F.split("line", " "), lambda x: F.xxhash64(x)))
 
 
-def rarity_levels(lines: DataFrame) -> list[int]:
-    """Level 0 to 15 of each counter: doublings of its count over twice the mean count. 65,536 numbers."""
+def token_slots(lines: DataFrame) -> DataFrame:
+    """The counter of every token of lines with word hashes."""
     w, i = F.col("w"), F.col("i")
     run = F.xxhash64(*[F.get(w, i + k if k else i) for k in range(SHINGLE)])
-    tokens = lines.select("w", F.posexplode("w").alias("i", "_")).filter((i <= F.size(w) - SHINGLE) | ((i == 0) & (F.size(w) < SHINGLE)))
+    # For a plain explode Spark adds a filter by the size of the array, for which it splits and hashes every line again.
+    tokens = lines.select("w", F.explode_outer(F.sequence(F.lit(0), F.greatest(F.size(w) - SHINGLE, F.lit(0)))).alias("i"))
     token = F.when(F.size(w) < SHINGLE, F.xxhash64(w, F.size(w))).otherwise(run)
-    counts = tokens.select(F.pmod(token, F.lit(COUNTERS)).alias("slot")).groupBy("slot").count().collect()
+    return tokens.select(F.pmod(token, F.lit(COUNTERS)).alias("slot"))
+
+
+def rarity_levels(lines: DataFrame) -> list[int]:
+    """Level 0 to 15 of each counter: doublings of its count over twice the mean count. 65,536 numbers."""
+    counts = token_slots(lines).groupBy("slot").count().collect()
     mean = sum(r["count"] for r in counts) / COUNTERS
     out = [0] * COUNTERS
     for r in counts:

@@ -172,3 +172,14 @@ def test_texts_are_lowered_once_and_little_pruning_is_not_repeated(spark, monkey
     got = {r.doc_id: r.text for r in linededup.dedup_lines(frame(spark, rows)).collect()}
     assert got == {r[0]: r[1] if r[0] % 2 == 0 else "" for r in rows}
     assert stored.count("line-postings") == 2 and stored.count("line-shared") == 1
+
+
+def test_levels_split_each_line_once(spark):
+    rows = [(1, "one two three four five six\nseven eight"), (2, "One  two three four five six"), (3, " \n"), (4, None)]
+    lines = linededup.lines_of(spark.createDataFrame(rows, "doc_id bigint, text string"))
+    slots = linededup.token_slots(lines)
+    plan = slots._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("split(") == 2  # the text and the line
+    tokens = linededup.with_tokens(lines, [0] * linededup.COUNTERS)
+    assert slots.count() == sum(max(1, len(r.w) - 4) for r in lines.collect()) == 5
+    assert sorted(len(r.tokens) for r in tokens.collect()) == [1, 2, 2]
