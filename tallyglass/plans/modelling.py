@@ -29,13 +29,19 @@ def spread(stored: DataFrame, key: str) -> DataFrame:
 
 
 def prepare(rows: DataFrame, key: str = "transaction_id", weighting: str = "balanced") -> tuple[DataFrame, DataFrame]:
-    """Weighted train and test rows, 80 to 20 by key hash, stored once for all following fits."""
+    """Weighted train and test rows, 80 to 20 by key hash, stored once for all following fits.
+
+    What makes ``rows`` runs once, for their columns here, and apart from the join of the weights: in one
+    generated method with it, it can outgrow what the JVM compiles.
+    """
+    narrow = rows.select(key, *MODEL_FEATURES, LABEL).persist()
     if weighting == "balanced":
-        weighted = sampling.with_balanced_weight(rows)
+        weighted = sampling.with_balanced_weight(narrow)
     else:
-        weighted = rows.withColumn("weight", sampling.constant_class_weight())
-    narrow = weighted.select(key, *MODEL_FEATURES, LABEL, "weight")
-    return sampling.hash_split(spread(materialize(narrow, "model-rows"), key), key)
+        weighted = narrow.withColumn("weight", sampling.constant_class_weight())
+    stored = materialize(weighted.select(key, *MODEL_FEATURES, LABEL, "weight"), "model-rows")
+    narrow.unpersist()
+    return sampling.hash_split(spread(stored, key), key)
 
 
 def missing_values(rows: DataFrame) -> DataFrame:
